@@ -213,8 +213,8 @@ def identify(docs: DataFrame, train: DataFrame | None = None) -> DataFrame:
     train = docs if train is None else train
     model = learn(train.where(~_held_out()), key=F.col("doc_id"))
     kept = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score")]
-    found = docs.select(*kept, _held_out().alias("held_out"), predictor(model)(F.col("text").cast("string")).alias("found"))
-    return found.select(*kept, "held_out", "found.lang_pred", "found.score")
+    found = docs.select(*kept, _held_out().alias("held_out"), predictor(model)(F.col("text").cast("string")).alias("_pm_found"))
+    return found.select(*kept, "held_out", "_pm_found.lang_pred", "_pm_found.score")
 
 
 def op6_langid(spark, sf_dir: str) -> DataFrame:

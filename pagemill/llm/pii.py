@@ -178,10 +178,10 @@ def op8_pii(spark, sf_dir: str) -> DataFrame:
 def stage_pii(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span becomes its kind in brackets (overlapping spans become one, named by the first); n_chars follows."""
     _, added = find(docs)
-    columns = docs.columns
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumn("text_hash", F.xxhash64(text))
-    rows = _with_added(keyed.withColumn("base", base_spans(text)), added)
+    # the row travels as one struct, so its columns can't clash with those added here
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text")).withColumn("base", base_spans(F.col("text")))
+    rows = _with_added(rows, added)
     short = lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))
     spans = F.concat(F.transform("base", short), F.transform(F.coalesce("added", F.array().cast("array<struct<k:bigint,start:bigint,end:bigint,kind:string>>")), short))
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
@@ -191,5 +191,7 @@ def stage_pii(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] >= acc["at"], F.concat(acc["out"], clear)).otherwise(acc["out"]).alias("out"))
 
     masked = F.aggregate(F.array_sort(spans), zero, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring("text", a["at"].cast("int") + 1, F.length("text"))))
-    out = rows.withColumn("text", F.when(F.size("base") + F.coalesce(F.size("added"), F.lit(0)) > 0, masked).otherwise(F.col("text")))
-    return out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))).select(columns)
+    found = F.size("base") + F.coalesce(F.size("added"), F.lit(0)) > 0
+    rows = rows.withColumn("masked", F.when(found, masked))
+    new = {"text": F.coalesce("masked", "row.text"), "n_chars": F.when(F.col("masked").isNotNull(), F.length("masked").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))}
+    return rows.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -32,14 +32,18 @@ FIT, POOL, WORDS, ROUNDS, GROW, SURE, STEPS, RIDGE, PSEUDO = 6000, 3000, 1 << 17
 SLOTS = 64  #: hashed sources and languages
 
 
+_MARKS = ".,;:!?\"'()[]{}<>*#$%&|=+-_/\\~^`@"
+LENGTH = 0.25  #: power of a text's total weight that its words are divided by: long texts count less a word, not nothing
+
+
 def text_view(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed lower-case words stripped of punctuation, and their weights (square-root counts, unit length)."""
+    """Hashed lower-case words stripped of punctuation, and their weights (square-root counts, scaled by length)."""
     counts: Counter[int] = Counter()
     for word, n in Counter(text.split()).items():
-        counts[zlib.crc32(word.lower().strip(".,;:!?\"'()").encode("utf-8", "replace")) % WORDS] += n
+        counts[zlib.crc32(word.lower().strip(_MARKS).encode("utf-8", "replace")) % WORDS] += n
     ids = np.fromiter(counts.keys(), np.int64, len(counts))
     weights = np.minimum(np.sqrt(np.fromiter(counts.values(), np.float64, len(counts))), 3)
-    return ids, weights / max(1.0, np.sqrt((weights**2).sum()) / 4)
+    return ids, weights / max(1.0, (weights**2).sum()) ** LENGTH
 
 
 def meta_view(text: str, lang: str | None, source: str | None) -> np.ndarray:
@@ -111,7 +115,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def fit_logistic(x, y: np.ndarray, size: int, steps: int = STEPS, rate: float = 0.1) -> np.ndarray:
     """Weights and a last one for the intercept, by Adam on all rows; classes weigh alike."""
     w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
-    share = min(max(y.mean(), 1e-3), 1 - 1e-3)
+    share = min(max(float(y.mean()) if len(y) else 0.5, 1e-3), 1 - 1e-3)
     each = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) / max(1, len(y))
     for step in range(1, steps + 1):
         g = each * (_sigmoid(_odds(x, w)) - y)

@@ -185,7 +185,7 @@ def stage_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash_components(docs)
     gone = found.where("doc_id != component_id").select("doc_id").distinct()
     kept = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id"])
-    named = found.where("component_id is not null").select("fingerprint").distinct()
-    nameless = docs.where(F.col("doc_id").isNull()).withColumn("fingerprint", F.lower(F.lpad(F.hex(_fingerprints("text")), 16, "0")))
-    nameless = nameless.join(named, "fingerprint", "left_anti").dropDuplicates(["fingerprint"]).select(docs.columns)
+    named = found.where("component_id is not null").select(F.col("fingerprint").alias("_pm_print")).distinct()
+    nameless = docs.where(F.col("doc_id").isNull()).withColumn("_pm_print", F.lower(F.lpad(F.hex(_fingerprints("text")), 16, "0")))
+    nameless = nameless.join(named, "_pm_print", "left_anti").dropDuplicates(["_pm_print"]).select(docs.columns)
     return kept.unionByName(nameless)
