@@ -211,15 +211,36 @@ def text_pairs(lines: DataFrame, *keys: str) -> DataFrame:
 
 
 def align_row(cells: Column, grid_row: Column) -> Column:
-    """A row's values at the columns where its source row has them, in order; null where a value has no place left.  A fold:
-    each value takes the first later column of the source that equals it."""
-    key = lambda c: tx.grid_cell_key(c)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"), F.lit(True).alias("ok"))
-    values = F.filter(cells, lambda c: c != "")
-
-    def place(acc: Column, value: Column) -> Column:
-        spot = F.array_position(F.transform(F.slice(grid_row, acc["at"] + 1, F.size(grid_row)), key), key(value)).cast("int")
-        gap = F.array_repeat(F.lit(""), F.greatest(F.lit(0), spot - 1))
-        return F.struct((acc["at"] + F.greatest(spot, F.lit(1))).alias("at"), F.concat(acc["out"], gap, F.array(value)).alias("out"), (acc["ok"] & (spot > 0)).alias("ok"))
+    """A row's values at the columns where its source row has them; null where the row can't say.
 
-    return F.aggregate(values, start, place, lambda a: F.when(a["ok"], tx.pad_row(a["out"], F.size(grid_row))))
+    Source and row are compared as runs: values that are not empty, equal neighbours as one, since a source repeats a
+    spanning value in each column and a writer puts it down once.  With equal runs, column i of the source takes the
+    row's text of run number size(runs up to i)."""
+    keys, own = F.transform(grid_row, tx.grid_cell_key), F.transform(cells, tx.grid_cell_key)
+    values = F.filter(cells, lambda c: c != "")
+    texts = F.filter(values, lambda v, i: (i == 0) | (tx.grid_cell_key(v) != tx.grid_cell_key(F.get(values, i - 1))))
+    filled = F.size(F.filter(grid_row, lambda c: c != ""))
+    placed = F.transform(keys, lambda k, i: F.when(k == "", F.lit("")).otherwise(F.get(texts, F.size(tx.cell_runs(F.slice(keys, F.lit(1), i + 1))) - 1)))
+    return F.when((filled > 0) & (filled <= F.size(values)) & (tx.cell_runs(keys) == tx.cell_runs(own)), placed)
+
+
+def realign(rows: DataFrame, grid: DataFrame, *keys: str) -> DataFrame:
+    """Rows (keys, r, cells) back on the columns of their source (keys, g, cells): each row meets the first source row with its
+    runs that no earlier row has taken; with half of the rows and two of them matched, rows that can be placed move.
+    (keys, r, cells, moved, ambiguous)."""
+    run_key = lambda c: F.array_join(tx.cell_runs(F.transform(c, tx.grid_cell_key)), "\u0001")
+    nth = lambda order: F.row_number().over(Window.partitionBy(*keys, "run").orderBy(order))
+    a = rows.withColumn("run", run_key(F.col("cells"))).withColumn("nth", nth("r"))
+    b = grid.select(*keys, "g", F.col("cells").alias("source")).withColumn("run", run_key(F.col("source"))).withColumn("nth", nth("g"))
+    met = a.join(b, [*keys, "run", "nth"], "left")
+    # order of the source must follow the order of the rows
+    before = F.max("g").over(_rows(*keys).rowsBetween(Window.unboundedPreceding, -1))
+    met = met.withColumn("fits", F.col("g").isNotNull() & (F.col("run") != "") & (F.coalesce(before, F.lit(-1)) < F.col("g")))
+    whole = Window.partitionBy(*keys)
+    met = met.withColumn("good", F.count_if("fits").over(whole)).withColumn("n", F.count("*").over(whole))
+    placed = F.when(F.col("fits") & (F.col("good") >= 2) & (F.col("good") * 2 >= F.col("n")), align_row(F.col("cells"), F.col("source")))
+    met = met.withColumn("placed", placed)
+    return met.select(
+        *keys, "r", F.coalesce("placed", "cells").alias("cells"), F.coalesce(F.col("placed") != F.col("cells"), F.lit(False)).alias("moved"),
+        (F.col("fits") & F.col("placed").isNull() & (F.size("cells") != F.size("source"))).alias("ambiguous"),
+    )

@@ -1,0 +1,328 @@
+"""Rules on single texts, rows and pages."""
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from pagemill import config
+from pagemill.functions import geometry as geo
+from pagemill.functions import markdown as md
+from pagemill.functions import text as tx
+from pagemill.operators import artifacts as ar
+from pagemill.operators import contracts as co
+from pagemill.operators import furniture as fu
+from pagemill.operators import layout as lo
+from pagemill.operators import lines as ln
+from pagemill.operators import model as mo
+from pagemill.operators import tables as tb
+from pagemill.operators import visual as vi
+from pagemill.plans import postprocess as pp
+from pagemill.sources import files, html
+from pagemill.streaming import progress as pr
+
+
+def one(spark, rule, *values):
+    names = [f"c{i}" for i in range(len(values))]
+    kinds = ", ".join(f"{n} {'array<string>' if isinstance(v, list) else 'string' if v is None or isinstance(v, str) else 'int'}" for n, v in zip(names, values, strict=True))
+    return spark.createDataFrame([tuple(values)], kinds).select(rule(*map(F.col, names)).alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize(
+    ("rule", "value", "want"),
+    [
+        (tx.collapse_ws, " a   b\n", "a b"),
+        (tx.furniture_text, "38 ACME - 2025  Doc", "acme - doc"),
+        (tx.numeric_tokens, "1.234,5 18% 18", ["1.234.5", "18"]),
+        (tx.significant_words, "Étude of Dairy 18% the", ["tude", "dairy", "18%"]),
+        (tx.word_tokens, "Équipe E1 the abcd ABCD", ["équipe", "abcd"]),
+        (tx.is_value_text, "€2.8 bn", True),
+        (tx.is_value_text, "-46,3 %", True),
+        (tx.is_value_text, "about 12 things", False),
+        (tx.is_label_text, "FREE CASH FLOW", True),
+        (tx.is_label_text, "Free cash flow", False),
+        (tx.is_label_text, "SALES 2024", False),
+        (tx.is_letter_rating, "Baa1", True),
+        (tx.is_short_value, "123", False),
+        (tx.is_short_value, "2024", True),
+        (tx.is_short_value, "12 kg", True),
+        (tx.is_separator_line, "|---|:-:|", True),
+        (tx.is_separator_line, "|   |", False),
+        (tx.split_row, "| a | b ||", ["a", "b"]),
+        (tx.cell_with_bullets, "• a • b", "- a<br>- b"),
+        (tx.cell_with_bullets, "12·000", "12·000"),
+        (tx.cell_with_bullets, "x ■ y", "x ■ y"),
+        (tx.cell_with_bullets, "list: ■ a ■ b", "list:<br>- a<br>- b"),
+        (tx.split_inline_bullets, "Prefix: • a • b", ["Prefix:", "- a", "- b"]),
+        (tx.unescape_entities, "&amp;lt; &lt;b&gt; A&P", "&lt; <b> A&P"),
+        (tx.clean_ocr, "x$ ^{[1]} $ CO$ _{2} $ ^[d] <div class='c'> cap </div>", "x[1] CO2 [d] cap"),
+        (tx.strip_fences, "```markdown\n# A\n```", "# A"),
+        (tx.redact_url, "http://u:p@h/x", "http://h/x"),
+        (tx.token_estimate, "abcdefghij", 2),
+        (tx.is_meta_note, "> Note: as per the image, x", True),
+        (tx.is_meta_note, "The image shows a dog", False),
+        (tx.section_title, ["ASSETS", "", ""], "ASSETS"),
+        (tx.section_title, ["-", "-", "-"], None),
+        (tx.section_title, ["Total assets of the group"] * 3, "Total assets of the group"),
+        (tx.cell_runs, ["a", "a", "", "a", "b"], ["a", "b"]),
+        (md.collapse_spaces, "a  b\n  - c  d\n| x  | y |\n", "a b\n  - c d\n| x  | y |\n"),
+        (md.strip_list_glyphs, "- • x\n- ■ = all\n", "- x\n- ■ = all\n"),
+        (md.cell_bullets, "| a | ■ x ■ y |\n|---|---|\n", "|a|- x<br>- y|\n|---|---|\n"),
+        (md.bullets_and_headings, "text\n# H\n• a\n\n\n\nb", "text\n\n# H\n- a\n\nb\n"),
+        (md.demote_headings, "### 2015: 77%\n### 2016: 80%\n\n### Milk: 36%\nbody", "- 2015: 77%\n- 2016: 80%\n\n### Milk: 36%\nbody"),
+        (md.strip_meta, "a\nNote: the image shows x\nb", "a\nb\n"),
+        (md.strip_breaks, "a<br>b<BR/>\n| c<br>d |\n", "a\nb\n| c<br>d |\n"),
+        (md.value_line_count, "12%\n# 3\n- 4\ntext\n€5 bn", 2),
+        (md.pipe_row_count, "| a |\n|---|\n| b |", 2),
+    ],
+)
+def test_text_rule(spark, rule, value, want):
+    assert one(spark, rule, value) == want
+
+
+def test_sections_are_cut(spark):
+    got = one(spark, md.extract_uncertainty, "# A\nx\n## Uncertain mappings\nu\n### deeper\nv\n## B\ny")
+    assert got["md"] == "# A\nx\n## B\ny\n" and got["notes"] == "## Uncertain mappings\nu\n### deeper\nv"
+    got = one(spark, md.extract_unplaced, "a\n## Unplaced content\n- l\n\n### n\n## B\n")
+    assert got["md"] == "a\n## B\n" and got["lines"] == ["- l", "### n"]
+    assert one(spark, md.merge_unplaced, "Body text\n", ["body TEXT", "new line", " "]) == "Body text\n\n## Unplaced content\n\n- new line\n"
+    assert one(spark, md.insert_images, "a\n<!-- image -->\nb", ["![p](1)", "![p](2)"]) == "a\n![p](1)\nb\n\n![p](2)\n"
+
+
+def test_footnotes_move_to_the_end(spark):
+    texts = ["a [1]\n[1] one\nb\n\n## Footnotes\n[1] one\n* star\n", "no notes\n"]
+    got = md.normalize_footnotes(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string"), "t").orderBy("i").collect()
+    assert [r["t"] for r in got] == ["a [1]\nb\n\n## Footnotes\n[1] one\n* star\n", "no notes\n"]
+
+
+def test_heading_path_is_cut_by_position(spark):
+    pages = spark.createDataFrame([(1, "http://h.org/", "<h1>H1</h1><h3>a</h3><h3>b</h3><p>t</p>")], "page_id long, url string, html string")
+    got = [r["heading_path"] for r in html.block_rows(html.items(pages)).orderBy("block_id").collect()]
+    assert got == ["H1", "H1 > a", "H1 > a > b", "H1 > a > b"]
+
+
+def lines(spark, text, page=1):
+    return ln.to_lines(spark.createDataFrame([(page, text)], "page int, text string"), "page")
+
+
+def test_lines_round_trip_and_blocks(spark):
+    text = "# H\na\nb\n\n| x | Y |\n|---|---|\n| 1 | 2 |\n\n![i](p)\n"
+    assert ln.from_lines(lines(spark, text), "page").first()["text"] == text.rstrip("\n")
+    kinds = [r["kind"] for r in ln.blocks(lines(spark, text), "page").orderBy("block").collect()]
+    assert kinds == ["text", "table", "image"]
+    spans = ln.pipe_blocks(lines(spark, text), "page").collect()
+    assert [(s["start"], s["stop"], s["rows"]) for s in spans] == [(4, 7, [["x", "y"], ["1", "2"]])]
+
+
+def test_repeated_lines_leave_structure_out(spark):
+    text = "\n".join(["| header of a long table | b |", "|---|---|"] * 6 + ["this line is repeated often"] * 5)
+    got = ln.repeated_lines(lines(spark, text), "page").first()
+    assert (got["total"], got["repeated_ratio"], got["anomalous"]) == (5, 0.8, True)
+
+
+def test_duplicates_by_copy_and_suffix(spark):
+    long_ = " ".join(f"word{i}" for i in range(30))
+    suffix = long_[40:]
+    got = ln.collapse_duplicates(ln.blocks(lines(spark, f"{long_}\n\nshort\n\n{suffix}\n\n{long_}\n\nshort"), "page"), "page").orderBy("pos").collect()
+    assert [r["norm"] for r in got] == [long_, "short", "short"]
+
+
+def test_missing_lines(spark):
+    raw = "The dairy ingredients share is 18 percent\nAn entirely different sentence about mountains\n2024"
+    body = "dairy ingredients share: 18 percent\n\nof the total"
+    got = [r["line"] for r in ln.missing_lines(lines(spark, raw), lines(spark, body), "page").orderBy("pos").collect()]
+    assert got == ["An entirely different sentence about mountains", "2024"]
+
+
+def test_footnotes_and_contents(spark):
+    got = ln.footnotes(lines(spark, "a [¹] b [2]\n[1] one\n[3] three\n[3] again"), "page").first()
+    assert (got["refs"], got["defs"], got["duplicates"], got["undefined"], got["gaps"]) == (["1", "2"], ["1", "3"], ["3"], ["2"], [2])
+    toc = "# Contents\n" + "\n".join(f"Chapter {i}.....{i}" for i in range(1, 9))
+    assert ln.toc_pages(lines(spark, toc), "page").first()["toc"] and not ln.toc_pages(lines(spark, toc[12:]), "page").first()["toc"]
+
+
+def test_furniture_thresholds(spark):
+    def run(n):
+        data = [("d", p, 0, f"{p} ACME report", "top") for p in range(n // 3 if n >= 12 else max(2, -(-n // 4)))]
+        pages = spark.createDataFrame([("d", p) for p in range(n)], "doc string, page int")
+        return fu.signatures(spark.createDataFrame(data, "doc string, page int, pos int, text string, band string"), pages).count()
+
+    assert run(8) == 1 and run(12) == 1 and run(2) == 1
+    entries = spark.createDataFrame([("d", 1, 0, "3.3", "top"), ("d", 2, 0, "5.7", "top"), ("d", 3, 0, "A", "right")], "doc string, page int, pos int, text string, band string")
+    pages = entries.select("doc", "page")
+    assert fu.signatures(entries, pages).count() == 0  # no letters, or seen on one page only
+    assert [r["furniture"] for r in fu.split_furniture(entries, pages).orderBy("page").collect()] == [False, False, True]
+
+
+def test_strip_lines_over_spans(spark):
+    l = spark.createDataFrame([("d", 1, i, x) for i, x in enumerate(["# OVERVIEW", "", "1.6 Risk factors", "body", "| overview risk factors |"])], "doc string, page int, pos int, line string")
+    texts = spark.createDataFrame([("d", 1, "overview . risk factors")], "doc string, page int, norm string")
+    assert [r["pos"] for r in fu.strip_lines(l, texts).orderBy("pos").collect()] == [1, 3, 4]
+
+
+def rows(spark, table, keys="t int"):
+    return spark.createDataFrame([(1, i, c) for i, c in enumerate(table)], f"{keys}, r int, cells array<string>")
+
+
+def test_tables(spark):
+    ragged = "| a | b |\n|---|---|---|\n| 1 |\n| 2 | 3 | 4 |"
+    out = [r["line"] for r in tb.normalize(lines(spark, ragged), "page").orderBy("pos", "part").collect()]
+    assert out == ["| a | b |  |", "|---|---|---|", "| 1 |  |  |", "| 2 | 3 | 4 |"]
+    panel = [["€2.8 bn", "12%", "4.1x"], ["FREE CASH FLOW", "SALES GROWTH RATE", "NET DEBT RATIO"]]
+    assert tb.panel_stats(rows(spark, panel), "t").first()["panel"]
+    got = [r["line"] for r in tb.panel_lists(rows(spark, panel), "t").orderBy("pos").collect()]
+    assert got == ["- FREE CASH FLOW: €2.8 bn", "- SALES GROWTH RATE: 12%", "- NET DEBT RATIO: 4.1x"]
+    banded = [["Item", "2023", "2024"], ["ASSETS", "", ""], ["(in millions)", "", ""], ["Cash", "1", "2"], ["Debt", "3", "4"], ["OTHER", "", ""], ["x", "5", "6"]]
+    got = tb.split_sections(rows(spark, banded), "t").orderBy("r").collect()
+    assert [(g["title"], g["qualifiers"], g["cells"][0]) for g in got] == [("ASSETS", "(in millions)", "Cash"), ("ASSETS", "(in millions)", "Debt"), ("OTHER", "", "x")]
+    assert tb.split_sections(rows(spark, banded[:1] + banded[3:5] * 2), "t").count() == 0
+
+
+def test_rows_return_to_their_source_columns(spark):
+    grid = spark.createDataFrame([(1, 0, ["Total", "", "5"]), (1, 1, ["Spread", "a", "a"]), (1, 2, ["x", "y", "z"])], "t int, g int, cells array<string>")
+    got = tb.realign(rows(spark, [["**Total**", "5"], ["Spread", "a"], ["new", "row"], ["x", "y", "z"]]), grid, "t").orderBy("r").collect()
+    assert [g["cells"] for g in got] == [["**Total**", "", "5"], ["Spread", "a"], ["new", "row"], ["x", "y", "z"]]
+    assert [g["moved"] for g in got] == [True, False, False, False] and got[1]["ambiguous"]
+
+
+def test_verification(spark):
+    ok = "| a | 12 |\n|---|---|\n| b | 13,5 |"
+    data = [(1, ok, ["a", "12", "b", "13.5"]), (2, ok + "\n| c | 99 |", ["a", "12", "b", "13.5"]), (3, "| a | 12 |\n| b | x |", ["a", "12", "b", "13.5"]), (4, "no table", ["1"]), (5, "| alpha | beta |\n| gamma | x |", ["alpha", "beta", "gamma", "delta"])]
+    got = {r["id"]: r["reason"] for r in tb.verify(spark.createDataFrame(data, "id int, markdown string, cells array<string>")).collect()}
+    assert got == {1: None, 2: "invented_numbers", 3: "missing_numbers", 4: "no_table_structure", 5: "missing_words"}
+
+
+def test_geometry(spark):
+    assert one(spark, lambda _: geo.cluster_means(F.array(F.lit(0.3), F.lit(0.1), F.lit(0.11)), 0.02), "") == pytest.approx([0.105, 0.3])
+    rect = lambda *v: F.array(*map(F.lit, v))
+    assert one(spark, lambda _: geo.overlap(rect(0.0, 0.0, 0.4, 0.4), rect(0.2, 0.2, 0.3, 0.3)), "") == pytest.approx(1)
+    assert one(spark, lambda _: geo.from_points(F.lit(60.0), F.lit(800.0), F.lit(300.0), F.lit(400.0), F.lit(600.0), F.lit(800.0), F.lit(True)), "") == [0.1, 0.0, 0.5, 0.5]
+    assert one(spark, lambda _: fu.band(rect(0.95, 0.5, 1.0, 0.6)), "") == "right"
+
+
+def cells(data):
+    return pd.DataFrame([(i, *r, k, h) for i, (r, k, h) in enumerate(data)], columns=["idx", "l", "t", "r", "b", "kind", "is_heading"])
+
+
+NO_RULES = pd.DataFrame({"axis": [], "at": [], "lo": [], "hi": []})
+
+
+def test_reading_order_of_columns_and_bands():
+    left, right = [((0.1, 0.2 + i / 10, 0.45, 0.28 + i / 10), "text", False) for i in range(3)], [((0.55, 0.2 + i / 10, 0.9, 0.28 + i / 10), "text", False) for i in range(3)]
+    zigzag = [x for pair in zip(left, right, strict=True) for x in pair]
+    assert lo.order_page(cells(zigzag), NO_RULES) == [0, 2, 4, 1, 3, 5]
+    assert lo.order_page(cells(left + right), NO_RULES) == list(range(6))
+    page = [((0.1, 0.02, 0.9, 0.05), "text", False)] + zigzag + [((0.1, 0.95, 0.9, 0.99), "text", False)]
+    assert lo.order_page(cells(page), NO_RULES)[0] == 0
+    caption = zigzag[:4] + [((0.1, 0.7, 0.9, 0.9), "picture", False), ((0.1, 0.65, 0.9, 0.69), "caption", False)]
+    order = lo.order_page(cells(caption), NO_RULES)
+    assert order.index(5) < order.index(4)
+
+
+def test_region_scores():
+    grid = pd.DataFrame([(0.1 + 0.25 * c, 0.1 + 0.06 * r, 0.2 + 0.25 * c, 0.13 + 0.06 * r, "Name" if r == 0 else f"{r}{c}%", False) for r in range(5) for c in range(3)], columns=["l", "t", "r", "b", "text", "is_heading"])
+    assert lo.score_region(grid, lo._has_digit) == (0.95, None)
+    assert lo.score_region(grid.head(4), lo._has_digit) == (0.0, "too_few_cells")
+    assert lo.score_region(grid.assign(text="long " * 60), lo._has_digit)[1] == "prose_region"
+
+
+def test_overlap_join_finds_each_pair_once(spark):
+    rng = np.random.default_rng(0)
+    r = [(i, [*p, p[0] + s, p[1] + s]) for i, (p, s) in enumerate(zip(rng.random((80, 2)) * 0.7, rng.random(80) * 0.3, strict=True))]
+    df = spark.createDataFrame([(1, i, list(map(float, x))) for i, x in r], "page int, idx int, rect array<double>")
+    got = {(x["a"], x["b"]) for x in lo.overlap_join(df, df, "page").collect()}
+
+    def ratio(a, b):
+        w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+        return max(0, w) * max(0, h) / min((a[2] - a[0]) * (a[3] - a[1]), (b[2] - b[0]) * (b[3] - b[1]))
+
+    assert got == {(i, j) for i, a in r for j, b in r if ratio(a, b) >= 0.5}
+
+
+def test_contracts(spark):
+    good = '{"contract":"document_extract/progress","contract_version":"1.0","event":"page_stage","status":"ok","page":1,"stage":"table_detect","seconds":1.5,"detail":{}}'
+    data = [(good, None), ("x", "not an object"), (good.replace('"page":1,', ""), "page event without page"), (good.replace('"page":1', '"page":0'), "page: not from 1"), (good.replace('"page":1', '"page":"1"'), "page: wrong type"),
+            (good.replace('"ok"', '"done"'), "status"), (good[:-1] + ',"extra":1}', "unknown key"), (good.replace('"1.0"', '"0.9"'), "version"), (good.replace('"event":"page_stage",', ""), "missing key")]
+    got = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(data)], "i int, p string").select("i", co.progress_error(F.col("p")).alias("e")).orderBy("i").collect()
+    assert [r["e"] for r in got] == [e for _, e in data]
+    import json
+
+    run = {"contract": co.RUN, "contract_version": "1.0", "generated_at": "t", "source": {"filename": "a.pdf", "sha256": "a" * 64, "page_count": 4}, "selection": {"start_page": 1, "end_page": 4, "page_count": 4, "complete_document": True},
+           "coordinate_convention": co.CONVENTION, "artifacts": {"root": dict.fromkeys(co.ROOT_ROLES, "x.json"), "page": dict.fromkeys(co.PAGE_ROLES, "x.md")}, "evidence_bearing_roles": list(co.EVIDENCE_ROLES), "settings": {}, "pages": {"completed": 4, "failed": 0}, "warnings": {}}
+    broken = [(run, None), ({**run, "pages": {"failed": 1}}, "failed pages"), ({**run, "source": {**run["source"], "sha256": "A" * 64}}, "sha256"), ({**run, "selection": {**run["selection"], "end_page": 3, "page_count": 3}}, "complete document"),
+              ({**run, "artifacts": {**run["artifacts"], "root": {**run["artifacts"]["root"], "run": "../x"}}}, "root.run: path"), ({k: v for k, v in run.items() if k != "pages"}, "missing key")]
+    got = spark.createDataFrame([(i, json.dumps(p)) for i, (p, _) in enumerate(broken)], "i int, p string").select("i", co.run_error(F.col("p")).alias("e")).orderBy("i").collect()
+    assert [r["e"] for r in got] == [e for _, e in broken]
+
+
+def test_model_calls_retry_and_record(spark):
+    calls = []
+
+    def flaky(prompt):
+        calls.append(prompt)
+        if len(calls) < 3:
+            raise ConnectionError
+        return "answer"
+
+    waits = []
+    assert mo.ask(flaky, "p", waits.append) == ("answer", 3, None) and waits == [1, 4]
+    looping = iter(["the same long line again and again\n" * 6, "fine"])
+    assert mo.ask(lambda _: next(looping), "p")[0] == "fine"
+    got = mo.call_model(spark.createDataFrame([(1, "abc"), (2, None)], "k int, prompt string"), lambda: str.upper, key="k").orderBy("k").collect()
+    assert [(r["answer"], r["error"]) for r in got] == [("ABC", None), ("", "no prompt")]
+
+
+def test_config():
+    c = config.load({"tables": {"min_cells": 8}}, environment={"PAGEMILL_RUNTIME_SKIP_VLM": "yes", "PAGEMILL_MODELS_NUM_CTX": "4096"})
+    assert c.tables.min_cells == 8 and c.runtime.skip_vlm and c.models.num_ctx == 4096
+    for bad in ({"tables": {"nope": 1}}, {"nope": {}}, {"models": {"triage_confidence": 1.5}}, {"tables": {"min_cells": "x"}}, {"runtime": {"skip_vlm": 3}}):
+        with pytest.raises(ValueError):
+            config.load(bad, environment={})
+
+
+def test_files(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"x")
+    (tmp_path / "b.txt").write_bytes(b"y")
+    got = files.documents(spark, str(tmp_path)).collect()
+    assert len(got) == 1 and got[0]["sha256"] == "2d711642b726b04401627ca9fbac32f5c8530fb1903cc4db02258717921a4881"
+    assert list(files.page_range(10, 3)) == list(range(3, 11)) and list(files.page_range(10, 2, 99))[-1] == 10
+    for bad in ((10, 0), (10, 11), (10, 5, 4)):
+        with pytest.raises(ValueError):
+            files.page_range(*bad)
+    pages = spark.createDataFrame([("d", i) for i in range(1, 71)], "doc string, page int")
+    assert [(r["first"], r["last"]) for r in files.chunks(pages).orderBy("chunk").collect()] == [(1, 32), (33, 64), (65, 70)]
+    files.write_records(pages, str(tmp_path / "out"), by="doc")
+    assert spark.read.json(str(tmp_path / "out")).count() == 70
+
+
+def test_visual_rules(spark):
+    assert vi.fold("“Groß’s”  ﬁn–al") == "grosss fin-al"
+    assert one(spark, vi.is_subsequence, ["a", "b"], ["a", "x", "b"]) and not one(spark, vi.is_subsequence, ["b", "a"], ["a", "x", "b"])
+    assert one(spark, vi.tokens_preserved, ["equipandempower"], ["equip", "and", "empower"])
+    df = spark.createDataFrame([(1, 1, 0, 0), (1, 1, 1, 2), (1, 2, 0, 3), (1, 2, 1, 1)], "page int, table int, struct_row int, record int")
+    assert [r["table"] for r in vi.monotonic(df).collect()] == [1]
+    assert spark.createDataFrame([("“A”",)], "v string").select(vi.comparison_key("v").alias("k")).first()["k"] == "a"
+
+
+def test_records(spark):
+    assert one(spark, ar.stage_index, "table_detect") == 3 and one(spark, ar.stage_index, "x") is None
+    rules = spark.createDataFrame([(1, 0.5, 0.1, 0.4), (1, 0.5005, 0.3, 0.7), (1, 0.8, 0.1, 0.3)], "page int, y double, x0 double, x1 double")
+    table = spark.createDataFrame([(1, 1, [0.1, 0.2, 0.9, 0.9])], "page int, table int, rect array<double>")
+    assert [round(r["y"], 3) for r in ar.rule_boundaries(rules, table).collect()] == [0.5]
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartitionByRange(3, "ts").write.parquet(str(tmp_path / "in"))
+    stream = pr.windowed(pr.payloads(pr.source(spark, str(tmp_path / "in"))))
+    got = pr.drain(stream, "append", str(tmp_path / "cp"), str(tmp_path / "out")).select("start", "event_type", "n")
+    batch = pr.windowed(pr.payloads(events)).select("start", "event_type", "n")
+    assert got.count() > 0 and got.exceptAll(batch).count() == 0
+
+
+def test_markdown_plan(spark):
+    page = "# Title\n• one\n• two\nNote: as per the image, x\n\n| a | b |\n|---|\n| 1 |\n\nA &lt; B  and  more\n"
+    raw = page + "\nA sentence that was lost about distant mountains\n"
+    got = pp.postprocess(spark.createDataFrame([("d", 1, raw, page)], "doc string, page int, raw string, markdown string")).first()
+    assert got["final"] == "# Title\n- one\n- two\n\n| a | b |\n|---|---|\n| 1 |  |\n\nA < B and more\n\n## Unplaced content\n\n- A sentence that was lost about distant mountains\n"
+    assert got["unplaced"] == ["A sentence that was lost about distant mountains"]
