@@ -109,10 +109,15 @@ def body_windows(lines: DataFrame, *keys: str, window: int = 3) -> DataFrame:
     return out.select(*keys, "pos", union("w").alias("words"), union("n").alias("numbers"))
 
 
+def _content(line: Column) -> Column:
+    """A line without marks of lists, headings, quotes and tables."""
+    t = F.regexp_replace(tx.strip(line), r"^[#>\-*|\s]+", "")
+    return tx.strip(F.regexp_replace(tx.strip(F.replace(t, F.lit("|"), F.lit(" "))), r"^-{2,}\z", ""))
+
+
 def content_lines(lines: DataFrame, *keys: str) -> DataFrame:
     """Lines with content: three significant words or more, or a standalone value."""
-    t = F.regexp_replace(tx.strip(F.col("line")), r"^[#>\-*|\s]+", "")
-    t = tx.strip(F.regexp_replace(tx.strip(F.replace(t, F.lit("|"), F.lit(" "))), r"^-{2,}\z", ""))
+    t = _content(F.col("line"))
     kept = lines.where(~F.rlike(tx.strip(F.col("line")), F.lit(r"^!\[[^\]]*\]\([^)]*\)\z"))).withColumn("line", t).where("line != ''")
     return kept.where((F.size(tx.significant_words(F.col("line"))) >= 3) | tx.is_short_value(F.col("line")))
 
@@ -126,6 +131,8 @@ def missing_lines(source: DataFrame, body: DataFrame, *keys: str, threshold: flo
     wanted = content_lines(source, *keys).withColumn("sig", F.array_distinct(tx.significant_words(F.col("line")))).withColumn("nums", tx.numeric_tokens(F.col("line")))
     wanted = wanted.where(F.size("sig") > 0)
     windows = body_windows(body, *keys).withColumnRenamed("pos", "at")
+    same = body.select(*keys, _content(F.col("line")).alias("line")).distinct()
+    wanted = wanted.join(same, [*keys, "line"], "left_anti")  # a line that is there as it is needs no windows
     words = wanted.select(*keys, "pos", "nums", F.size("sig").alias("n"), F.explode("sig").alias("word"))
     held = windows.select(*keys, "at", "numbers", F.explode("words").alias("word"))
     met = words.join(held, [*keys, "word"]).where((F.size("nums") == 0) | F.arrays_overlap("nums", "numbers"))

@@ -13,6 +13,7 @@ from ..functions import text as tx
 from ..operators import furniture as fu
 from ..operators import lines as ln
 from ..operators import tables as tb
+from ..operators.settle import settle
 
 KEYS = ("doc", "page")
 
@@ -31,13 +32,15 @@ def tables_step(lines: DataFrame) -> DataFrame:
 def postprocess(pages: DataFrame, furniture: DataFrame | None = None) -> DataFrame:
     """All steps.  `furniture`: (doc, page, norm) texts safe to strip."""
     first = md.clean(pages.select(*KEYS, "markdown"), "markdown").select(*KEYS, md.extract_unplaced(F.col("markdown")).alias("u")).select(*KEYS, F.col("u.md").alias("md"), F.col("u.lines").alias("claimed"))
-    lines = tables_step(ln.to_lines(first, *KEYS, text="md"))
+    lines = settle(tables_step(settle(ln.to_lines(first, *KEYS, text="md"), "lines")), "tables")
     if furniture is not None:
+        furniture = settle(furniture, "furniture")
         lines = fu.strip_lines(lines, furniture)
-    blocks = ln.collapse_duplicates(ln.blocks(lines, *KEYS), *KEYS)
+    blocks = ln.collapse_duplicates(settle(ln.blocks(lines, *KEYS), "blocks"), *KEYS)
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.array_join("lines", "\n").alias("t")))), lambda x: x["t"]), "\n\n")
     body = blocks.groupBy(*KEYS).agg(text.alias("body")).withColumn("body", md.strip_breaks(F.col("body")))
     body = body.withColumn("u", md.extract_uncertainty(F.col("body"))).select(*KEYS, F.col("u.md").alias("body"), F.col("u.notes").alias("notes"))
+    body = settle(body, "body")
     raw = ln.to_lines(pages, *KEYS, text="raw")
     if furniture is not None:
         raw = fu.strip_lines(raw, furniture)
