@@ -196,7 +196,7 @@ def predictor(model: Model):
                 names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    return predict
+    return predict.asNondeterministic()  # else a filter on the result would run it twice
 
 
 def _held_out() -> Column:
