@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
+from .html_tables import flatten_html_tables
 
 _LINES = "array<string>"
 
@@ -154,9 +155,12 @@ def insert_images(md: Column, images: Column) -> Column:
     return tidy(F.when(F.size(rest) > 0, F.concat(filled, F.lit("\n\n"), F.array_join(rest, "\n\n"))).otherwise(filled))
 
 
-def clean(df: DataFrame, column: str) -> DataFrame:
-    """The rewrites that come before tables are looked at, in their order.  One projection a rule: rules use their text more
-    than once, so as one expression they would multiply."""
-    for rule in (cell_bullets, strip_list_glyphs, bullets_and_headings, collapse_spaces, demote_headings, strip_meta):
+def clean(df: DataFrame, column: str, images: str | None = None) -> DataFrame:
+    """The rewrites that come before tables are looked at, in their order; `images` names a column of image blocks to insert.  One
+    projection a rule: rules use their text more than once, so as one expression they would multiply."""
+    for rule in (flatten_html_tables, cell_bullets, strip_list_glyphs, bullets_and_headings, collapse_spaces, demote_headings):
         df = df.withColumn(column, rule(F.col(column)))
-    return normalize_footnotes(df, column).withColumn(column, tx.unescape_entities(F.col(column)))
+    if images:
+        df = df.withColumn(column, F.when(F.size(images) > 0, insert_images(F.col(column), F.col(images))).otherwise(F.col(column)))
+    df = normalize_footnotes(df.withColumn(column, strip_meta(F.col(column))), column)
+    return df.withColumn(column, tx.unescape_entities(F.col(column)))

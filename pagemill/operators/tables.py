@@ -190,7 +190,7 @@ def layout_tables(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def text_pairs(lines: DataFrame, *keys: str) -> DataFrame:
-    """Loose runs of values and labels as bullets: (keys, run, pair, line) where a run, broken by other lines, alternates for two
+    """Loose runs of values and labels as bullets: (keys, run, pair, first, last, line), first and last being positions, where a run, broken by other lines, alternates for two
     pairs or more and its values are not years alone."""
     content = tx.strip(F.regexp_replace("line", r"^\s*-\s+", ""))
     full = lines.where(tx.strip(F.col("line")) != "").withColumn("text", content)
@@ -202,12 +202,12 @@ def text_pairs(lines: DataFrame, *keys: str) -> DataFrame:
     fits = (F.col("kind") == F.col("first")) == (F.col("i") % 2 == 0)
     marked = marked.withColumn("broken", F.max(F.when(~fits, 1).otherwise(0)).over(run))
     pairs = marked.withColumn("pair", F.floor(F.col("i") / 2)).groupBy(*keys, "run", "pair").agg(
-        F.count("*").alias("n"), F.max("broken").alias("broken"), F.max(F.when(F.col("kind") == "v", F.col("text"))).alias("value"), F.max(F.when(F.col("kind") == "l", F.col("text"))).alias("label")
+        F.count("*").alias("n"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.max("broken").alias("broken"), F.max(F.when(F.col("kind") == "v", F.col("text"))).alias("value"), F.max(F.when(F.col("kind") == "l", F.col("text"))).alias("label")
     )
     good = pairs.where("n = 2 and broken = 0")
     whole = Window.partitionBy(*keys, "run")
     good = good.withColumn("count", F.count("*").over(whole)).withColumn("years", F.min(tx.is_bare_year(F.col("value")).cast("int")).over(whole))
-    return good.where("count >= 2 and years = 0").select(*keys, "run", "pair", F.concat(F.lit("- "), "label", F.lit(": "), "value").alias("line"))
+    return good.where("count >= 2 and years = 0").select(*keys, "run", "pair", "first", "last", F.concat(F.lit("- "), "label", F.lit(": "), "value").alias("line"))
 
 
 def align_row(cells: Column, grid_row: Column) -> Column:

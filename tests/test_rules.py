@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagemill import config
 from pagemill.functions import geometry as geo
+from pagemill.functions import html_tables
 from pagemill.functions import markdown as md
 from pagemill.functions import text as tx
 from pagemill.operators import artifacts as ar
@@ -15,6 +16,7 @@ from pagemill.operators import furniture as fu
 from pagemill.operators import layout as lo
 from pagemill.operators import lines as ln
 from pagemill.operators import model as mo
+from pagemill.operators import splice as sp
 from pagemill.operators import tables as tb
 from pagemill.operators import visual as vi
 from pagemill.plans import postprocess as pp
@@ -326,3 +328,55 @@ def test_markdown_plan(spark):
     got = pp.postprocess(spark.createDataFrame([("d", 1, raw, page)], "doc string, page int, raw string, markdown string")).first()
     assert got["final"] == "# Title\n- one\n- two\n\n| a | b |\n|---|---|\n| 1 |  |\n\nA < B and more\n\n## Unplaced content\n\n- A sentence that was lost about distant mountains\n"
     assert got["unplaced"] == ["A sentence that was lost about distant mountains"]
+
+
+def plan(spark, page, raw=None, **other):
+    data = spark.createDataFrame([("d", 1, page if raw is None else raw, page)], "doc string, page int, raw string, markdown string")
+    return pp.postprocess(data, **other).first()
+
+
+def test_html_tables_become_pipe_tables():
+    spans = "<p>a</p><table><tr><th rowspan=2>G</th><th colspan='2'>a|b &amp; c</th></tr><tr><td>1<br/>x</td><td> 2 </td></tr><tr></tr></table> end"
+    assert html_tables.flatten(spans) == "<p>a</p>\n| G | a\\|b & c | a\\|b & c |\n| --- | --- | --- |\n| G | 1 x | 2 |\n end"
+    assert html_tables.flatten("<table><tr></tr></table>") == "<table><tr></tr></table>"
+    assert html_tables.grid_of([[("a", 1, 9)], [("b", 2, 1)]]) == [["a", "", ""], ["a", "b", "b"]]
+
+
+def test_plan_reshapes_panels_pairs_and_layout_tables(spark):
+    page = (
+        "# Figures\n\n| €2.8 bn | 12% | 4.1x |\n|---|---|---|\n| FREE CASH FLOW | SALES GROWTH RATE | NET DEBT RATIO |\n\n18%\nRECYCLED MATERIAL SHARE\n\n42%\nRENEWABLE POWER SHARE\n\n"
+        "| Scope | Action |\n|---|---|\n| all of the sites<br>- north | planned measures |\n\n<table><tr><td>k</td><td>v</td></tr><tr><td>x</td><td>1</td></tr></table>\n"
+    )
+    got = plan(spark, page)
+    assert got["final"] == (
+        "# Figures\n\n- FREE CASH FLOW: €2.8 bn\n- SALES GROWTH RATE: 12%\n- NET DEBT RATIO: 4.1x\n\n- RECYCLED MATERIAL SHARE: 18%\n- RENEWABLE POWER SHARE: 42%\n\n"
+        "**Scope**\n\nall of the sites\n\n- north\n\n**Action**\n\nplanned measures\n\n| k | v |\n|---|---|\n| x | 1 |\n"
+    )
+    assert got["warnings"] == {"panels_converted": 1, "text_pairs": 2, "layout_tables_unwrapped": 1} and got["unplaced"] == []
+
+
+def test_plan_keeps_what_was_set_aside(spark):
+    page = "Body text of the page\n\n## Uncertain mappings\n\n![Picture p0001-i001](a.png)\n- a figure of unclear origin\n- 4\n\n## Unplaced content\n\n- (none)\n- a caption set aside by the writer\n- Body text of the page\n"
+    got = plan(spark, page, raw="Body text of the page")
+    assert got["final"] == (
+        "Body text of the page\n\n![Picture p0001-i001](a.png)\n\n## Unplaced content\n\n- a figure of unclear origin\n- a caption set aside by the writer\n"
+    )
+    assert got["unplaced"] == ["a figure of unclear origin", "a caption set aside by the writer"]
+
+
+def test_verified_tables_are_placed_once(spark):
+    sure = "| Name of the programme | Result of the year |\n|---|---|\n| Clean water for all sites | reached in part |\n| Energy from the sun alone | not reached yet |"
+    left = "Before\n\n| Name of the programme | Result of the year |\n|---|---|\n| Clean water for all sites | reached in part |\n\n- Energy from the sun alone: not reached yet\n\nAfter\n\n| Name of the programme |\n|---|\n| Clean water for all sites |\n"
+    table = spark.createDataFrame([("d", 1, 7, "table", sure, None, None)], "doc string, page int, table int, kind string, markdown string, source array<string>, titles array<string>")
+    got = plan(spark, left, tables=table)
+    assert got["final"].count("Energy from the sun alone") == 1 and got["final"].startswith("Before\n\n" + sure) and got["final"].count("| Name of the programme") == 1
+    assert "After" in got["final"] and got["warnings"]["tables_enforced"] == 1
+    assert plan(spark, "Nothing of it\n", tables=table)["final"] == "Nothing of it\n"
+    banded = table.withColumn("kind", F.lit("sections"))
+    assert plan(spark, "Nothing of it\n", tables=banded)["final"] == "Nothing of it\n\n" + sure + "\n"
+
+
+def test_blocks_shared_with_the_body_are_not_missing(spark):
+    body = spark.createDataFrame([(1, "the quick brown fox jumped over fences")], "page int, body string")
+    missing = spark.createDataFrame([(1, 0, "Xquick brown fox jumpedX"), (1, 1, "unrelated words here")], "page int, pos int, line string")
+    assert [r["pos"] for r in sp.without_shared_blocks(missing, body, "page").collect()] == [1]
