@@ -2,14 +2,16 @@
 
 Fingerprints of 64 bits are compared exactly: numpy exclusive-or and bit counts over tiles of rows, where a pair
 of tiles is skipped when its population counts differ by more than the radius.  To keep this from comparing every
-tile with every other, rows are first dealt into buckets: of radius + 1 bands of bits, two fingerprints within the
-radius agree on one band at least, so comparing inside buckets loses no link.  Only distinct fingerprints are
-compared (a group of exact copies is one row), a bucket above BASE rows is split by its base rows over tasks, and
-a task reports a spanning forest of its links, never all pairs.
+tile with every other, rows are first dealt into buckets: of radius + m bands of bits, two fingerprints within the
+radius agree on m bands at least, so comparing inside buckets of every choice of m bands loses no link.  m is the
+smallest number for which a bucket is expected to hold no more than BASE fingerprints; it changes the work, never the
+links.  Only distinct fingerprints are compared (a group of exact copies is one row), a bucket above BASE rows is
+split by its base rows over tasks, and a task reports a spanning forest of its links, never all pairs.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -112,12 +114,19 @@ def _compare(radius: int):
     return links
 
 
-def simhash_links(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """Links (u, v) that connect all fingerprints `fp` (distinct longs) within the radius."""
-    bands = radius + 1
+def agreeing_bands(count: int, radius: int, base: int = BASE) -> int:
+    """Bands that must agree: the fewest with which `count` evenly spread fingerprints put at most `base` in a bucket."""
+    return next((m for m in range(1, 4) if count <= base * 2 ** (64 * m // (radius + m))), 4)
+
+
+def simhash_links(prints: DataFrame, radius: int = 3, agree: int = 1) -> DataFrame:
+    """Links (u, v) that connect all fingerprints `fp` (distinct longs) within the radius.  Of radius + `agree` bands, a
+    bucket is a choice of `agree` bands and their bits."""
+    bands = radius + agree
     cuts = [round(64 * k / bands) for k in range(bands + 1)]
-    rows = prints.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("fp", lo).bitwiseAND((1 << (hi - lo)) - 1).alias("v")) for k, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False))])).alias("b"))
-    rows = rows.select("fp", F.xxhash64("b.k", "b.v").alias("bucket"))
+    masks = [sum((1 << cuts[k + 1]) - (1 << cuts[k]) for k in chosen) for chosen in itertools.combinations(range(bands), agree)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    rows = prints.select("fp", F.explode(F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m).cast("long"))) for k, m in enumerate(signed)])).alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / BASE).cast("int")
     rows = rows.join(sizes, "bucket").withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("fp"), "parts"))
@@ -166,8 +175,8 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     often as they came; other columns are ignored; an empty table gives an empty table.
     """
     slim = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), _fingerprints(F.col(text_col).cast("string")).alias("fp")), "simhash")
-    nodes = slim.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(simhash_links(nodes.select("fp"), radius))
+    nodes = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    roots = components(simhash_links(nodes.select("fp"), radius, agreeing_bands(nodes.count(), radius)))
     nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = nodes.select("fp", "root").join(named, "root").select("fp", "component_id")

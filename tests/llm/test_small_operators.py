@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -95,7 +96,12 @@ def test_simhash_equals_brute_force(spark):
             assert f == f"{prints[d]:016x}" and c == want[d]
 
 
-def test_simhash_links_chains_and_dense_groups(spark):
+def test_simhash_bands_follow_the_count():
+    assert [simhash.agreeing_bands(n, 3) for n in (0, 10**8, 10**10, 10**12, 10**15)] == [1, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("agree", [1, 2, 3])
+def test_simhash_links_chains_and_dense_groups(spark, agree):
     rng = np.random.default_rng(3)
     centres = rng.integers(0, 2**63, 30, dtype=np.uint64)
     near = [int(c) for c in centres]
@@ -108,8 +114,8 @@ def test_simhash_links_chains_and_dense_groups(spark):
     dense = [int(centres[0]) ^ (1 << a) ^ (1 << b) for a in range(40) for b in range(a)]
     values = sorted(set(near + dense))
     signed = [v - 2**64 if v >= 2**63 else v for v in values]
-    links = simhash.simhash_links(spark.createDataFrame([(v,) for v in signed], "fp long"))
-    assert links.count() < 4 * len(values)
+    links = simhash.simhash_links(spark.createDataFrame([(v,) for v in signed], "fp long"), agree=agree)
+    assert links.count() < math.comb(3 + agree, agree) * len(values)  # a forest a choice of bands
     root = {r["node"]: r["root"] for r in simhash.components(links).collect()}
     want = _components(dict(enumerate(values)))
     groups = defaultdict(set)
