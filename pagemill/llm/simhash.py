@@ -175,8 +175,10 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     often as they came; other columns are ignored; an empty table gives an empty table.
     """
     slim = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), _fingerprints(F.col(text_col).cast("string")).alias("fp")), "simhash")
-    nodes = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    roots = components(simhash_links(nodes.select("fp"), radius, agreeing_bands(nodes.count(), radius)))
+    nodes = slim.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    # how many bands agree only shifts work, so an estimate that shuffles no rows is enough
+    about = slim.agg(F.approx_count_distinct("fp")).first()[0]
+    roots = components(simhash_links(nodes.select("fp"), radius, agreeing_bands(about, radius)))
     nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = nodes.select("fp", "root").join(named, "root").select("fp", "component_id")
