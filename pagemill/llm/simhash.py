@@ -27,6 +27,10 @@ from .common import documents, materialize
 #: Rows of a tile, base rows of a task in a large bucket, and rows compared at once in a partition.
 TILE, BASE, BUFFER = 1024, 8192, 65536
 
+#: The stage of the pipeline: words of a shingle, least similarity (as a fraction), sets sampled for the order of shingles, how many of
+#: them make a shingle common, base rows of a task, rows of a batch.
+SHINGLE, SIMILAR, SAMPLE, OFTEN, BASE_SETS, SET_BATCH = 5, (4, 5), 4096, 8, 256, 500
+
 
 def fingerprint(text: str | None, *, shingle: int = 3, seed: int = 42) -> int:
     """SimHash of word shingles, repeats counted; 0 for a text without words."""
@@ -190,13 +194,174 @@ def op3_simhash(spark, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
 
 
+def shingle_set(text: str | None, *, shingle: int = SHINGLE, seed: int = 42) -> np.ndarray:
+    """Sorted distinct hashes of word shingles; a shorter text is one shingle, a text without words has none."""
+    words = (text or "").encode().lower().split()
+    digest, n = xxhash.xxh64_intdigest, max(1, len(words) - shingle + 1) if words else 0
+    return np.unique(np.fromiter((digest(b" ".join(words[i : i + shingle]), seed) for i in range(n)), np.uint64, n).view(np.int64))
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _shingle_sets(texts: pd.Series) -> pd.Series:
+    return pd.Series([shingle_set(t) for t in texts], dtype=object)
+
+
+def bitmap(found: np.ndarray) -> np.ndarray:
+    """Bits that a set's hashes touch, twice as many as hashes at least (a power of two), packed."""
+    bits = np.zeros(max(64, 1 << (2 * len(found) - 1).bit_length()), bool)
+    bits[found & (len(bits) - 1)] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def _prefixes(common: np.ndarray, weight: np.ndarray):
+    """Size and bitmap of each set, and its prefix in the order of weight (0 unless common), then hash: all but as many as similar
+    sets must share, and one."""
+
+    @F.pandas_udf("size long, bits binary, prefix array<long>")
+    def prefixes(sets: pd.Series) -> pd.DataFrame:
+        out = []
+        for s in sets:
+            at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+            rank = np.where(common[at] == s, weight[at], 0)
+            out.append((len(s), bitmap(s).tobytes(), s[np.lexsort((s, rank))[: len(s) + 1 + -len(s) * SIMILAR[0] // SIMILAR[1]]]))
+        return pd.DataFrame(out, columns=["size", "bits", "prefix"])
+
+    return prefixes
+
+
+def _forest_by(sizes: np.ndarray, base: np.ndarray, shared) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the pairs of which one is a base row and that are similar if `shared(i, rows)` hashes are shared; rows come
+    by size.  Pairs that are already connected or differ too much in size are not compared."""
+    n, (a, b) = len(sizes), SIMILAR
+    forest, rows = _Forest(n), np.arange(n)
+    ends = np.searchsorted(sizes, sizes * b // a, side="right")
+    for i in range(n):
+        near = rows[i + 1 : ends[i]]
+        near = near if base[i] else near[base[near]]
+        if len(near):
+            near = near[forest.roots(near) != forest.roots(rows[i : i + 1])]
+        for k in range(0, len(near), TILE):
+            some = near[k : k + TILE]
+            some = some[(a + b) * shared(i, some) >= a * (sizes[i] + sizes[some])]
+            forest.link(np.full(len(some), i), some)
+    roots = forest.roots(rows)
+    return rows[roots != rows], roots[roots != rows]
+
+
+def similar_in(sets: list[np.ndarray], base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The forest of similar sets."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+
+    def shared(i: int, some: np.ndarray) -> np.ndarray:
+        values = np.concatenate([sets[j] for j in some])
+        at = np.minimum(np.searchsorted(sets[i], values), sizes[i] - 1)
+        return np.add.reduceat(sets[i][at] == values, np.cumsum(sizes[some]) - sizes[some], dtype=np.int64)
+
+    return _forest_by(sizes, base, shared)
+
+
+def perhaps_similar_in(sizes: np.ndarray, bits: list[np.ndarray], base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The forest of sets that can be similar by their bitmaps: a bit that only one of two sets has is a hash that only it has."""
+    wide, maps = np.array([len(x) for x in bits]), {}
+    place = np.empty(len(bits), np.int64)
+    for w in np.unique(wide).tolist():
+        rows = np.flatnonzero(wide == w)
+        place[rows] = np.arange(len(rows))
+        maps[w] = np.stack([bits[j] for j in rows]).view(np.uint64)
+
+    def shared(i: int, some: np.ndarray) -> np.ndarray:
+        out, own = np.empty(len(some), np.int64), maps[int(wide[i])][place[i]]
+        for w in np.unique(wide[some]).tolist():
+            at = np.flatnonzero(wide[some] == w)
+            other = maps[w][place[some[at]]]
+            while other.shape[1] > len(own):  # fold to the narrower one
+                half = other.shape[1] // 2
+                other = other[:, :half] | other[:, half:]
+            only = [np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (own & ~other, other & ~own)]
+            out[at] = np.minimum(sizes[i] - only[0], sizes[some[at]] - only[1])
+        return out
+
+    return _forest_by(sizes, base, shared)
+
+
+def _by_group(column: str, forest) -> object:
+    """Forests of groups (grp, node, base, size, `column`), sorted by group and size."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+
+        def flush():
+            nodes, base, sizes = (np.array(x, kind) for x, kind in zip(list(zip(*held, strict=True))[:3], (np.int64, bool, np.int64), strict=True))
+            child, root = forest(sizes, [x[3] for x in held], base)
+            return pa.record_batch([pa.array(nodes[child]), pa.array(nodes[root])], names=["u", "v"])
+
+        for batch in batches:
+            data = batch.column(column)
+            lists = pa.types.is_list(data.type)
+            values, cuts = (data.values.to_numpy(), data.offsets.to_numpy()) if lists else (None, None)
+            for k, (grp, *row) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("grp", "node", "base", "size")), strict=True)):
+                if held and grp != last:
+                    yield flush()
+                    held = []
+                last = grp
+                held.append((*row, values[cuts[k] : cuts[k + 1]].copy() if lists else np.frombuffer(data[k].as_py(), np.uint8)))
+        if held:
+            yield flush()
+
+    return links
+
+
+def _compare_in(rows: DataFrame, data: DataFrame, column: str, forest) -> DataFrame:
+    """Links inside groups: rows of node, key and parts (tasks of a group, each with its own base rows) meet data of node, size and column."""
+    own = F.pmod(F.xxhash64("node"), "parts")
+    rows = rows.select("node", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    rows = rows.select(F.xxhash64("key", "part").alias("grp"), "node", (F.col("own") == F.col("part")).alias("base"))
+    met = rows.join(data, "node").repartition("grp").sortWithinPartitions("grp", "size").select("grp", "node", "base", "size", column)
+    return met.mapInArrow(_by_group(column, forest), "u long, v long")
+
+
+def similar_links(slim: DataFrame) -> DataFrame:
+    """Links (u, v) that connect all similar sets; slim is a written table of node and set, of equal sets one node.
+
+    Two similar sets share a shingle of their prefixes in any order of shingles, so nothing is lost; the order, rarest
+    first by a sample of sets, keeps buckets small.  Of buckets with the same members one is compared, by bitmaps that
+    bound what two sets can share; sets that these connect meet once, to be compared exactly."""
+    rate = max(1, slim.agg(F.approx_count_distinct("node")).first()[0] // SAMPLE)
+    some = slim.where(F.pmod(F.xxhash64("node"), F.lit(rate)) == 0).select("node", "set").dropDuplicates(["node"])
+    often = some.select(F.explode("set").alias("x")).groupBy("x").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).toPandas().sort_values("x")
+    common, weight = (often[c].to_numpy(np.int64) if len(often) else np.zeros(1, np.int64) for c in ("x", "n"))
+    nodes = slim.select("node", _prefixes(common, weight)("set").alias("x")).select("node", "x.*").where("size > 0").dropDuplicates(["node"])
+    nodes = materialize(nodes, "prefixes")
+    parts = F.ceil(F.col("n") / BASE_SETS).cast("int").alias("parts")
+    keys = nodes.select("node", F.explode("prefix").alias("key"))
+    one, two = (F.bit_xor(F.xxhash64("node", F.lit(k))) for k in (1, 2))
+    sizes = keys.groupBy("key").agg(F.count("*").alias("n"), one.alias("one"), two.alias("two")).where("n > 1")
+    sizes = sizes.groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key", parts)
+    loose = components(_compare_in(keys.join(sizes, "key"), nodes.select("node", "size", "bits"), "bits", perhaps_similar_in))
+    blocks = loose.select("node", F.col("root").alias("key")).unionByName(loose.select(F.col("root").alias("node"), F.col("root").alias("key")).distinct())
+    blocks = blocks.join(blocks.groupBy("key").agg(F.count("*").alias("n")).select("key", parts), "key")
+    sets = slim.select("node", F.size("set").cast("long").alias("size"), "set").join(blocks.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return _compare_in(blocks, sets, "set", lambda sizes, sets, base: similar_in(sets, base))
+
+
 def stage_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each component: the one with its smallest doc_id (once, if the row is repeated).
-    Of documents without any id in their component, one of each fingerprint stays."""
-    found = simhash_components(docs)
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id"])
-    named = found.where("component_id is not null").select(F.col("fingerprint").alias("_pm_print")).distinct()
-    nameless = docs.where(F.col("doc_id").isNull()).withColumn("_pm_print", F.lower(F.lpad(F.hex(_fingerprints("text")), 16, "0")))
-    nameless = nameless.join(named, "_pm_print", "left_anti").dropDuplicates(["_pm_print"]).select(docs.columns)
-    return kept.unionByName(nameless)
+    """Keep one document of each component over links of similar texts: the one with its smallest doc_id (once, if the row
+    is repeated).  Texts are similar when SIMILAR (four fifths) of their distinct five-word shingles are shared; texts
+    without words are alike.  Of documents without any id in their component one stays."""
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SET_BATCH))  # what comes back has no Python left to run
+    try:
+        return _one_of_each(docs)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
+def _one_of_each(docs: DataFrame) -> DataFrame:
+    keyed = docs.withColumn("_pm_key", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.xxhash64("text").cast("string"))))
+    slim = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "_pm_key", _shingle_sets(F.col("text").cast("string")).alias("set"))
+    slim = materialize(slim.withColumn("node", F.xxhash64("set")), "shingles")
+    best = lambda c: F.min(c).alias("best")
+    nodes = slim.groupBy("node").agg(best(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_pm_key")))
+    roots = components(similar_links(slim))
+    nodes = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(best("best"))
+    return keyed.join(nodes.select("best._pm_key"), "_pm_key", "left_semi").dropDuplicates(["_pm_key"]).select(docs.columns)

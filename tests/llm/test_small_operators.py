@@ -145,6 +145,45 @@ def test_dedup_stage_keeps_one_of_each(spark):
     assert Counter(i for i in ids if i is not None) == Counter({c: 1 for c in set(want.values())})
 
 
+def _shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_dedup_stage_links_all_of_similarity_four_fifths(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    texts, shared = [], [word() for _ in range(30)]
+    for _ in range(60):
+        words = [word() for _ in range(rng.choice([3, 8, 40, 150]))] + shared * rng.randrange(2)
+        texts.append(" ".join(words))
+        for _ in range(rng.randrange(4)):
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(len(words))] = word()
+            texts.append(" ".join(words))
+    sets, parent, near = [_shingles(t) for t in texts], list(range(len(texts))), set()
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                near.add((j, i))
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    assert any(sets[i] != sets[j] and 5 * len(sets[i] & sets[j]) < 4.5 * len(sets[i] | sets[j]) for i, j in near)
+    kept = simhash.stage_dedup(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({find(i) for i in range(len(texts))})
+
+
+def test_similar_in_compares_exactly_at_four_fifths():
+    a = np.arange(9, dtype=np.int64)
+    child, root = simhash.similar_in([a[:4], a[:5], a[[0, 1, 2, 3, 7]], a[:9]], np.ones(4, bool))
+    assert {frozenset(x) for x in zip(child.tolist(), root.tolist(), strict=True)} == {frozenset((1, 0)), frozenset((2, 0))}
+
+
 # --- mixing -----------------------------------------------------------------------------------------------------
 
 
