@@ -346,7 +346,7 @@ def similar_links(slim: DataFrame) -> DataFrame:
 
 def stage_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component over links of similar texts: the one with its smallest doc_id (once, if the row
-    is repeated).  Texts are similar when SIMILAR (four fifths) of their distinct five-word shingles are shared; texts
+    is repeated; of several texts under that id, one).  Texts are similar when SIMILAR (four fifths) of their distinct five-word shingles are shared; texts
     without words are alike.  Of documents without any id in their component one stays."""
     batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SET_BATCH))  # what comes back has no Python left to run
@@ -357,7 +357,7 @@ def stage_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _one_of_each(docs: DataFrame) -> DataFrame:
-    keyed = docs.withColumn("_pm_key", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.xxhash64("text").cast("string"))))
+    keyed = docs.withColumn("_pm_key", F.concat_ws(":", F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.xxhash64("text").cast("string"))))
     slim = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "_pm_key", _shingle_sets(F.col("text").cast("string")).alias("set"))
     slim = materialize(slim.withColumn("node", F.xxhash64("set")), "shingles")
     best = lambda c: F.min(c).alias("best")

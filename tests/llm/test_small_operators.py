@@ -178,6 +178,13 @@ def test_dedup_stage_links_all_of_similarity_four_fifths(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({find(i) for i in range(len(texts))})
 
 
+def test_dedup_stage_tells_texts_under_one_id_apart(spark):
+    a, b, c = ("one two three four five six", "red green blue black white grey", "x y z u v w")
+    stage = lambda data: sorted(tuple(r) for r in simhash.stage_dedup(spark, spark.createDataFrame(data, "doc_id long, text string"), "").collect())
+    assert stage([(7, a), (7, b), (3, b)]) == [(3, b), (7, a)]
+    assert stage([(7, a), (7, c), (7, c)]) == sorted([(7, a), (7, c)])
+
+
 def test_similar_in_compares_exactly_at_four_fifths():
     a = np.arange(9, dtype=np.int64)
     child, root = simhash.similar_in([a[:4], a[:5], a[[0, 1, 2, 3, 7]], a[:9]], np.ones(4, bool))
