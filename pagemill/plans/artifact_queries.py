@@ -128,7 +128,7 @@ SELECT id, CASE WHEN k > 1 THEN 'conflict' WHEN e IS NOT NULL THEN 'already_pres
 
 
 def _geometry(spark, d):
-    li = _read(spark, d, "lineitem").where("l_orderkey % 50 = 0")
+    li = _read(spark, d, "lineitem")
     y = (F.col("l_linenumber") + 1) / 10
     rules = li.select(F.col("l_orderkey").alias("page"), y.alias("y"), (F.col("l_discount") * 2).alias("x0"), (F.lit(0.6) + F.col("l_tax") * 4).alias("x1"))
     tables = li.select(F.col("l_orderkey").alias("page")).distinct().withColumn("table", F.lit(1)).withColumn("rect", F.array(*[F.lit(x) for x in (0.0, 0.0, 1.0, 1.0)]))
@@ -146,11 +146,14 @@ HAVING max(greatest(0, least(1, 0.6 + l_tax * 4) - greatest(0, l_discount * 2)))
 
 def reconcile_grid(spark, d):
     """Source lines placed on the grid that rules and column intervals draw."""
+    from pyspark.sql import Window
+
     li, rules, tables = _geometry(spark, d)
     bounds = ar.rule_boundaries(rules, tables)
     y = (F.col("l_linenumber") + 1) / 10 + 0.02
     left = (F.col("l_suppkey") % 2) * 0.5
-    lines = li.select(F.col("l_orderkey").alias("page"), F.lit(1).alias("table"), F.col("l_linenumber").alias("line"), F.array(left + 0.05, y, left + 0.3, y + 0.05).alias("rect"), F.col("l_partkey").cast("string").alias("text"))
+    nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))  # line numbers repeat in an order
+    lines = li.select(F.col("l_orderkey").alias("page"), F.lit(1).alias("table"), nth.alias("line"), F.array(left + 0.05, y, left + 0.3, y + 0.05).alias("rect"), F.col("l_partkey").cast("string").alias("text"))
     columns = tables.select("page", "table", F.explode(F.array(F.struct(F.lit(0).alias("col"), F.lit(0.0).alias("left"), F.lit(0.5).alias("right")), F.struct(F.lit(1).alias("col"), F.lit(0.5).alias("left"), F.lit(1.0).alias("right")))).alias("c")).select("page", "table", "c.*")
     return ar.lines_to_grid(lines, columns, bounds).select("page", "band", "col", "text")
 

@@ -31,3 +31,16 @@ def same(spark, duck, name, sql):
 
 def test_footnotes_of_every_order(spark, duck):
     same(spark, duck, "footnotes", uncut(table_queries.footnotes_sql, (" WHERE l_orderkey % 10 = 0", "")))
+
+
+def test_rules_of_every_order(spark, duck):
+    # the pieces of a rule overlap, so together they cover from the least start to the greatest end
+    sql = """SELECT l_orderkey AS page, round((l_linenumber + 1) / 10, 6) AS y FROM lineitem WHERE l_linenumber <= 9 GROUP BY ALL
+    HAVING least(1, max(0.6 + l_tax * 4)) - greatest(0, min(l_discount * 2)) >= 0.5 - 1e-9"""
+    same(spark, duck, "rule_boundaries", sql)
+
+
+def test_grid_takes_every_line(spark, duck):
+    got = registry.queries()["reconcile_grid"](spark, SF).select(F.explode(F.split("text", " ")).alias("text")).groupBy("text").count().toPandas()
+    want = duck.execute("SELECT l_partkey::VARCHAR AS text, count(*) AS count FROM lineitem GROUP BY 1").fetchdf()
+    assert rows(got) == rows(want)
