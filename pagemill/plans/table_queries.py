@@ -182,10 +182,12 @@ SELECT conv_id, CASE WHEN longest > 200 OR chars > 120 * filled THEN 'unwrap' EL
 
 
 def _toc(spark, d):
-    """Contents pages: each brand's parts as rows of number, title and page."""
+    """Contents pages: each brand's parts as rows of number, title and page.  A page holds 20 parts; a brand's further pages
+    are named after it with their number."""
     p = _read(spark, d, "part")
     n = F.row_number().over(_number_by("p_brand", "p_partkey"))
-    p = p.select(F.col("p_brand").alias("t"), n.alias("n"), "p_name", "p_partkey").where("n <= 20")
+    p = p.select("p_brand", (n - 1).alias("at"), "p_name", "p_partkey").withColumn("page", F.expr("at div 20 + 1")).withColumn("n", F.col("at") % 20 + 1)
+    p = p.withColumn("t", F.when(F.col("page") == 1, F.col("p_brand")).otherwise(F.concat("p_brand", F.lit(" ("), "page", F.lit(")"))))
     raw = p.select("t", F.col("n").alias("pos"), F.concat(F.lit("| 2."), "n", F.lit(" | "), "p_name", F.lit(" "), "p_partkey", F.lit(" | "), (F.col("n") * 3).cast("string"), F.lit(" |")).alias("line"))
     own = p.select("t", F.col("n").alias("pos"), F.concat("n", F.lit(". "), "p_name", F.lit(" "), "p_partkey").alias("line"))
     return raw, own

@@ -44,3 +44,14 @@ def test_grid_takes_every_line(spark, duck):
     got = registry.queries()["reconcile_grid"](spark, SF).select(F.explode(F.split("text", " ")).alias("text")).groupBy("text").count().toPandas()
     want = duck.execute("SELECT l_partkey::VARCHAR AS text, count(*) AS count FROM lineitem GROUP BY 1").fetchdf()
     assert rows(got) == rows(want)
+
+
+def test_contents_pages_hold_every_part(spark, tmp_path):
+    parts = [(k, f"part {k % 7}", "B") for k in range(1, 51)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    q = registry.queries()
+    got = {r["t"]: (r["numbered"], r["toc"]) for r in q["toc_detect"](spark, str(tmp_path)).collect()}
+    assert got == {"B": (20, True), "B (2)": (20, True), "B (3)": (10, True)}
+    got = {(r["t"], r["pos"], r["line"]) for r in q["toc_numbers"](spark, str(tmp_path)).collect()}
+    pages = ("B", "B (2)", "B (3)")
+    assert got == {(pages[(k - 1) // 20], (k - 1) % 20 + 1, f"- 2.{(k - 1) % 20 + 1} {name} {k}") for k, name, _ in parts}
