@@ -46,7 +46,7 @@ o AS (SELECT * FROM p WHERE ratio >= 0.5), c AS (SELECT *, count(*) OVER (PARTIT
 
 
 def axis_gaps(spark, d):
-    g = lo.axis_gaps(_rects(spark, d).where("idx % 40 < 3"), 0, 0.01, "label", "page")
+    g = lo.axis_gaps(_rects(spark, d), 0, 0.01, "label", "page")
     return g.select("label", "page", F.round("gap", 6).alias("gap"))
 
 

@@ -55,3 +55,11 @@ def test_contents_pages_hold_every_part(spark, tmp_path):
     got = {(r["t"], r["pos"], r["line"]) for r in q["toc_numbers"](spark, str(tmp_path)).collect()}
     pages = ("B", "B (2)", "B (3)")
     assert got == {(pages[(k - 1) // 20], (k - 1) % 20 + 1, f"- 2.{(k - 1) % 20 + 1} {name} {k}") for k, name, _ in parts}
+
+
+def test_gaps_are_those_of_all_rectangles(spark, tmp_path):
+    # starts are twice the first component, widths the third and 0.01: 5 covers the gap between 0 and 41, nothing that between 41 and 7
+    at = {0: (0.0, 0.05), 5: (0.02, 0.20), 41: (0.1, 0.05), 7: (0.3, 0.05)}
+    spark.createDataFrame([(k, 1, [x, 0.0, w, 0.1]) for k, (x, w) in at.items()], "vec_id long, label int, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = [(r["label"], r["page"], r["gap"]) for r in registry.queries()["axis_gaps"](spark, str(tmp_path)).collect()]
+    assert got == [(1, 0, pytest.approx((0.26 + 0.6) / 2, abs=1e-6))]
