@@ -53,7 +53,7 @@ def page_markdown(found: DataFrame) -> DataFrame:
 
 
 def block_rows(found: DataFrame) -> DataFrame:
-    """Block records of each page: id, type, heading path and text.
+    """Block records of each page: id, type, heading path, text (its first 500 characters) and text_full.
 
     The path keeps the headings before a level by position: path[:level - 1] plus the new one.  That is a fold over the
     page's headings; it runs per page on headings alone, and blocks look up the path of the last one at or before them."""
@@ -69,5 +69,5 @@ def block_rows(found: DataFrame) -> DataFrame:
     last = F.last("own_path", ignorenulls=True).over(page("doc", "page").rowsBetween(Window.unboundedPreceding, 0))
     return rows.select(
         "doc", "page", F.format_string("p%04d-b%04d", F.col("page"), F.col("pos") + 1).alias("block_id"), F.col("kind").alias("type"), F.array_join(F.coalesce(last, F.array().cast("array<string>")), " > ").alias("heading_path"),
-        F.substring("text", 1, 500).alias("text"), F.length("text").alias("n_chars"),
+        F.substring("text", 1, 500).alias("text"), F.col("text").alias("text_full"), F.length("text").alias("n_chars"),
     )

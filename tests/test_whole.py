@@ -63,3 +63,10 @@ def test_gaps_are_those_of_all_rectangles(spark, tmp_path):
     spark.createDataFrame([(k, 1, [x, 0.0, w, 0.1]) for k, (x, w) in at.items()], "vec_id long, label int, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
     got = [(r["label"], r["page"], r["gap"]) for r in registry.queries()["axis_gaps"](spark, str(tmp_path)).collect()]
     assert got == [(1, 0, pytest.approx((0.26 + 0.6) / 2, abs=1e-6))]
+
+
+def test_blocks_keep_the_whole_text(spark, tmp_path):
+    text = "word " * 150 + "end"
+    spark.createDataFrame([(1, "http://h.org/", f"<h1>H</h1><p>{text}</p>")], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["type"]: (r["text"], r["text_full"], r["n_chars"]) for r in registry.queries()["page_blocks"](spark, str(tmp_path)).collect()}
+    assert got == {"section_header": ("H", "H", 1), "paragraph": (text[:500], text, len(text))}
