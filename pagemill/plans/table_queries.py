@@ -170,8 +170,8 @@ SELECT t, k % 3 = 0 OR (k % 3 = 2 AND len(list_intersect(numbers, first)) >= 0.9
 
 
 def layout_tables(spark, d):
-    """Web pages as one-row tables of heading and first text: which are prose in disguise?"""
-    c = _read(spark, d, "conversations").where("turn < 2")
+    """Conversations as tables of role and text, a row a turn: which are prose in disguise?"""
+    c = _read(spark, d, "conversations")
     rows = c.select("conv_id", F.col("turn").alias("r"), F.array(F.col("role"), tx.escape_cell(F.col("text"))).alias("cells"))
     return tb.layout_tables(rows, "conv_id")
 

@@ -70,3 +70,9 @@ def test_blocks_keep_the_whole_text(spark, tmp_path):
     spark.createDataFrame([(1, "http://h.org/", f"<h1>H</h1><p>{text}</p>")], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     got = {r["type"]: (r["text"], r["text_full"], r["n_chars"]) for r in registry.queries()["page_blocks"](spark, str(tmp_path)).collect()}
     assert got == {"section_header": ("H", "H", 1), "paragraph": (text[:500], text, len(text))}
+
+
+def test_layout_tables_take_every_turn(spark, duck):
+    whole = uncut(table_queries.layout_tables_sql, (" WHERE turn < 2", ""), ("WHEN longest", "WHEN n <= 4 AND (longest"), ("* filled THEN", "* filled) THEN"))
+    same(spark, duck, "layout_tables", whole)
+    assert duck.execute("SELECT max(turn) FROM conversations").fetchone()[0] >= 4
