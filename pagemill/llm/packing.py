@@ -3,11 +3,12 @@
 Documents become token pieces of at most `capacity` tokens; pieces are packed whole into sequences.  A piece as long as
 a sequence is one.  The others are dealt by hash into regions of about REGION pieces; each region is solved by ISLANDS
 islands, Spark groups with seeds of their own.  An island's individuals are partitions of the region's pieces into
-bins.  Crossover injects the best-filled bins of one parent whole into the other, removes the bins there that share
-a piece with them, and best-fits the displaced pieces, largest first; mutation dissolves the worst-filled bins likewise.
-After each epoch the islands of a region exchange their elites, and the last exchange picks the fewest bins.
+bins, at first in random order.  Crossover injects the best-filled bins of one parent whole into the other, removes the
+bins there that share a piece with them, and best-fits the displaced pieces, largest first; mutation dissolves the
+worst-filled bins, and some by chance, likewise.  After each epoch the islands of a region exchange their elites, and the
+last exchange picks the fewest bins.  Sequences that stay half empty are taken out of all regions and evolved together.
 
-An island stops early when it reaches the bound ceil(tokens / capacity): nothing better exists.
+Every island runs all its generations, whatever bound it meets; what it took is reported with each piece.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ from .common import documents, materialize
 
 CAPACITY, END = 2048, 0
 #: Pieces of a region, islands of a region, epochs, generations of an epoch, individuals, share of bins that move.
-REGION, ISLANDS, EPOCHS, GENERATIONS, POPULATION, INJECT, DISSOLVE = 8192, 2, 2, 6, 4, 0.3, 0.05
+REGION, ISLANDS, EPOCHS, GENERATIONS, POPULATION, INJECT, DISSOLVE = 8192, 2, 2, 5, 4, 0.3, 0.4
 
 
 def tokenizer_files(name: str = "byte_bpe_50k") -> dict[str, str]:
@@ -103,14 +105,14 @@ class Bins:
         new.items, new.free = [list(x) for x in self.items], list(self.free)
         return new
 
-    def best_fit(self, loose: list[int]) -> None:
-        """Put items, largest first, where they leave the least room; ties to the bin opened last."""
+    def best_fit(self, loose: list[int], largest_first: bool = True) -> None:
+        """Put items where they leave the least room; ties to the bin opened last."""
         by_room: list[list[int]] = [[] for _ in range(self.capacity + 1)]
         mask = 0
         for b, room in enumerate(self.free):
             by_room[room].append(b)
             mask |= 1 << room
-        for item in sorted(loose, key=self.sizes.__getitem__, reverse=True):
+        for item in sorted(loose, key=self.sizes.__getitem__, reverse=True) if largest_first else loose:
             n = self.sizes[item]
             if above := mask >> n:
                 room = n + (above & -above).bit_length() - 1
@@ -176,56 +178,75 @@ class Bins:
         return new
 
 
-def evolve(sizes: list[int], capacity: int, elites: list[np.ndarray], seed: int, generations: int = GENERATIONS) -> np.ndarray:
-    """One epoch of an island: the bin of each item in its best individual."""
-    rng, bound = np.random.default_rng(seed), -(-sum(sizes) // capacity)
+@dataclass
+class Evolved:
+    """The bin of each item in the best individual of an epoch, and what it took."""
+
+    numbers: np.ndarray
+    generations: int
+    crossovers: int
+
+
+def evolve(sizes: list[int], capacity: int, elites: list[np.ndarray], seed: int, generations: int = GENERATIONS) -> Evolved:
+    """One epoch of an island.  Individuals that no elite fills start from a random order, each item put where it leaves
+    the least room.  Every epoch runs all its generations; the population's worse half is replaced by children."""
+    rng = np.random.default_rng(seed)
     population = [Bins.of(sizes, capacity, e) for e in elites]
     while len(population) < POPULATION:
         one = Bins(sizes, capacity)
-        if population:  # others than the first start from a random part packed on its own
-            part = rng.random(len(sizes)) < 0.5
-            one.best_fit([i for i in range(len(sizes)) if part[i]])
-            one.best_fit([i for i in range(len(sizes)) if not part[i]])
-        else:
-            one.best_fit(list(range(len(sizes))))
+        one.best_fit(rng.permutation(len(sizes)).tolist(), largest_first=False)
         population.append(one)
-        if len(one.items) == bound:
-            return one.numbers()
+    crossovers = 0
     for _ in range(generations):
         population.sort(key=Bins.fitness, reverse=True)
-        if len(population[0].items) <= bound:
-            break
         for worst in range(len(population) // 2, len(population)):
             a, b = rng.choice(len(population) // 2 + 1, 2, replace=False)
             child = population[int(a)].cross(population[int(b)], INJECT, rng)
             child.dissolve(DISSOLVE, rng)
             population[worst] = child
-    return max(population, key=Bins.fitness).numbers()
+            crossovers += 1
+    return Evolved(max(population, key=Bins.fitness).numbers(), generations, crossovers)
 
 
-_ROW = "doc_id long, piece int, start long, length long, ids_crc32 long, region long"
+_ORDER = ["row", "doc_id", "piece", "start", "length", "ids_crc32", "region"]
+_SOLVED = "row long, doc_id long, piece int, start long, length long, ids_crc32 long, region long, island int, bin long, generations long, crossovers long"
 
 
 def _island(capacity: int, epoch: int):
     def island(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "doc_id", "piece", "start", "ids_crc32", "row"], kind="stable").reset_index(drop=True)
-        elites = []
+        elites, before = [], (0, 0)
         if epoch:
             stacked = np.array(pdf["elites"].tolist(), dtype=np.int64)
-            elites = [stacked[:, i] for i in range(stacked.shape[1])]
-        pdf["bin"] = evolve(pdf["length"].tolist(), capacity, elites, int(key[0]) * 1009 + int(key[1]) * 31 + epoch)
-        return pdf[["row", "doc_id", "piece", "start", "length", "ids_crc32", "region", "island", "bin"]]
+            elites, before = [stacked[:, i] for i in range(stacked.shape[1])], (pdf["generations"].max(), pdf["crossovers"].max())
+        best = evolve(pdf["length"].tolist(), capacity, elites, int(key[0]) * 1009 + int(key[1]) * 31 + epoch)
+        pdf["bin"], pdf["generations"], pdf["crossovers"] = best.numbers, before[0] + best.generations, before[1] + best.crossovers
+        return pdf[[*_ORDER, "island", "bin", "generations", "crossovers"]]
 
     return island
 
 
+def _evolved(dealt: DataFrame, capacity: int, islands: int, epochs: int) -> DataFrame:
+    """Pieces with a region, and the bin of each in its region's best individual."""
+    each = F.explode(F.sequence(F.lit(0), F.lit(islands - 1)))
+    solved = materialize(dealt.withColumn("island", each).groupBy("region", "island").applyInPandas(_island(capacity, 0), _SOLVED), "pack-epoch")
+    for epoch in range(1, epochs):
+        bins = F.transform(F.array_sort(F.collect_list(F.struct("island", "bin"))), lambda x: x["bin"]).alias("elites")
+        met = solved.groupBy(*_ORDER).agg(bins, F.max("generations").alias("generations"), F.max("crossovers").alias("crossovers"))
+        solved = materialize(met.withColumn("island", each).groupBy("region", "island").applyInPandas(_island(capacity, epoch), _SOLVED), "pack-epoch")
+    bins = solved.groupBy("region", "island").agg((F.max("bin") + 1).alias("bins"))
+    chosen = bins.groupBy("region").agg(F.min_by("island", F.struct("bins", "island")).alias("island"))
+    return solved.join(chosen, ["region", "island"], "left_semi")
+
+
 def pack(
     docs: DataFrame, *, capacity: int = CAPACITY, files: dict[str, str] | None = None, end: int = END, region: int = REGION, islands: int = ISLANDS, epochs: int = EPOCHS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Pack all documents into sequences of at most `capacity` tokens.
 
-    Returns doc_id, piece, start, length, ids_crc32, sequence_id and offset for each piece.  A null or empty text is its
+    Returns doc_id, piece, start, length, ids_crc32, sequence_id and offset for each piece, and the generations and
+    crossovers that its island went through (null for a piece that fills a sequence).  A null or empty text is its
     end token alone; a null id stays null; repeated rows are documents of their own; other columns are ignored; an
     empty table gives an empty table.
     """
@@ -237,21 +258,20 @@ def pack(
     short = pieces.where(F.col("length") < capacity)
     regions = max(1, -(-short.count() // region))
     dealt = short.withColumn("region", F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(regions)))
-    order, out = ["row", "doc_id", "piece", "start", "length", "ids_crc32", "region"], f"row long, {_ROW}, island int, bin long"
-    alone = dealt.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
-    solved = materialize(alone.groupBy("region", "island").applyInPandas(_island(capacity, 0), out), "pack-epoch")
-    for epoch in range(1, epochs):
-        met = solved.groupBy(*order).agg(F.transform(F.array_sort(F.collect_list(F.struct("island", "bin"))), lambda x: x["bin"]).alias("elites"))
-        again = met.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
-        solved = materialize(again.groupBy("region", "island").applyInPandas(_island(capacity, epoch), out), "pack-epoch")
-    bins = solved.groupBy("region", "island").agg((F.max("bin") + 1).alias("bins"))
-    chosen = bins.groupBy("region").agg(F.min_by("island", F.struct("bins", "island")).alias("island"))
+    first = materialize(_evolved(dealt, capacity, islands, epochs).withColumn("free", capacity - F.sum("length").over(Window.partitionBy("region", "bin"))), "pack-regions")
+    # what the regions left half empty meets in regions of its own, numbered behind the others
+    loose = first.where(F.col("free") * 2 >= capacity) if regions > 1 else first.limit(0)
+    more = max(1, -(-loose.count() // region))
+    again = _evolved(loose.select(*_ORDER).withColumn("region", regions + F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(more))), capacity, islands, 1)
+    solved = (first.where(F.col("free") * 2 < capacity) if regions > 1 else first).drop("free").unionByName(again)
     within = Window.partitionBy("region", "bin").orderBy(F.col("length").desc(), "doc_id", "piece", "row")
-    packed = solved.join(chosen, ["region", "island"], "left_semi").select(
-        "doc_id", "piece", "start", "length", "ids_crc32", (2 * (F.col("bin") * regions + F.col("region"))).alias("sequence_id"),
-        (F.sum("length").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")).alias("offset"),
+    packed = solved.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", (2 * (F.col("bin") * (regions + more) + F.col("region"))).alias("sequence_id"),
+        (F.sum("length").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")).alias("offset"), "generations", "crossovers",
     )
-    full = pieces.where(F.col("length") == capacity).select("doc_id", "piece", "start", "length", "ids_crc32", (2 * F.col("row") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    none = [F.lit(None).cast("long").alias(c) for c in ("generations", "crossovers")]
+    full = pieces.where(F.col("length") == capacity)
+    full = full.select("doc_id", "piece", "start", "length", "ids_crc32", (2 * F.col("row") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *none)
     return packed.unionByName(full)
 
 
@@ -261,4 +281,5 @@ def op7_packing(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed: null, empty and very long texts, repeated rows, extra columns and empty tables as in `pack`."""
     return pack(docs)
