@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -15,13 +18,17 @@ _LOCAL_SHARED: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor sees: spark.checkpoint.dir, or a folder of our own where it is unset."""
+    """Folder that every executor sees: spark.checkpoint.dir, or a folder of our own where it is unset and the master is local."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SHARED:
-        _LOCAL_SHARED[app] = "file://" + tempfile.mkdtemp(prefix="pagemill-")
+        folder = tempfile.mkdtemp(prefix="pagemill-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _LOCAL_SHARED[app] = f"file://{folder}"
     return _LOCAL_SHARED[app]
 
 
@@ -33,6 +40,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def attach(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """Rows with the columns of a table that has one row for each key, and in `n` how many of the `total` rows hold it.  Keys of
+    more than a thousandth of all rows, a thousand at most, go out as a broadcast; all others meet by a shuffle."""
+    hot = table.where(F.col("n") * 1000 > total)
+    often = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.where(F.col("n") * 1000 <= total), key, "left")
+    return often.unionByName(rest).drop("n")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, materialize
+from .common import attach, documents, materialize
 
 #: Rows of a tile, base rows of a task in a large bucket, and rows compared at once in a partition.
 TILE, BASE, BUFFER = 1024, 8192, 65536
@@ -79,20 +79,25 @@ class _Forest:
 
 def forest_of(group: np.ndarray, prints: np.ndarray, base: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning forest of the links inside groups.  Rows are sorted by group, then population count; of a linked
-    pair one row at least must be a base row."""
-    n, forest, bits = len(prints), _Forest(len(prints)), np.bitwise_count(prints).astype(np.int64)
-    for i in range(0, n, TILE):
-        a = slice(i, min(n, i + TILE))
-        for j in range(i, n, TILE):
-            b = slice(j, min(n, j + TILE))
-            if j > i and (group[j] != group[a.stop - 1] or bits[j] - bits[a.stop - 1] > radius):
-                break  # sorted: no later tile can be nearer
-            near = np.bitwise_count(prints[a, None] ^ prints[None, b]) <= radius
-            near &= (group[a, None] == group[None, b]) & (base[a, None] | base[None, b])
-            x, y = np.nonzero(near)
-            x, y = x + i, y + j
-            forest.link(x[x < y], y[x < y])
-    rows = np.arange(n)
+    pair one row at least must be a base row.  Tiles of base rows meet the tiles of rows, base and other apart, whose
+    population counts come within the radius of theirs: work follows base rows times rows."""
+    forest, bits = _Forest(len(prints)), np.bitwise_count(prints).astype(np.int64)
+    number = np.cumsum(np.r_[False, group[1:] != group[:-1]][: len(group)])
+    place = 128 * number + bits  # rises with the rows; groups are further apart than any radius
+    own, other = np.flatnonzero(base), np.flatnonzero(~base)
+    for i in range(0, len(own), TILE):
+        a = own[i : i + TILE]
+        low, high = place[a[0]] - radius, place[a[-1]] + radius
+        for rows, start in ((own, i), (other, int(np.searchsorted(place[other], low)))):
+            stop = int(np.searchsorted(place[rows], high, "right"))
+            for j in range(start, stop, TILE):
+                b = rows[j : min(stop, j + TILE)]
+                near = np.bitwise_count(prints[a, None] ^ prints[None, b]) <= radius
+                near &= number[a, None] == number[None, b]
+                x, y = np.nonzero(near)
+                once = (a[x] < b[y]) | ~base[b[y]]
+                forest.link(a[x][once], b[y][once])
+    rows = np.arange(len(prints))
     roots = forest.roots(rows)
     return rows[roots != rows], roots[roots != rows]
 
@@ -119,8 +124,9 @@ def _compare(radius: int):
 
 
 def agreeing_bands(count: int, radius: int, base: int = BASE) -> int:
-    """Bands that must agree: the fewest with which `count` evenly spread fingerprints put at most `base` in a bucket."""
-    return next((m for m in range(1, 4) if count <= base * 2 ** (64 * m // (radius + m))), 4)
+    """Bands that must agree: the fewest with which `count` evenly spread fingerprints put at most `base` in a bucket (with all
+    bits in the bands, a bucket is one fingerprint)."""
+    return next((m for m in range(1, 64 - radius) if count <= base * 2 ** (64 * m // (radius + m))), 64 - radius)
 
 
 def simhash_links(prints: DataFrame, radius: int = 3, agree: int = 1) -> DataFrame:
@@ -179,14 +185,13 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     often as they came; other columns are ignored; an empty table gives an empty table.
     """
     slim = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), _fingerprints(F.col(text_col).cast("string")).alias("fp")), "simhash")
-    nodes = slim.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    # how many bands agree only shifts work, so an estimate that shuffles no rows is enough
-    about = slim.agg(F.approx_count_distinct("fp")).first()[0]
-    roots = components(simhash_links(nodes.select("fp"), radius, agreeing_bands(about, radius)))
+    nodes = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "prints")
+    kinds, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    roots = components(simhash_links(nodes.select("fp"), radius, agreeing_bands(kinds, radius)))  # how many bands agree only shifts work
     nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = nodes.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return slim.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = nodes.select("fp", "root", "n").join(named, "root").select("fp", "component_id", "n")
+    return attach(slim, named, "fp", total).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
