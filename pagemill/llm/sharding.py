@@ -1,17 +1,19 @@
 """Sampled splitters: range-partition documents into shards of equal bytes.
 
-Records are ordered by the key (leading 60 bits of md5 of the text, doc_id), so equal texts lie next to each
-other and at most one group of copies is cut at each shard boundary.
+Records are ordered by a key (leading 60 bits of md5 of the text, doc_id, number of the row), so equal texts lie next to
+each other and every record can be told from every other, identical ones too.
 
 1. A weighted sample of keys is drawn: a record enters with a probability that is half its share of the bytes and
    half its share of the rows, so neither a few huge nor many empty documents can overfill a range.
-2. Quantiles of the sample are the splitters of fine ranges.  The splitters are whole keys, so a text that holds a
-   third of all rows is split by doc_id.
-3. Ranges that turn out overfull are sampled again and subdivided.
-4. Inside a range a window gives running bytes and row numbers; totals of the ranges (a bounded number) give the
-   offsets.  A record goes to shard floor(shards * bytes before it / all bytes): sizes differ by a record at most.
-
-The sample only steers the parallel plan.  The result depends on keys and sizes alone.
+2. Quantiles of the sample are the splitters of fine ranges.  A text that holds a third of all rows is split like any
+   other, by doc_id and number.
+3. A range is overfull if it holds much more than its part, or if the border of a shard falls inside it and it is larger
+   than TOLERANCE allows.  Overfull ranges are sampled again, denser by as much as they are smaller, and subdivided
+   until none is left.
+4. A shard takes whole ranges, up to the splitter nearest to its border.  So the splitters decide where a shard ends; sizes
+   differ by the tolerance, or by a record that is larger than it.
+
+A window inside each range numbers its records; totals of the ranges give the offsets of the slots.
 """
 
 from __future__ import annotations
@@ -23,48 +25,83 @@ from pyspark.sql import functions as F
 
 from .common import documents, materialize
 
-#: Fine ranges, sampled keys a range, and how much of the mean a range may hold before it is subdivided.
-RANGES, PER_RANGE, OVERFULL, ROUNDS = 2048, 16, 4, 3
+#: Fine ranges, sampled keys a range, how much of the mean a range may hold, share of a shard that a border may be off.
+RANGES, PER_RANGE, OVERFULL, TOLERANCE = 2048, 16, 4, 0.0005
 _LOWEST = -(2**63)
+_KEY = ["key", "tie", "row"]
 
 
-def _quantiles(sample: pd.DataFrame, parts: int) -> list[tuple[int, int]]:
+def _quantiles(sample: pd.DataFrame, parts: int) -> list[tuple[int, ...]]:
     """Keys at the inner quantiles of a weighted sample."""
     if sample.empty or parts < 2:
         return []
-    sample = sample.sort_values(["key", "tie"], kind="stable")
+    sample = sample.sort_values(_KEY, kind="stable")
     total = sample["weight"].sum()
     at = np.searchsorted(sample["weight"].cumsum().to_numpy(), total * np.arange(1, parts) / parts)
     picked = sample.iloc[np.unique(np.minimum(at, len(sample) - 1))]
-    return sorted(set(zip(picked["key"].tolist(), picked["tie"].tolist(), strict=True)))
+    return sorted(set(zip(*(picked[c].tolist() for c in _KEY), strict=True)))
+
 
+def _place(splitters: list[np.ndarray], rows: list[np.ndarray]) -> np.ndarray:
+    """How many splitters are at or below each row, both given column by column."""
+    high = np.searchsorted(splitters[0], rows[0], "right")
+    if len(splitters) == 1:
+        return high
+    out = np.searchsorted(splitters[0], rows[0], "left")
+    for first in np.unique(out[high > out]):  # rows whose first column is that of a splitter
+        met = (out == first) & (high > out)
+        own = slice(first, high[met][0])
+        out[met] = first + _place([s[own] for s in splitters[1:]], [r[met] for r in rows[1:]])
+    return out
 
-def _range_of(splitters: list[tuple[int, int]]):
-    keys = np.array([k for k, _ in splitters], dtype=np.int64)
-    ties = np.array([t for _, t in splitters], dtype=np.int64)
+
+def _range_of(splitters: list[tuple[int, ...]]):
+    columns = [np.array(c, dtype=np.int64) for c in zip(*splitters, strict=True)]
 
     @F.pandas_udf("int")
-    def range_of(key: pd.Series, tie: pd.Series) -> pd.Series:
-        k, t = key.to_numpy(dtype=np.int64), tie.to_numpy(dtype=np.int64)
-        low, high = np.searchsorted(keys, k, "left"), np.searchsorted(keys, k, "right")
-        out = low.copy()
-        for first in np.unique(low[high > low]):  # keys that are splitters themselves
-            rows = (low == first) & (high > low)
-            out[rows] = first + np.searchsorted(ties[first : high[rows][0]], t[rows], "right")
-        return pd.Series(out.astype(np.int32))
+    def range_of(key: pd.Series, tie: pd.Series, row: pd.Series) -> pd.Series:
+        return pd.Series(_place(columns, [x.to_numpy(dtype=np.int64) for x in (key, tie, row)]).astype(np.int32))
 
     return range_of
 
 
 def _sample(slim: DataFrame, wanted: int, total: int, rows: int, seed: int) -> pd.DataFrame:
+    """About `wanted` keys, independent of how many rows are alike."""
     share = F.col("size") / F.lit(2.0 * max(total, 1)) + F.lit(0.5 / max(rows, 1))
-    draw = F.pmod(F.xxhash64(F.lit(seed), "key", "tie", "size"), F.lit(2**40)) / F.lit(float(2**40))
+    draw = F.pmod(F.xxhash64(F.lit(seed), *_KEY), F.lit(2**40)) / F.lit(float(2**40))
     weighed = slim.withColumn("w", share * wanted).where(draw < F.col("w"))
-    return weighed.select("key", "tie", F.greatest(F.col("w"), F.lit(1.0)).alias("weight")).toPandas()
+    return weighed.select(*_KEY, F.greatest(F.col("w"), F.lit(1.0)).alias("weight")).toPandas()
+
+
+def _overfull(sums: pd.DataFrame, shards: int, total: int, rows: int, ranges: int, tolerance: float) -> pd.Series:
+    """Which ranges (b bytes and n rows after b0 bytes) must be subdivided."""
+    large = ((sums.b > OVERFULL * total / ranges) | (sums.n > OVERFULL * rows / ranges)) & (rows > ranges)
+    border = np.floor(sums.b0 * shards / max(total, 1)) != np.ceil((sums.b0 + sums.b) * shards / max(total, 1)) - 1
+    return (sums.n > 1) & (large | (border & (sums.b > tolerance * total / shards)))
+
+
+def split(slim: DataFrame, shards: int, total: int, rows: int, *, ranges: int = RANGES, tolerance: float = TOLERANCE, seed: int = 17) -> tuple[list[tuple[int, ...]], pd.DataFrame]:
+    """The splitters, and for each range its bytes b and rows n, those before it (b0, n0), and its shard."""
+    splitters = _quantiles(_sample(slim, ranges * PER_RANGE, total, rows, seed), min(ranges, max(1, rows)))
+    while True:
+        seed += 1
+        ranged = slim.withColumn("range", _range_of(splitters)(*_KEY)) if splitters else slim.withColumn("range", F.lit(0))
+        sums = ranged.groupBy("range").agg(F.sum("size").alias("b"), F.count("*").alias("n")).toPandas().sort_values("range").reset_index(drop=True)
+        sums["b0"], sums["n0"] = sums.b.cumsum() - sums.b, sums.n.cumsum() - sums.n
+        full = sums[_overfull(sums, shards, total, rows, ranges, tolerance)]
+        if full.empty:
+            break
+        inside = ranged.where(F.col("range").isin([int(x) for x in full["range"]]))
+        more = _sample(inside, max(ranges, 4 * len(full)) * PER_RANGE, int(full.b.sum()), int(full.n.sum()), seed)
+        # as many new splitters as keep ranges fine; keys are all different, so some key divides every range of two rows or more
+        splitters = sorted({*splitters, *_quantiles(more, max(ranges, 4 * len(full)))})
+    # a range belongs to the shard in which its middle lies: its borders are splitters, those nearest to the shard's
+    sums["shard"] = np.minimum(((sums.b0 + sums.b / 2) * shards // max(total, 1)).astype(int), shards - 1)
+    return splitters, sums
 
 
 def shard_by_splitters(
-    docs: DataFrame, shards: int = 8, *, id_col: str = "doc_id", text_col: str = "text", ranges: int = RANGES, seed: int = 17
+    docs: DataFrame, shards: int = 8, *, id_col: str = "doc_id", text_col: str = "text", ranges: int = RANGES, tolerance: float = TOLERANCE, seed: int = 17
 ) -> DataFrame:
     """Deal documents out to shards of near equal bytes.
 
@@ -78,38 +115,19 @@ def shard_by_splitters(
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long").alias("key"),
+        F.monotonically_increasing_id().alias("row"),  # kept by the written table: tells identical records apart
     ).withColumn("tie", F.coalesce("doc_id", F.lit(_LOWEST)))
     slim = materialize(slim, "shard-keys")
     total, rows = slim.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    splitters = _quantiles(_sample(slim, ranges * PER_RANGE, total, rows, seed), min(ranges, max(1, rows)))
-    for again in range(1, ROUNDS + 2):
-        ranged = slim.withColumn("range", _range_of(splitters)("key", "tie")) if splitters else slim.withColumn("range", F.lit(0))
-        sums = ranged.groupBy("range").agg(F.sum("size").alias("b"), F.count("*").alias("n")).toPandas().sort_values("range")
-        full = sums[(sums.b > OVERFULL * total / ranges) | (sums.n > OVERFULL * rows / ranges)] if rows > ranges else sums[:0]
-        if full.empty or again > ROUNDS:
-            break
-        inside = ranged.where(F.col("range").isin([int(x) for x in full["range"]]))
-        more = _quantiles(_sample(inside, ranges * PER_RANGE, int(full.b.sum()), int(full.n.sum()), seed + again), ranges)
-        if set(more) <= set(splitters):
-            break  # one key fills the range: identical rows can't be told apart
-        splitters = sorted({*splitters, *more})
-    sums["b0"], sums["n0"] = sums.b.cumsum() - sums.b, sums.n.cumsum() - sums.n
+    splitters, sums = split(slim, shards, total, rows, ranges=ranges, tolerance=tolerance, seed=seed)
+    starts = sums.groupby("shard").n0.min()
     offsets = docs.sparkSession.createDataFrame(
-        [(int(r), int(b), int(n)) for r, b, n in zip(sums["range"], sums.b0, sums.n0, strict=True)], "range int, b0 long, n0 long"
-    )
-    in_range = Window.partitionBy("range").orderBy("key", "tie", "size")
-    placed = (
-        ranged.withColumn("n", F.row_number().over(in_range) - 1)
-        .withColumn("b", F.sum("size").over(in_range.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-        .join(F.broadcast(offsets), "range")  # a row for each range: bounded by the parameters above
-        .select(
-            "doc_id", "size", "text_crc32", F.expr(f"cast(((b + b0) * {shards}) div {max(total, 1)} as int)").alias("shard"), (F.col("n") + F.col("n0")).alias("at")
-        )
+        [(int(r), int(s), int(n - starts[s])) for r, s, n in zip(sums["range"], sums.shard, sums.n0, strict=True)], "range int, shard int, n0 long"
     )
-    placed = materialize(placed, "shard-placed")
-    first = dict(placed.groupBy("shard").agg(F.min("at")).collect())  # a row for each shard
-    starts = F.array(*[F.lit(first.get(s, 0)).cast("long") for s in range(shards)])
-    return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("at") - starts[F.col("shard")]).alias("slot"))
+    ranged = slim.withColumn("range", _range_of(splitters)(*_KEY)) if splitters else slim.withColumn("range", F.lit(0))
+    in_range = Window.partitionBy("range").orderBy(*_KEY)
+    placed = ranged.withColumn("n", F.row_number().over(in_range) - 1).join(F.broadcast(offsets), "range")  # a row for each range: bounded by the parameters
+    return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("n") + F.col("n0")).cast("long").alias("slot"))
 
 
 def op2_sharding(spark, sf_dir: str) -> DataFrame:
