@@ -9,8 +9,11 @@ Targets: sources by code point, null last, weigh 5, 2, 1 in turn and share TIMES
 REPEATS times its source's words and what is left over is shared by weight again.  That is the level at which
 sum(min(cap, level * weight)) meets the total, found from running sums over sources by cap / weight.
 
-Positions in a stream come from windows over (source, bucket) with bucket = three leading hex digits of the md5 that
-orders the stream, and running totals of buckets, so a source with a third of all rows is spread over 4096 windows.
+The stream is ordered by the md5 of seed, doc_id and text.  Positions come from running sums over (source, bucket) with
+bucket = three leading hex digits of that md5, and running totals of buckets, so a source with a third of all rows is
+spread over 4096 windows.  Rows alike in doc_id and text share one md5: they enter those windows as one row for each part
+of the table, with their number and words, and are numbered inside their part alone, so a third of all rows under one id (or
+none) is no window of its own.
 """
 
 from __future__ import annotations
@@ -66,6 +69,12 @@ def quotas(targets: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> Data
     return ends.groupBy("skey").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "end"))), lambda x: x["end"]).alias("upto"))
 
 
+def _order(seed: str) -> Column:
+    """What orders a source's stream: equal for rows that are alike, else as good as chance."""
+    text = F.coalesce(F.md5(F.col("text").cast("string").cast("binary")), F.lit("null"))
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text).cast("binary"))
+
+
 def mix_sources(
     docs: DataFrame, *, keep: tuple[str, ...] = (), block: int = BLOCK, shards: int = SHARDS, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED
 ) -> DataFrame:
@@ -76,20 +85,26 @@ def mix_sources(
     takes none), and the columns named in `keep`, prefixed by `kept_`.  A null or wordless text has size 0 and takes none;
     null is a source of its own; repeated rows are documents of their own; an empty table gives an empty table.
     """
-    order = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
     base = docs.select(
-        "doc_id", "source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("skey"), word_count(F.col("text")).alias("size"), order.alias("okey"),
-        *[F.col(c).alias(f"kept_{c}") for c in keep],
-    ).withColumn("bucket", F.substring("okey", 1, 3))
-    base = base if keep else materialize(base, "mix-sizes")
-    totals = materialize(base.groupBy("skey", "source", "bucket").agg(F.sum("size").alias("words")), "mix-totals")
+        "doc_id", "source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("skey"), word_count(F.col("text")).alias("size"), _order(seed).alias("okey"),
+        F.monotonically_increasing_id().alias("row"), *[F.col(c).alias(f"kept_{c}") for c in keep],
+    )
+    # the written table keeps the number of a row; its upper bits are the part of the table that holds it
+    base = materialize(base.withColumn("part", F.shiftright("row", 33)), "mix-sizes")
+    bucket = F.substring("okey", 1, 3).alias("bucket")
+    alike = base.groupBy("skey", "source", "okey", "part").agg(F.count("*").alias("n"), F.first("size").alias("each")).withColumn("words", F.col("n") * F.col("each"))
+    alike = materialize(alike.select("*", bucket), "mix-alike")
+    totals = materialize(alike.groupBy("skey", "source", "bucket").agg(F.sum("words").alias("words")), "mix-totals")
     targets = source_targets(totals.groupBy("skey", "source").agg(F.sum("words").alias("source_size")), weights)
     targets = targets.join(quotas(targets, block, shards), "skey", "left").drop("source")
     before = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     places = totals.select("skey", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start")).join(targets, "skey")
-    here = Window.partitionBy("skey", "bucket").orderBy("okey", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    out = base.withColumn("end", F.sum("size").over(here)).join(places, ["skey", "bucket"])
-    at = F.col("start") + F.col("end") - F.col("size")
+    here = Window.partitionBy("skey", "bucket").orderBy("okey", "part").rowsBetween(Window.unboundedPreceding, 0)
+    alike = alike.withColumn("end", F.sum("words").over(here)).withColumn("first", F.col("end") - F.col("words")).join(places, ["skey", "bucket"])
+    alike = alike.select("skey", "okey", "part", (F.col("start") + F.col("first")).alias("first"), "source_size", "target", "upto")
+    nth = F.row_number().over(Window.partitionBy("skey", "okey", "part").orderBy("row")) - 1
+    out = base.withColumn("nth", nth).join(alike, ["skey", "okey", "part"])
+    at = F.col("first") + F.col("nth") * F.col("size")
     quota = F.least(F.coalesce(F.element_at("upto", -1), F.lit(0)) * block, F.col("source_size") * REPEATS)
     part = lambda left: F.greatest(F.lit(0), F.least(F.col("size"), left))
     out = out.withColumn("at", at).withColumn("quota", quota)
@@ -122,7 +137,7 @@ def op4_sql() -> str:
     w = "[5, 2, 1]"
     return rf"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-                  md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS okey FROM documents),
+                  md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(md5(text), 'null')) AS okey FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, ({w})[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight, source_size * {REPEATS} AS cap FROM s),
 r AS (SELECT *, coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS done,
@@ -135,7 +150,7 @@ j AS (SELECT source, target, unnest(generate_series(1, (target / total * seats):
 q AS (SELECT source, row_number() OVER (ORDER BY target / (2 * j - 1) DESC, source NULLS LAST) AS place FROM j),
 u AS (SELECT source, count(*) AS blocks FROM q WHERE place <= (SELECT seats FROM h) GROUP BY source),
 p AS (SELECT d.*, t.source_size, t.target, least(coalesce(u.blocks, 0) * {BLOCK}, t.source_size * {REPEATS}) AS quota,
-             (sum(size) OVER (PARTITION BY d.source ORDER BY okey, doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT - size AS pos
+             (sum(size) OVER (PARTITION BY d.source ORDER BY okey ROWS UNBOUNDED PRECEDING))::BIGINT - size AS pos
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN u ON d.source IS NOT DISTINCT FROM u.source)
 SELECT doc_id, size, source_size, target,
        (greatest(0, least(size, quota - pos)) + greatest(0, least(size, quota - source_size - pos)))::BIGINT AS taken FROM p
