@@ -1,59 +1,54 @@
 """URL filters: pattern rules indexed by their rarest literal token.
 
-A rule is a regular expression over host || path, together with literal tokens (runs of ASCII letters and digits)
-that every url it fits must hold.  One pass counts in how many urls each of those tokens occurs; a rule is filed
-under its rarest token.  A url's tokens fetch candidate rules from that index and only those run their expression.
-
-The index is an array of slots addressed by a hash of the token: constant time a token, no join, no shuffle, no
-explosion of rows, whole-stage on the JVM.  It lies in the plan, so it holds at most CHUNK rules; longer rule
-lists are applied chunk by chunk to a running best, which is exact and bounded by rules, never by data.
+Rules are a table: a name, a regular expression over host || path, the literal tokens (runs of ASCII letters and digits)
+that every url it fits must hold, a verdict, and whether the rule is listed or one of the method's own.  One pass counts
+in how many urls each of those tokens occurs; a rule is filed under its rarest token.  A url's tokens fetch candidate
+rules by a join with that index, and only those run their expression.  A rule without any token is filed under the empty
+token, which every url holds.
+
+Both sides of the join grow as they like: Spark sends out the index where it is measured to be small, else both sides are
+shuffled by token.  A url that many rows share runs its rules once for each row, under the number of its row, so no
+url, host or rule is a hot key; tokens that are (com, www) are split by the skew join, and few rules are filed there.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rules in one index, its slots for each rule.
-CHUNK, SLOTS = 2000, 4
+from .common import materialize
+
 _TOKEN = r"[A-Za-z0-9]+"
+RULE = "rule string, pattern string, tokens array<string>, verdict string, listed boolean"
 
+#: The listed rules (host, path, verdict), in order.
+LISTED = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
+#: Words of a host, between dots or hyphens, that the method itself blocks where no listed rule fits: a general list
+#: of what corpora leave out (adult pages, gambling, drugs, piracy, junk mail).
+OWN = (
+    "adult", "adults", "bet", "bets", "betting", "blackjack", "casino", "casinos", "cialis", "cracked", "escort", "escorts", "gambling", "hentai", "jackpot", "keygen", "lottery", "milf", "nude",
+    "nudes", "payday", "pharmacy", "pill", "pills", "poker", "porn", "porno", "roulette", "sex", "slots", "spam", "torrent", "torrents", "viagra", "warez", "webcam", "xxx",
+)
 
-@dataclass(frozen=True)
-class Rule:
-    """`rule` is the name it reports; the longest name of the rules that fit wins, then the smallest."""
 
-    rule: str
-    pattern: str
-    tokens: tuple[str, ...]
-    verdict: str
-    listed: bool = True
+def rule_of(host: str, path: str, verdict: str, listed: bool = True) -> tuple:
+    """A row of the rule table that fits the host and its subdomains where the url's path starts with `path`."""
+    sure = re.findall(_TOKEN, host) + re.findall(_TOKEN + r"(?![A-Za-z0-9]|$)", path)
+    return host + path, rf"(?s)^(?:[^/]*\.)?{re.escape(host + path)}", list(dict.fromkeys(sure)), verdict, listed
 
-    @classmethod
-    def of(cls, host: str, path: str, verdict: str, listed: bool = True) -> Rule:
-        """Fits the host and its subdomains where the url's path starts with `path`."""
-        sure = re.findall(_TOKEN, host) + re.findall(_TOKEN + r"(?![A-Za-z0-9]|$)", path)
-        return cls(host + path, rf"(?s)^(?:[^/]*\.)?{re.escape(host + path)}", tuple(dict.fromkeys(sure)), verdict, listed)
 
-    @classmethod
-    def word(cls, word: str, verdict: str) -> Rule:
-        """The method's own rules: a word (or words joined by a hyphen) of the host."""
-        return cls(word, rf"(?s)^(?:[^/]*[.-])?{re.escape(word)}[.-][^/]*", tuple(re.findall(_TOKEN, word)), verdict, False)
+def word_rule(word: str, verdict: str = "block") -> tuple:
+    """A row for the method's own rules: a word of the host, not its last."""
+    return word, rf"(?s)^(?:[^/]*[.-])?{re.escape(word)}[.-][^/]*", list(dict.fromkeys(re.findall(_TOKEN, word))), verdict, False
 
 
-#: The listed rules, in order.
-LISTED = (
-    Rule.of("com", "/", "allow"),
-    Rule.of("example.com", "/en/", "block"),
-    Rule.of("www.example.com", "/en/", "allow"),
-    Rule.of("net", "/es/", "block"),
-    Rule.of("net", "/fr/", "block"),
-)
-#: Words of hosts that the method itself blocks where no listed rule fits.
-OWN = tuple(Rule.word(w, "block") for w in ("casino", "cheap-pills", "free-bets", "pills", "spam", "spam-farm", "viagra", "xxx"))
+def rule_table(spark: SparkSession, rows: Iterable[tuple] | None = None) -> DataFrame:
+    """Rules as a table; without rows the listed ones and the method's own."""
+    rows = [*(rule_of(*r) for r in LISTED), *map(word_rule, OWN)] if rows is None else list(rows)
+    return spark.createDataFrame(rows, RULE)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -67,67 +62,40 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return lower, path
 
 
-def _tokens(canonical: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(canonical, F.lit(f"({_TOKEN})"), F.lit(1)))
-
-
-def rarest_tokens(urls: DataFrame, rules: tuple[Rule, ...]) -> list[tuple[str, Rule]]:
-    """Each rule with the token that the fewest urls hold.  `urls` has the column canonical; counts cover all rows
-    and come back as a row for each token of the rules, so their number is bounded by the rules."""
-    wanted = sorted({t for r in rules for t in r.tokens})
-    counts: dict[str, int] = {}
-    for at in range(0, len(wanted), CHUNK):
-        found = urls.select(F.explode(F.array_intersect(_tokens(F.col("canonical")), F.lit(wanted[at : at + CHUNK]))).alias("token"))
-        counts |= dict(found.groupBy("token").count().collect())
-    return [(min(r.tokens, key=lambda t: (counts.get(t, 0), t)), r) for r in rules]
-
-
-def _slot(token: str | Column, slots: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(token) if isinstance(token, str) else token), F.lit(slots)).cast("int")
-
-
-def _index(spark, filed: list[tuple[str, Rule]]) -> Column:
-    """Array of slots, each an array of rules, as one literal of the plan."""
-    slots = SLOTS * len(filed)
-    numbers = spark.range(1).select(*[_slot(t, slots).alias(f"c{i}") for i, (t, _) in enumerate(filed)]).first()
-    held: list[list[Column]] = [[] for _ in range(slots)]
-    for number, (token, r) in zip(numbers, filed, strict=True):
-        held[number].append(F.struct(F.lit(token).alias("token"), F.lit(r.pattern).alias("pattern"), F.lit(len(r.rule)).alias("n"), F.lit(r.rule).alias("rule"), F.lit(r.verdict).alias("verdict")))
-    none = F.array().cast("array<struct<token:string,pattern:string,n:int,rule:string,verdict:string>>")
-    return F.array(*[F.array(*x) if x else none for x in held])
+def tokens_of(canonical: Column) -> Column:
+    """Distinct tokens, and the empty one."""
+    return F.concat(F.array(F.lit("")), F.array_distinct(F.regexp_extract_all(canonical, F.lit(f"({_TOKEN})"), F.lit(1))))
 
 
-def _best(spark, filed: list[tuple[str, Rule]]) -> Column:
-    """The winning rule of one index as struct(n, rule, verdict), or null."""
-    index, slots = _index(spark, filed), SLOTS * len(filed)
-    fetched = F.flatten(F.transform("tokens", lambda t: F.filter(index[_slot(t, slots)], lambda r: r["token"] == t)))
-    fit = F.filter(fetched, lambda r: F.rlike(F.col("canonical"), r["pattern"]))
-    return F.try_element_at(F.array_sort(fit, lambda a, b: F.when(a["n"] != b["n"], b["n"] - a["n"]).when(a["rule"] < b["rule"], -1).when(a["rule"] > b["rule"], 1).otherwise(0)), F.lit(1))
+def filed_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """The rules with `token`, the one of theirs that the fewest urls (column canonical) hold; ties to the smaller."""
+    wanted = rules.select(F.explode("tokens").alias("token")).distinct()
+    held = urls.select(F.explode(tokens_of(F.col("canonical"))).alias("token")).join(wanted, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    each = rules.select("rule", "pattern", "verdict", "listed", F.explode_outer("tokens").alias("token")).join(held, "token", "left")
+    rarest = F.min_by(F.coalesce("token", F.lit("")), F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("token", F.lit("")).alias("t")))
+    return each.groupBy("rule", "pattern", "verdict", "listed").agg(rarest.alias("token"))
 
 
-def filter_urls(pages: DataFrame, listed: tuple[Rule, ...] = LISTED, own: tuple[Rule, ...] = OWN, *, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: DataFrame | None = None, *, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Host, path, rule and verdict of every url.
 
-    Returns the id, host, path, rule (the longest listed rule that fits; else null) and verdict (its verdict; else block if
-    one of the method's own rules fits, allow if not).  A null url, or one without ://, has an empty host and path.
-    Repeated rows come back as often as they came; other columns are ignored; an empty table gives an empty table.
+    Returns the id, host, path, rule (the longest listed rule that fits, then the smallest; else null) and verdict (its
+    verdict; else that of the longest of the method's own rules that fits, allow if none does).  A null url, or one
+    without ://, has an empty host and path.  Repeated rows come back as often as they came; other columns are ignored;
+    an empty table, of urls or of rules, is none to worry about.
     """
-    spark = pages.sparkSession
+    rules = rule_table(pages.sparkSession) if rules is None else rules
     host, path = host_and_path(F.col(url_col))
     urls = pages.select(F.col(id_col), host.alias("host"), path.alias("path")).withColumn("canonical", F.concat("host", "path"))
-    filed = rarest_tokens(urls, (*listed, *own)) if listed or own else []
-    out = urls.withColumn("tokens", _tokens(F.col("canonical")))
-    for name, part in (("hit", [x for x in filed if x[1].listed]), ("extra", [x for x in filed if not x[1].listed])):
-        best = F.lit(None).cast("struct<token:string,pattern:string,n:int,rule:string,verdict:string>")
-        for at in range(0, len(part), CHUNK):
-            new = _best(spark, part[at : at + CHUNK])
-            better = best.isNull() | (new["n"] > best["n"]) | ((new["n"] == best["n"]) & (new["rule"] < best["rule"]))
-            out = out.withColumn(name, F.when(new.isNotNull() & better, new).otherwise(best) if at else new)
-            best = F.col(name)
-        if not part:
-            out = out.withColumn(name, best)
-    verdict = F.coalesce(F.col("hit.verdict"), F.col("extra.verdict"), F.lit("allow"))
-    return out.select(id_col, "host", "path", F.col("hit.rule").alias("rule"), verdict.alias("verdict"))
+    urls = materialize(urls.withColumn("row", F.monotonically_increasing_id()), "url-rows")  # the written table keeps the numbers
+    filed = materialize(filed_rules(urls, rules), "url-index")
+    fetched = urls.select("row", "canonical", F.explode(tokens_of(F.col("canonical"))).alias("token")).join(filed, "token")
+    fit = fetched.where(F.rlike("canonical", F.col("pattern")))
+    # the longest name wins, then the smallest: among names of one length the least
+    by = F.struct((-F.length("rule")).alias("n"), "rule")
+    best = lambda listed, what: F.min_by(what, F.when(F.col("listed") == listed, by))
+    found = fit.groupBy("row").agg(best(True, "rule").alias("rule"), F.coalesce(best(True, "verdict"), best(False, "verdict")).alias("verdict"))
+    return urls.join(found, "row", "left").select(id_col, "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))
 
 
 def op5_urlfilter(spark, sf_dir: str) -> DataFrame:
@@ -136,17 +104,14 @@ def op5_urlfilter(spark, sf_dir: str) -> DataFrame:
 
 
 def op5_sql() -> str:
-    rules = "\n".join(
-        f"WHEN ('.' || host) LIKE '%.{h}' AND starts_with(path, '{p}') THEN '{h}{p}'"
-        for h, p in (("www.example.com", "/en/"), ("example.com", "/en/"), ("net", "/es/"), ("net", "/fr/"), ("com", "/"))
-    )
-    words = "|".join(r.rule for r in OWN)
+    longest = sorted(LISTED, key=lambda r: -len(r[0] + r[1]))
+    rules = "\n".join(f"WHEN ('.' || host) LIKE '%.{h}' AND starts_with(path, '{p}') THEN '{h}{p}'" for h, p, _ in longest)
+    verdicts = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in LISTED)
     return rf"""
 WITH a AS (SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS pos FROM pages),
 b AS (SELECT page_id, CASE WHEN pos > 0 THEN substr(url, pos + 3) ELSE '' END AS rest FROM a),
 c AS (SELECT page_id, translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM b),
 d AS (SELECT *, CASE {rules} END AS rule FROM c)
-SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-       WHEN regexp_matches(host, '(?s)(^|[.-])({words})[.-]') THEN 'block' ELSE 'allow' END AS verdict FROM d
+SELECT page_id, host, path, rule, CASE rule {verdicts} ELSE CASE WHEN regexp_matches(host, '(?s)(^|[.-])({"|".join(OWN)})[.-]') THEN 'block' ELSE 'allow' END END AS verdict FROM d
 """
