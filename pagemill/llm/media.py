@@ -7,6 +7,7 @@ import io
 import re
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import documents
 
-#: Bytes of a row of the image that holds a payload; side of a tile.
-ROW, TILE = 64, 64
+#: Bytes of a row of the image that holds a payload; side of a tile; digits that a number in a text header or raster can have.
+ROW, TILE, DIGITS = 64, 64, 9
 
 
 def encode_pgm(pixels: np.ndarray) -> bytes:
@@ -31,8 +32,8 @@ def _netpbm(data: bytes) -> np.ndarray:
     for _ in range(2 if kind in (b"P1", b"P4") else 3):
         at = gap.match(data, at).end()
         number = re.compile(rb"\d+").match(data, at)
-        if not number:
-            raise ValueError("Netpbm header ends early")
+        if not number or len(number[0]) > DIGITS:
+            raise ValueError("Netpbm header ends early or is out of range")
         fields.append(int(number[0]))
         at = number.end()
     width, height, depth = (*fields, 1)[:3]
@@ -42,7 +43,10 @@ def _netpbm(data: bytes) -> np.ndarray:
     n = width * height * planes
     if kind in (b"P1", b"P2", b"P3"):
         body = re.sub(rb"#[^\n\r]*", b"", data[at:])
-        values = np.array(list(re.sub(rb"\s", b"", body)[:n]), np.int64) - 48 if kind == b"P1" else np.array(body.split()[:n], np.int64)
+        words = list(re.sub(rb"\s", b"", body)[:n]) if kind == b"P1" else body.split(maxsplit=n)[:n]
+        if kind != b"P1" and not all(w.isdigit() and len(w) <= DIGITS for w in words):
+            raise ValueError("Netpbm raster holds no number")
+        values = np.array(words, np.int64) - 48 * (kind == b"P1")
     elif kind == b"P4":
         row = (width + 7) // 8
         raw = np.frombuffer(data, np.uint8, row * height, at + 1).reshape(height, row)
@@ -51,6 +55,8 @@ def _netpbm(data: bytes) -> np.ndarray:
         values = np.frombuffer(data, np.dtype(">u2" if depth > 255 else "u1"), n, at + 1)
     if len(values) != n:
         raise ValueError("Netpbm raster ends early")
+    if n and (values.min() < 0 or values.max() > depth):
+        raise ValueError("Netpbm value out of range")
     if kind in (b"P1", b"P4"):
         values = (1 - values) * 255  # 1 is black
     elif depth != 255:
@@ -68,6 +74,8 @@ def _bmp(data: bytes) -> np.ndarray:
     if width <= 0 or height == 0 or bits not in (1, 4, 8, 24, 32) or packed not in (0, *([3] * (bits == 32))):
         raise ValueError("BMP of an unknown kind")
     rows, row = abs(height), (width * bits + 31) // 32 * 4
+    if start + rows * row > len(data):
+        raise ValueError("BMP raster ends early")
     raw = np.frombuffer(data, np.uint8, row * rows, start).reshape(rows, row)
     raw = raw if height < 0 else raw[::-1]
     if bits >= 24:
@@ -77,14 +85,16 @@ def _bmp(data: bytes) -> np.ndarray:
     else:
         index = np.unpackbits(raw, axis=1).reshape(rows, -1, bits)
         index = (index * (1 << np.arange(bits - 1, -1, -1))).sum(axis=2)[:, :width]
-    palette = np.frombuffer(data, np.uint8, 4 * (colours or 1 << bits), 14 + header).reshape(-1, 4)[:, 2::-1]
+    palette = np.frombuffer(data, np.uint8, 4 * min(colours or 1 << bits, 1 << bits), 14 + header).reshape(-1, 4)[:, 2::-1]
+    if index.max() >= len(palette):
+        raise ValueError("BMP pixel outside its palette")
     out = palette[index]
     return out[:, :, 0] if (palette == palette[:, :1]).all() else out
 
 
 def decode(data: bytes) -> np.ndarray:
     """Pixels of a Netpbm (P1 to P6) or BMP image: (height, width) or (height, width, 3) of 8 bits.  ValueError for
-    anything else."""
+    anything else, cut short, or with values, indices or sizes out of range."""
     if data[:1] == b"P" and data[1:2] in b"123456":
         return _netpbm(data)
     if data[:2] == b"BM":
@@ -155,9 +165,9 @@ def store_text(text: str | None) -> bytes:
     return encode_pgm(np.frombuffer(data.ljust(max(1, -(-len(data) // ROW)) * ROW, b"\0"), np.uint8).reshape(-1, ROW))
 
 
-def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _stored(batches: Iterator[pa.RecordBatch], tiles: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
+        rows, held = [], []
         for text in batch.column(1):
             n = len(text.as_buffer()) if text.is_valid else 0
             media = store_text(text.as_py())
@@ -168,21 +178,24 @@ def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 (n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-ROW:]), len(media), hashlib.sha256(media).hexdigest(),
                  f"dhash:{difference_hash(pixels)} npy:{zlib.crc32(tile):08x}")
             )
+            held += [tile] * tiles
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         cols = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)]
-        yield pa.record_batch([batch.column(0), *cols], names=_STORED.replace(" long", "").replace(" string", "").split(", "))
+        names = [x.split()[0] for x in _STORED.split(", ")]
+        yield pa.record_batch([batch.column(0), *cols, *[pa.array(held, pa.binary())] * tiles], names=[*names, *["npy"] * tiles])
 
 
 _STORED = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def text_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every text stored as an image, read back, hashed and described.
+def text_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tiles: bool = False) -> DataFrame:
+    """Every text stored as an image, read back, hashed and described; with `tiles`, its NPY tile as a last column, npy.
 
     A null text is an empty one; a null id stays null; repeated rows come back as often; equal texts give equal values;
     other columns are ignored; an empty table stays empty.  A map without a shuffle.
     """
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_stored, _STORED)
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return slim.mapInArrow(partial(_stored, tiles=tiles), _STORED + ", npy binary" * tiles)
 
 
 def op9_media(spark, sf_dir: str) -> DataFrame:
