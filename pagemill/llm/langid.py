@@ -1,17 +1,17 @@
 """Language ID by multilingual mixture inference.
 
 A document is a mixture of languages: every letter trigram is drawn from one of them.  Expectation-maximisation
-estimates the document's language proportions from the trigram likelihoods of each language.  Languages are ranked by
-the proportions of the full mixture; the sets of the first 1, 2, ... languages are fitted in turn and the set with
-the best likelihood less PENALTY * log(trigrams) for each language wins.  The prediction is the largest proportion.
+estimates the document's language proportions from the trigram likelihoods of each language, until they stand.  Languages
+are ranked by the proportions of the full mixture; the sets of the first 1, 2, ... languages are fitted in turn and the
+set with the best likelihood less PENALTY * log(trigrams) for each language wins.  The prediction is the largest proportion.
 
-The likelihoods are learned from a bounded, hashed sample of labelled documents (SAMPLE a language, by expectation).
-Prediction is a map over whole texts without a shuffle; long texts are read in pieces of PIECE characters.
+Letters of all scripts are told apart: a trigram is a hash of three code points, lower-cased, with runs of anything else
+as one blank.  The likelihoods are learned from a bounded, hashed sample of labelled documents (SAMPLE a language, by
+expectation).  Prediction is a map over whole texts without a shuffle; long texts are read in pieces of PIECE characters.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,31 +22,25 @@ from pyspark.sql import functions as F
 
 from .common import documents
 
-#: Labelled documents of a language that train it; letters told apart; weight of an unseen trigram; penalty of a
-#: language; steps of expectation-maximisation; characters in hand at once.
-SAMPLE, LETTERS, UNSEEN, PENALTY, STEPS, PIECE = 1500, 61, 0.5, 3.0, 6, 1 << 20
-_BLANK, _OTHER = 0, 1
-_KINDS = LETTERS + 3
+#: Labelled documents of a language that train it; bits of a trigram's hash; weight of an unseen trigram; penalty of a language;
+#: change of a proportion that counts, steps after which expectation-maximisation ends all the same; characters in hand at once.
+SAMPLE, BITS, UNSEEN, PENALTY, SETTLED, STEPS, PIECE = 1500, 18, 0.5, 3.0, 1e-3, 500, 1 << 20
+_BLANK = 0
+#: Odd factors of the hash.
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 UNDETERMINED = "und"
 
 
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
-    letters: str  #: the letters told apart, most frequent first
     logs: np.ndarray  #: (trigrams, languages) log likelihoods, float32
 
-    def table(self) -> np.ndarray:
-        out = np.full(0x110000, _OTHER, np.uint8)
-        for i, c in enumerate(self.letters):
-            out[ord(c)] = i + 2
-        return out
 
-
-def _symbols(text: str, table: np.ndarray, letter: np.ndarray) -> np.ndarray:
-    """Symbol of each character of a lower-cased text: blank for all but letters, runs of blanks as one."""
+def _symbols(text: str) -> np.ndarray:
+    """Code point of each letter of a lower-cased text; runs of anything else as one blank."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    found = np.where(letter[points], table[points], _BLANK).astype(np.uint8)
+    found = np.where(_letters()[points], points, _BLANK).astype(np.uint64)
     keep = np.ones(len(found), bool)
     keep[1:] = (found[1:] != _BLANK) | (found[:-1] != _BLANK)
     return found[keep]
@@ -63,20 +57,25 @@ def _letters() -> np.ndarray:
     return _LETTER
 
 
-def _trigrams(text: str, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct trigrams that hold a letter, and their counts."""
+def _trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed trigrams that hold a letter, and their counts."""
+    size, held, counts = 1 << BITS, 0, np.empty(0, np.int64)
     parts: list[np.ndarray] = []
+    a, b, c = map(np.uint64, _FACTORS)
     for at in range(0, max(len(text), 1), PIECE):
-        s = _symbols(" " * (at == 0) + text[max(0, at - 2 * (at > 0)) : at + PIECE] + " " * (at + PIECE >= len(text)), table, _letters()).astype(np.int32)
-        grams = (s[:-2] * _KINDS + s[1:-1]) * _KINDS + s[2:]
+        s = _symbols(" " * (at == 0) + text[max(0, at - 2 * (at > 0)) : at + PIECE] + " " * (at + PIECE >= len(text)))
+        mixed = (s[:-2] * a) ^ (s[1:-1] * b) ^ (s[2:] * c)
+        grams = ((mixed ^ (mixed >> np.uint64(29))) * a >> np.uint64(64 - BITS)).astype(np.int64)
         parts.append(grams[(s[:-2] != _BLANK) | (s[1:-1] != _BLANK) | (s[2:] != _BLANK)])
-        if len(parts) > 4:  # a long text: keep counts only
-            parts = [np.concatenate(parts)] if sum(map(len, parts)) < 8 * PIECE else parts
-    grams = np.concatenate(parts)
-    if len(grams) > _KINDS**3 // 4:
-        counts = np.bincount(grams, minlength=0)
+        held += len(parts[-1])
+        if held > size // 4:  # a long text: keep counts only
+            new = np.bincount(np.concatenate(parts), minlength=size)
+            counts, parts, held = (counts + new if len(counts) else new), [], 0
+    if len(counts):
+        counts = counts + np.bincount(np.concatenate(parts), minlength=size) if parts else counts
         ids = np.flatnonzero(counts)
         return ids, counts[ids]
+    grams = np.concatenate(parts)
     grams.sort()
     first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]]) if len(grams) else np.empty(0, np.int64)
     return grams[first], np.diff(np.r_[first, len(grams)])
@@ -87,16 +86,25 @@ def _fit(likely: np.ndarray, counts: np.ndarray, starts: np.ndarray, allowed: np
     from `starts`; `allowed` (documents, languages) says which languages may be used."""
     sizes = np.diff(np.r_[starts, len(counts)])
     shares, ones = allowed / allowed.sum(axis=1, keepdims=True), np.ones(likely.shape[1], likely.dtype)
+    open_ = np.arange(len(starts))
+    own, times, at, many = likely, counts, starts, sizes
     for _ in range(STEPS):
-        joint = likely * np.repeat(shares, sizes, axis=0)
-        whole = joint @ ones
-        gained = np.add.reduceat(joint * (counts / whole)[:, None], starts, axis=0)
-        shares = gained / gained.sum(axis=1, keepdims=True)
+        joint = own * np.repeat(shares[open_], many, axis=0)
+        gained = np.add.reduceat(joint * (times / (joint @ ones))[:, None], at, axis=0)
+        now = gained / gained.sum(axis=1, keepdims=True)
+        moving = np.abs(now - shares[open_]).max(axis=1) >= SETTLED
+        shares[open_] = now
+        if not moving.any():
+            break
+        if moving.mean() < 0.7:  # go on with the documents that still move
+            rows = np.repeat(moving, many)
+            own, times, open_, many = own[rows], times[rows], open_[moving], many[moving]
+            at = np.cumsum(many) - many
     joint = (likely * np.repeat(shares, sizes, axis=0)) @ ones
     return shares, np.add.reduceat(np.log(joint) * counts, starts)
 
 
-def infer(texts: list[str | None], model: Model, table: np.ndarray) -> tuple[list[str], list[float]]:
+def infer(texts: list[str | None], model: Model) -> tuple[list[str], list[float]]:
     """Language and its proportion for each text; `und` and 0 for a null text or one without a letter."""
     names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
     at, held, size = [], [], 0
@@ -126,7 +134,7 @@ def infer(texts: list[str | None], model: Model, table: np.ndarray) -> tuple[lis
 
     for i, text in enumerate(texts):
         if text:
-            grams, counts = _trigrams(text, table)
+            grams, counts = _trigrams(text)
             if len(grams):
                 at.append(i)
                 held.append((grams, counts))
@@ -139,59 +147,43 @@ def infer(texts: list[str | None], model: Model, table: np.ndarray) -> tuple[lis
 
 def learn(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", key: Column | None = None, sample: int = SAMPLE) -> Model:
     """Trigram likelihoods of every label.  Takes about `sample` documents of each, by a hash of `key`; what reaches the
-    driver are letters and counts of trigrams of that sample."""
+    driver are counts of hashed trigrams of that sample."""
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
     languages = tuple(sorted(counts))
     if not languages:
-        return Model((), "", np.zeros((_KINDS**3, 0), np.float32))
+        return Model((), np.zeros((1 << BITS, 0), np.float32))
     draw = F.pmod(F.xxhash64(F.lit(6), key if key is not None else F.col(text_col)), F.lit(2**31)) / F.lit(float(2**31))
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample / counts[k]))])
     drawn = rows.where(draw < share[F.col(lang_col)]).select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[str, Counter] = {}
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                for word in text.lower().split():
-                    w = "".join(c if c.isalpha() else " " for c in word)
-                    for part in w.split():
-                        p = f" {part} "
-                        found.setdefault(lang, Counter()).update(p[i : i + 3] for i in range(len(p) - 2))
-        for lang, c in found.items():
-            yield pd.DataFrame({"lang": lang, "gram": list(c.keys()), "n": list(c.values())})
-
-    table = drawn.mapInPandas(grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    letters = Counter()
-    for gram, n in zip(table["gram"], table["n"], strict=True):
-        for c in gram:
-            letters[c] += n
-    letters.pop(" ", None)
-    model = Model(languages, "".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]), np.empty(0))
-    symbol = model.table()
-    number = lambda c: _BLANK if c == " " else int(symbol[ord(c)])
-    seen = np.zeros((_KINDS**3, len(languages)))
-    for lang, gram, n in zip(table["lang"], table["gram"], table["n"], strict=True):
-        a, b, c = map(number, gram)
-        seen[(a * _KINDS + b) * _KINDS + c, languages.index(lang)] += n
-    seen += UNSEEN
-    return Model(languages, model.letters, np.log(seen / seen.sum(axis=0)).astype(np.float32))
+            for lang, texts in batch.groupby("lang")["text"]:
+                ids, n = (np.concatenate(x) for x in zip(*map(_trigrams, texts), strict=True))
+                gram, place = np.unique(ids, return_inverse=True)
+                yield pd.DataFrame({"lang": lang, "gram": gram, "n": np.bincount(place, n).astype(np.int64)})
+
+    # a row for each language and hash at most
+    table = drawn.mapInPandas(grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    seen = np.full((1 << BITS, len(languages)), UNSEEN)
+    seen[table["gram"].to_numpy(np.int64), table["lang"].map({k: i for i, k in enumerate(languages)}).to_numpy(np.int64)] += table["n"].to_numpy(float)
+    return Model(languages, np.log(seen / seen.sum(axis=0)).astype(np.float32))
 
 
 def predictor(model: Model):
     """Pandas UDF text -> struct(lang_pred, score).  The model goes out once, as a broadcast of fixed size
-    (64^3 trigrams by the number of languages)."""
+    (2^BITS trigrams by the number of languages)."""
     from pyspark.sql import SparkSession
 
-    sent = SparkSession.getActiveSession().sparkContext.broadcast((model.languages, model.letters, model.logs))
+    sent = SparkSession.getActiveSession().sparkContext.broadcast((model.languages, model.logs))
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Model(*sent.value)
-        table = own.table()
         for texts in batches:
             if own.languages:
-                names, scores = infer(texts.tolist(), own, table)
+                names, scores = infer(texts.tolist(), own)
             else:
                 names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             yield pd.DataFrame({"lang_pred": names, "score": scores})
@@ -223,6 +215,10 @@ def op6_langid(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_langid(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of an undetermined language go; a missing lang is filled in."""
-    found = identify(docs).where(F.col("lang_pred") != UNDETERMINED)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    """Documents of an undetermined language (no text, or no letter in it) go; a missing lang is filled in.  All columns of `docs`
+    keep their values, whatever their names; repeated rows, long texts and empty tables as in `identify`."""
+    model = learn(docs.where(~_held_out()), key=F.col("doc_id"))
+    kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")
+    rows = docs.select(kept, predictor(model)(F.col("text").cast("string")).alias("found")).where(F.col("found.lang_pred") != UNDETERMINED)
+    lang = F.coalesce("kept.lang", "found.lang_pred").alias("lang")
+    return rows.select(*[lang if c == "lang" else F.col(f"kept.`{c}`").alias(c) for c in docs.columns])
