@@ -1,13 +1,17 @@
 """Quality classifier by co-training.
 
 Two views of a document: its words (hashed, presence weighted by length) and its page metadata (language, source,
-length, and counts of kinds of characters, lines and words).  A logistic classifier is trained on each view from
-labelled documents.  Over ROUNDS rounds each classifier labels the pool documents it is surest of, in the proportions
-of the labels, and those join the training set of the other view.  Each view is then calibrated on labelled documents
-that neither trained on (Platt scaling), and the sum of the calibrated log odds over the prior scores all documents.
+length, and counts of kinds of characters, lines and words).  A classifier is trained on each view: a logistic one over words
+that are scaled by how much more often they stand in one class, a linear discriminant over the numbers of the page.
 
-Fitting takes bounded, hashed samples: FIT labelled documents (a quarter of them for calibration) and POOL others; they
-are all that reaches the driver.  Scoring is a map over whole texts of all documents, without a shuffle.
+Training starts from labelled documents.  In each of ROUNDS rounds Spark then scores all other documents by both views, whole
+texts and all rows.  Documents that one view is sure of train the other: what goes back are sums over all of them (how
+often each word stands in documents of a class; number, sums and products of the page's numbers), which is all that the
+two fits need of them.  Their weight is that of the labelled documents at most, so classes keep their proportions.
+Each view is calibrated on labelled documents that neither trained on (Platt scaling), and the sum of the calibrated
+log odds over the prior scores all documents.
+
+Labelled documents are a bounded, hashed sample: FIT of them (a quarter for calibration), which reach the driver.
 The operator learns any 0/1 label; the query runs it for `quality` and for `toxic` over one pass of features.
 """
 
@@ -16,7 +20,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,9 +30,10 @@ from pyspark.sql import functions as F
 
 from .common import documents
 
-#: Labelled documents and others used to fit; hashed words; rounds; share of the pool a view labels in a round and the
-#: least odds for that; steps and strength of the fits; pseudo-occurrences of a word.
-FIT, POOL, WORDS, ROUNDS, GROW, SURE, STEPS, RIDGE, PSEUDO = 6000, 3000, 1 << 17, 4, 0.1, 0.95, 80, 3e-4, 10.0
+#: Labelled documents used to fit; hashed words; rounds; weight of the documents a view labels, in that of the labelled; how sure it
+#: must be of them; steps and strength of the logistic fit, strength of the linear one; pseudo-occurrences of a word.
+FIT, WORDS, ROUNDS, GROW, SURE, STEPS, RIDGE, SHRINK, PSEUDO = 6000, 1 << 17, 2, 1.0, 0.95, 80, 3e-4, 1e-3, 10.0
+KNOWN = 1 << 20  #: words whose hash a task remembers
 SLOTS = 64  #: hashed sources and languages
 
 
@@ -36,13 +41,24 @@ _MARKS = ".,;:!?\"'()[]{}<>*#$%&|=+-_/\\~^`@"
 LENGTH = 0.25  #: power of a text's total weight that its words are divided by: long texts count less a word, not nothing
 
 
+_slots: dict[str, int] = {}
+
+
+def _slot(word: str) -> int:
+    """Hash of a lower-case word stripped of punctuation, remembered."""
+    if (found := _slots.get(word)) is None:
+        if len(_slots) >= KNOWN:
+            _slots.clear()
+        found = _slots[word] = zlib.crc32(word.lower().strip(_MARKS).encode("utf-8", "replace")) % WORDS
+    return found
+
+
 def text_view(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashed lower-case words stripped of punctuation, and their weights (square-root counts, scaled by length)."""
-    counts: Counter[int] = Counter()
-    for word, n in Counter(text.split()).items():
-        counts[zlib.crc32(word.lower().strip(_MARKS).encode("utf-8", "replace")) % WORDS] += n
-    ids = np.fromiter(counts.keys(), np.int64, len(counts))
-    weights = np.minimum(np.sqrt(np.fromiter(counts.values(), np.float64, len(counts))), 3)
+    counts = Counter(text.split())
+    ids, place = np.unique(np.fromiter(map(_slot, counts), np.int64, len(counts)), return_inverse=True)
+    times = np.bincount(place, np.fromiter(counts.values(), np.float64, len(counts)), len(ids))
+    weights = np.minimum(np.sqrt(times), 3)
     return ids, weights / max(1.0, (weights**2).sum()) ** LENGTH
 
 
@@ -125,21 +141,69 @@ def fit_logistic(x, y: np.ndarray, size: int, steps: int = STEPS, rate: float =
     return w
 
 
-def log_ratio(x: Sparse, y: np.ndarray, size: int) -> np.ndarray:
-    """How much more often a word is in documents of class 1 than of class 0, as a log ratio; PSEUDO occurrences, shared out
-    as the classes are, draw rare words to 0."""
-    share = min(max(float(y.mean()) if len(y) else 0.5, 1e-3), 1 - 1e-3)
-    seen = np.bincount(x.ids, minlength=size)
-    ones = np.bincount(x.ids, np.repeat(y, np.diff(x.starts)), minlength=size)
-    return np.log((ones / share + PSEUDO) / ((seen - ones) / (1 - share) + PSEUDO))
+@dataclass
+class Evidence:
+    """What documents of either class add up to: how many hold each word, how many there are (words view, page view), and sums and
+    products of the page's numbers."""
+
+    words: np.ndarray
+    docs: np.ndarray
+    pages: np.ndarray
+    sums: np.ndarray
+    products: np.ndarray
+
+    @classmethod
+    def shapes(cls) -> list[tuple[int, ...]]:
+        return [(2, WORDS), (2,), (2,), (2, META), (2, META, META)]
+
+    @classmethod
+    def none(cls) -> Evidence:
+        return cls(*map(np.zeros, cls.shapes()))
+
+    @classmethod
+    def of(cls, flat: np.ndarray) -> Evidence:
+        cuts = np.cumsum([math.prod(x) for x in cls.shapes()])[:-1]
+        return cls(*(x.reshape(k) for x, k in zip(np.split(flat, cuts), cls.shapes(), strict=True)))
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in (self.words, self.docs, self.pages, self.sums, self.products)])
+
+    def add(self, words: Sparse, meta: np.ndarray, by_words: np.ndarray, by_pages: np.ndarray) -> None:
+        """Add rows of class 0 or 1 (any other: left out) to either view's sums."""
+        for c in (0, 1):
+            self.words[c] += np.bincount(words.ids, np.repeat((by_words == c).astype(float), np.diff(words.starts)), minlength=WORDS)
+            self.docs[c] += (by_words == c).sum()
+            x = np.asarray(meta)[by_pages == c]
+            self.pages[c] += len(x)
+            self.sums[c] += x.sum(axis=0)
+            self.products[c] += x.T @ x
+
+    def with_more(self, other: Evidence) -> Evidence:
+        """This and the other, whose classes weigh GROW times the classes here at most."""
+        scale = lambda own, new: np.minimum(1.0, GROW * own / np.maximum(new, 1e-9))
+        w, p = scale(self.docs, other.docs), scale(self.pages, other.pages)
+        return Evidence(
+            self.words + w[:, None] * other.words, self.docs + w * other.docs, self.pages + p * other.pages, self.sums + p[:, None] * other.sums, self.products + p[:, None, None] * other.products
+        )
 
 
-def fit_words(x: Sparse, y: np.ndarray, size: int) -> np.ndarray:
-    """Logistic weights over words that are scaled by their log ratio first: evidence of single words outweighs noise."""
-    ratio = log_ratio(x, y, size)
-    used = np.abs(ratio) > 1e-9
-    w = fit_logistic(Sparse(x.ids, x.weights * ratio[x.ids], x.starts), y, size)
-    return np.r_[np.where(used, w[:-1] * ratio, 0.0), w[-1]]
+def fit_words(x: Sparse, y: np.ndarray, seen: Evidence) -> np.ndarray:
+    """Logistic weights over words that are scaled first by how much more often they are seen in documents of class 1, as a log
+    ratio: evidence of single words outweighs noise.  PSEUDO occurrences, shared out as the classes are, draw rare words to 0."""
+    share = min(max(float(seen.docs[1] / max(seen.docs.sum(), 1e-9)) if seen.docs.sum() else 0.5, 1e-3), 1 - 1e-3)
+    ratio = np.log((seen.words[1] / share + PSEUDO) / (seen.words[0] / (1 - share) + PSEUDO))
+    w = fit_logistic(Sparse(x.ids, x.weights * ratio[x.ids], x.starts), y, WORDS)
+    return np.r_[np.where(np.abs(ratio) > 1e-9, w[:-1] * ratio, 0.0), w[-1]]
+
+
+def fit_pages(seen: Evidence) -> np.ndarray:
+    """Weights and intercept of the linear discriminant between the two classes."""
+    if not seen.pages.all():
+        return np.zeros(META + 1)
+    means = seen.sums / seen.pages[:, None]
+    spread = sum(seen.products[c] - seen.pages[c] * np.outer(means[c], means[c]) for c in (0, 1)) / seen.pages.sum()
+    w = np.linalg.solve(spread + SHRINK * np.eye(META), means[1] - means[0])
+    return np.r_[w, -w @ (means[0] + means[1]) / 2]
 
 
 def platt(odds: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -168,37 +232,40 @@ class CoTrained:
         return _sigmoid(a), _sigmoid(b), _sigmoid(a + b - self.prior)
 
 
-def co_train(words: Sparse, meta: Dense, y: np.ndarray, *, rounds: int = ROUNDS) -> CoTrained:
-    """y: 1 or 0 for labelled rows, -1 for the pool.  Every fourth labelled row is kept for calibration."""
-    labelled = np.flatnonzero(y >= 0)
-    held = labelled[3::4] if len(labelled) >= 8 else labelled
-    train = np.setdiff1d(labelled, held) if len(labelled) >= 8 else labelled
-    pool = np.flatnonzero(y < 0)
-    known = {"text": dict(zip(train.tolist(), y[train].tolist(), strict=True)), "meta": dict(zip(train.tolist(), y[train].tolist(), strict=True))}
-    share = float(np.clip(y[train].mean() if len(train) else 0.5, 0.01, 0.99))
-    views = {"text": (words, WORDS), "meta": (meta, META)}
-
-    def fit(view: str) -> np.ndarray:
-        x, size = views[view]
-        rows = np.array(sorted(known[view]), np.int64)
-        y = np.array([known[view][r] for r in rows.tolist()], float)
-        return fit_words(x.take(rows), y, size) if view == "text" else fit_logistic(x.take(rows), y, size)
-
-    weights = {v: fit(v) for v in views}
-    for _ in range(rounds if len(pool) else 0):
-        for giver, taker in (("text", "meta"), ("meta", "text")):
-            free = np.array([r for r in pool.tolist() if r not in known[taker]], np.int64)
-            if not len(free):
-                continue
-            p = _sigmoid(_odds(views[giver][0].take(free), weights[giver]))
-            for label, part, sure in ((1, share, p), (0, 1 - share, 1 - p)):
-                best = np.argsort(-sure, kind="stable")[: max(1, round(GROW * len(pool) * part))]
-                for r in free[best[sure[best] >= SURE]].tolist():
-                    known[taker].setdefault(r, label)
-        weights = {v: fit(v) for v in views}
-    prior = math.log(max(y[held].sum(), 0.5) / max(len(held) - y[held].sum(), 0.5)) if len(held) else 0.0
-    scales = {v: platt(_odds(views[v][0].take(held), weights[v]), y[held].astype(float)) if len(held) else (1.0, 0.0) for v in views}
-    return CoTrained(weights["text"], weights["meta"], scales["text"], scales["meta"], prior)
+def sure_of(p: np.ndarray, prior: float) -> np.ndarray:
+    """1 or 0 where the other class is left with less than a small part of its prior chance, else -1."""
+    part = 2 * (1 - SURE)
+    return np.where(1 - p <= part * (1 - prior), 1, np.where(p <= part * prior, 0, -1))
+
+
+def gather(words: Sparse, meta: np.ndarray, model: CoTrained, into: Evidence) -> None:
+    """Add documents that a view is sure of to what the other view learns from."""
+    text, page, _ = model.score(words, meta)
+    share = float(_sigmoid(np.array(model.prior)))
+    into.add(words, meta, sure_of(page, share), sure_of(text, share))
+
+
+def co_train(words: Sparse, meta: Dense, labels: dict[str, np.ndarray], gathered: Callable[[dict[str, CoTrained]], dict[str, Evidence]], *, rounds: int = ROUNDS) -> dict[str, CoTrained]:
+    """A model of each target.  `labels` holds 1, 0 or -1 (none) for each row; every fourth labelled row is kept for calibration.
+    `gathered` passes over the other documents and gives what each view is sure of."""
+
+    def fit(y: np.ndarray, more: Evidence) -> CoTrained:
+        labelled = np.flatnonzero(y >= 0)
+        held = labelled[3::4] if len(labelled) >= 8 else labelled
+        train = np.setdiff1d(labelled, held) if len(labelled) >= 8 else labelled
+        known, x, page = Evidence.none(), words.take(train), np.asarray(meta)[train].reshape(-1, META)
+        known.add(x, page, y[train], y[train])
+        seen = known.with_more(more)
+        views = {"text": (words, fit_words(x, y[train].astype(float), seen)), "meta": (meta, fit_pages(seen))}
+        prior = math.log(max(y[held].sum(), 0.5) / max(len(held) - y[held].sum(), 0.5)) if len(held) else 0.0
+        scales = {v: platt(_odds(x.take(held), w), y[held].astype(float)) if len(held) else (1.0, 0.0) for v, (x, w) in views.items()}
+        return CoTrained(views["text"][1], views["meta"][1], scales["text"], scales["meta"], prior)
+
+    models = {t: fit(y, Evidence.none()) for t, y in labels.items()}
+    for _ in range(rounds):
+        more = gathered(models)
+        models = {t: fit(y, more[t]) for t, y in labels.items()}
+    return models
 
 
 def _views(texts, langs, sources) -> tuple[Sparse, Dense]:
@@ -212,23 +279,43 @@ def _bounded(df: DataFrame, wanted: int, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2**31)) < int(2**31 * min(1.0, wanted / max(rows, 1))))
 
 
-def fit_models(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...], *, sample: int = FIT, pool: int = POOL) -> dict[str, CoTrained]:
-    """A co-trained model of each target column of `labels`."""
+def gather_documents(docs: DataFrame, models: dict[str, CoTrained]) -> dict[str, Evidence]:
+    """What each view is sure of over all documents: every task adds up its own, Spark adds up the tasks by slot."""
+    sent, length = docs.sparkSession.sparkContext.broadcast(models), len(Evidence.none().flat())  # of fixed size
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = {t: Evidence.none() for t in sent.value}
+        for batch in batches:
+            words, meta = _views(*(batch[c].tolist() for c in ("text", "lang", "source")))
+            for t, model in sent.value.items():
+                gather(words, meta, model, found[t])
+        flat = np.concatenate([e.flat() for e in found.values()])
+        at = np.flatnonzero(flat)
+        for i in range(0, len(at), 1 << 16):
+            yield pd.DataFrame({"slot": at[i : i + (1 << 16)], "value": flat[at[i : i + (1 << 16)]]})
+
+    sums = docs.select(*[F.col(c).cast("string") for c in ("text", "lang", "source")]).mapInPandas(summed, "slot long, value double").groupBy("slot").agg(F.sum("value").alias("value")).toPandas()
+    flat = np.zeros(length * len(models))
+    flat[sums["slot"].to_numpy(np.int64)] = sums["value"].to_numpy(float)
+    return dict(zip(models, map(Evidence.of, np.split(flat, len(models))), strict=True))
+
+
+def fit_models(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...], *, sample: int = FIT, rounds: int = ROUNDS) -> dict[str, CoTrained]:
+    """A co-trained model of each target column of `labels`.
+
+    Of several labels of a document the larger counts, null labels are none; of several documents under an id the
+    least is taken for the label; ids that are null have no label.  Without labels there is nothing to learn."""
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.max(t).cast("int").alias(t) for t in targets])
     drawn = _bounded(known, sample, known.count())
     # labels of the sample go to the documents as a broadcast: about `sample` rows, whatever the input
-    columns = ["doc_id", "text", "lang", "source"]
-    fitted = docs.select(*columns).join(F.broadcast(drawn), "doc_id", "inner").toPandas()
-    other = _bounded(docs.select(*columns), pool, docs.count())
-    other = other.join(F.broadcast(drawn.select("doc_id")), "doc_id", "left_anti").toPandas()
-    both = pd.concat([fitted, other], ignore_index=True).sort_values("doc_id", kind="stable").drop_duplicates("doc_id").reset_index(drop=True)
+    met = docs.select("doc_id", F.struct(*[F.col(c).cast("string").alias(c) for c in ("text", "lang", "source")]).alias("d")).join(F.broadcast(drawn), "doc_id")
+    fitted = met.groupBy("doc_id").agg(F.min("d").alias("d"), *[F.first(t).alias(t) for t in targets]).select("doc_id", "d.*", *targets).toPandas().sort_values("doc_id").reset_index(drop=True)
     none = lambda s: s.astype(object).where(s.notna(), None)
-    words, meta = _views(none(both["text"]), none(both["lang"]), none(both["source"]))
-    out = {}
-    for target in targets:
-        y = both[target].fillna(-1).to_numpy().astype(int) if target in both else np.full(len(both), -1)
-        out[target] = co_train(words, meta, np.where((y == 0) | (y == 1), y, -1))
-    return out
+    words, meta = _views(none(fitted["text"]), none(fitted["lang"]), none(fitted["source"]))
+    y = {t: fitted[t].fillna(-1).to_numpy().astype(int) for t in targets}
+    y = {t: np.where((x == 0) | (x == 1), x, -1) for t, x in y.items()}
+    others = docs.join(F.broadcast(drawn.select("doc_id")), "doc_id", "left_anti")
+    return co_train(words, meta, y, lambda models: gather_documents(others, models), rounds=rounds if len(fitted) else 0)
 
 
 def score_documents(docs: DataFrame, models: dict[str, CoTrained]) -> DataFrame:
