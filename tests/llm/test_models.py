@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -30,7 +31,7 @@ def test_mixtures_are_found(spark):
     model = langid.learn(docs)
     by = {r["lang"]: r["text"] for r in docs.where("lang is not null and length(text) between 2000 and 4000").collect()}
     text = by["de"][:2000] + " " + by["es"][:1000]
-    names, scores = langid.infer([text, by["fr"]], model, model.table())
+    names, scores = langid.infer([text, by["fr"]], model)
     assert names == ["de", "fr"] and 0.5 < scores[0] < 0.85 and scores[1] > 0.95
 
 
@@ -48,13 +49,59 @@ def test_language_edge_cases(spark):
     assert kept.columns == cases.table(spark).columns and kept.where("lang is null").count() == 0
 
 
-def test_trigrams_of_pieces_add_up(monkeypatch):
-    table = langid.Model(("x",), "abcdefgh", np.empty(0)).table()
-    text = "abc def, gh  ab" * 300
-    whole = dict(zip(*map(np.ndarray.tolist, langid._trigrams(text, table)), strict=True))
+def test_stage_keeps_columns_of_any_name(spark):
+    data = [(i, "the cat sat on the mat and " * 5, None, f"mine {i}", i, "x.y") for i in range(5)] + [(9, "42", None, "gone", 1, "z")]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, score string, held_out int, `a.b` string").withColumn("lang", __import__("pyspark").sql.functions.expr("if(doc_id = 0, 'en', null)"))
+    got = {r["doc_id"]: (r["lang"], r["score"], r["held_out"], r["a.b"]) for r in langid.stage_langid(spark, df, "").collect()}
+    assert got == {i: ("en", f"mine {i}", i, "x.y") for i in range(5)}
+
+
+def test_ten_scripts_are_told_apart(spark):
+    """Languages that share no letter, and two that share all of them: no alphabet is too large."""
+    rng = np.random.default_rng(5)
+    ranges = {"el": (0x3B1, 25), "ru": (0x430, 32), "hy": (0x561, 38), "he": (0x5D0, 27), "ar": (0x628, 30), "hi": (0x915, 36), "th": (0xE01, 46), "ka": (0x10D0, 33), "ko": (0xAC00, 5000), "zh": (0x4E00, 8000), "ja": (0x4E00, 8000)}
+    words = {k: ["".join(chr(at + int(c)) for c in rng.integers(0, n, rng.integers(2, 6))) for _ in range(200)] for k, (at, n) in ranges.items()}
+
+    def text(lang, n):
+        return " ".join(words[lang][int(i)] for i in rng.integers(0, 200, n // 4))
+
+    docs = [(i, text(lang, 300), lang, "s", 300) for i, lang in enumerate([*ranges] * 24)]
+    got = langid.identify(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")).where("held_out").collect()
+    truth = {d[0]: d[2] for d in docs}
+    assert len(got) > 30 and all(r["lang_pred"] == truth[r["doc_id"]] for r in got)
+
+
+def test_mixture_against_a_plain_fit():
+    """Proportions and likelihoods of a whole batch are those of each document fitted alone, step by step."""
+    rng = np.random.default_rng(3)
+    sizes = [5, 40, 1, 200]
+    likely, counts = rng.random((sum(sizes), 3)).astype(np.float64), rng.integers(1, 6, sum(sizes)).astype(float)
+    starts = np.cumsum([0, *sizes[:-1]])
+    shares, fits = langid._fit(likely, counts, starts, np.ones((4, 3)))
+    for i, (a, n) in enumerate(zip(starts, sizes, strict=True)):
+        p, own, times = np.full(3, 1 / 3), likely[a : a + n], counts[a : a + n]
+        for _ in range(5000):
+            joint = own * p
+            p = (joint / joint.sum(axis=1, keepdims=True) * times[:, None]).sum(axis=0) / times.sum()
+        best = (np.log((own * p).sum(axis=1)) * times).sum()
+        assert best - 0.05 <= fits[i] <= best + 1e-6 and np.isclose(shares[i].sum(), 1)
+
+
+def test_trigrams_against_a_plain_count(monkeypatch):
+    text = "abc dEf, gh  ab Ωμέγα 漢字" * 300
+    words = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    words = re.sub(" +", " ", words)
+    plain = Counter(words[i : i + 3] for i in range(len(words) - 2) if words[i : i + 3].strip())
+    ids, counts = langid._trigrams(text)
+    assert sorted(counts.tolist()) == sorted(plain.values())  # these few trigrams do not collide
+    whole = dict(zip(ids.tolist(), counts.tolist(), strict=True))
     monkeypatch.setattr(langid, "PIECE", 64)
-    parts = dict(zip(*map(np.ndarray.tolist, langid._trigrams(text, table)), strict=True))
+    parts = dict(zip(*map(np.ndarray.tolist, langid._trigrams(text)), strict=True))
     assert sum(abs(whole.get(k, 0) - parts.get(k, 0)) for k in {*whole, *parts}) <= 0.02 * sum(whole.values())
+    monkeypatch.setattr(langid, "PIECE", 1 << 20)
+    long = text * 60
+    got = dict(zip(*map(np.ndarray.tolist, langid._trigrams(long)), strict=True))
+    assert all(abs(got[k] - 60 * v) <= 130 for k, v in whole.items())
 
 
 # --- packing ----------------------------------------------------------------------------------------------------
@@ -175,13 +222,66 @@ def test_recall_and_scores(spark):
 
 def test_copies_ties_and_bad_vectors(spark):
     same = [1.0, 2.0, 3.0]
-    data = {i: same for i in range(0, 3000, 3)} | {i: [float(i % 7), 1.0, -float(i % 5)] for i in range(1, 3000, 3)}
-    rows = [(i, v, "x") for i, v in data.items()] + [(3020, None, "x"), (3040, [0.0, 0.0, 0.0], "x"), (3060, [1.0, None, 2.0], "x"), (3080, [1.0, float("nan"), 2.0], "x"), (3100, [], "x"), (3120, [float("inf"), 1.0, 1.0], "x"), (None, [1.0, 1.0, 1.0], "x")]
-    rows += [(0, same, "x")] * 3
-    got = hnsw.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string"), shard=50).toPandas()
-    want = _brute(data, 20, 20)
-    found = {q: g.sort_values("rank").vec_id.tolist() for q, g in got.groupby("query_id")}
-    assert found == want
+    data = [(i, same) for i in range(0, 3000, 3)] + [(i, [float(i % 7), 1.0, -float(i % 5)]) for i in range(1, 3000, 3)]
+    data += [(0, same)] * 3 + [(20, [9.0, 9.0, 9.0]), (21, [9.0, 9.0, 9.0]), (21, [-1.0, 0.0, 0.0])]  # repeated rows, repeated ids
+    bad = [(3020, None, "x"), (3040, [0.0, 0.0, 0.0], "x"), (3060, [1.0, None, 2.0], "x"), (3080, [1.0, float("nan"), 2.0], "x"), (3100, [], "x"), (3120, [float("inf"), 1.0, 1.0], "x"), (None, [1.0, 1.0, 1.0], "x")]
+    got = hnsw.nearest(spark.createDataFrame([(*r, "x") for r in data] + bad, "vec_id long, embedding array<float>, score string"), shard=50).toPandas()
+    ids, x = np.array([i for i, _ in data]), np.array([v for _, v in data])
+    want = Counter()
+    for row in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[row]
+        order = [j for j in np.lexsort((ids, -s)) if j != row][:20]
+        want.update((int(ids[row]), rank, int(ids[j]), round(float(s[j]), 6)) for rank, j in enumerate(order, 1))
+    assert Counter((r.query_id, r.rank, r.vec_id, round(r.score, 6)) for r in got.itertuples()) == want
+
+
+def test_scores_are_those_of_double_vectors(spark):
+    rng = np.random.default_rng(7)
+    data = {i: (rng.normal(size=8) * 10.0 ** rng.integers(-3, 4)).tolist() for i in range(400)} | {1000: [1e200] + [0.0] * 7, 1020: [1.0 + 1e-12] * 8, 1021: [1.0] * 8}
+    got = hnsw.nearest(spark.createDataFrame(list(data.items()), "vec_id long, embedding array<double>")).toPandas()
+    for r in got.itertuples():
+        assert r.score == pytest.approx(float(np.dot(data[r.query_id], data[r.vec_id])), rel=1e-12)
+    first = got[(got.query_id == 1020) & (got["rank"] == 1)].vec_id.tolist()
+    assert first == [1000]
+
+
+def test_routed_queries_find_their_neighbours(spark):
+    """More cells than a query visits: recall stays, each query meets few shards, and short answers are filled up."""
+    got = hnsw.nearest(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"), shard=256).toPandas()
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()
+    want = _brute({r[0]: r[1] for r in rows if r[1] is not None and len(r[1])}, 20, 20)
+    found = {q: set(g.vec_id) for q, g in got.groupby("query_id")}
+    assert set(found) == set(want) and sum(len(found[q] & set(want[q])) for q in want) / (20 * len(want)) >= 0.9
+    rng = np.random.default_rng(8)
+    apart = [(i, (np.eye(40)[i % 40] * 50 + rng.normal(size=40)).tolist()) for i in range(4000)]
+    few = hnsw.nearest(spark.createDataFrame(apart, "vec_id long, embedding array<double>"), shard=64, probes=1, k=150).toPandas()
+    assert (few.groupby("query_id").size() == 150).all()
+
+
+def test_cells_that_a_query_visits_are_measured():
+    """Few where vectors lie in clusters, nearly all where they have no structure."""
+    rng = np.random.default_rng(10)
+    lifted = lambda x: hnsw.lift(x, 1.0, float((x**2).sum(axis=1).max()))
+    clustered = lifted(np.repeat(rng.normal(size=(40, 32)), 100, axis=0) + 0.05 * rng.normal(size=(4000, 32)))
+    loose = lifted(rng.normal(size=(4000, 32)))
+    assert hnsw.visited(clustered, hnsw.centroids(clustered, 40), 20) <= 4
+    assert hnsw.visited(loose, hnsw.centroids(loose, 40), 20) >= 20
+
+
+def test_insertion_searches_the_graph(monkeypatch):
+    """Candidates of an insertion come from walks over the graph so far; the links found are nearly those of a full comparison."""
+    rng = np.random.default_rng(9)
+    points = hnsw.lift(rng.normal(size=(3000, 16)), 1.0, 60.0)
+    walks, walk = [], hnsw._walk
+    monkeypatch.setattr(hnsw, "_walk", lambda points, *a: (walks.append(len(points)), walk(points, *a))[1])
+    graph = hnsw.build(points)
+    assert len(walks) > 3000 / hnsw.BATCH and max(walks) < 3000
+    flat = graph["layers"][0][1]
+    assert flat.shape == (3000, 2 * hnsw.LINKS) and (flat[:, 0] >= 0).all()
+    gains = points @ points.T
+    np.fill_diagonal(gains, -np.inf)
+    nearest = gains.argmax(axis=1)
+    assert np.mean([nearest[i] in flat[i] for i in range(3000)]) >= 0.9
 
 
 def test_few_vectors(spark):
@@ -207,15 +307,50 @@ def test_quality_on_labels_that_were_not_fitted(spark):
 
 
 def test_views_teach_each_other():
-    """With labels that one view cannot use, pseudo-labels of the other carry over."""
+    """With few labels, what one view is sure of over all other documents carries over to the other."""
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 600)
-    words = [(np.array([1 + c * 10 + int(rng.integers(5)), 500 + i % 50]), np.ones(2)) for i, c in enumerate(y)]
+    words = quality.Sparse.of([(np.unique([1 + c * 10 + int(rng.integers(5)), 500 + i % 50]), np.ones(2)) for i, c in enumerate(y)])
     meta = np.c_[y + rng.normal(0, 0.1, 600), np.zeros((600, quality.META - 1))].view(quality.Dense)
-    known = np.where(np.arange(600) < 24, y, -1)
-    model = quality.co_train(quality.Sparse.of(words), meta, known)
-    text, page, both = model.score(quality.Sparse.of(words), meta)
-    assert ((both >= 0.5) == (y == 1))[24:].mean() >= 0.97 and ((text >= 0.5) == (y == 1))[24:].mean() >= 0.95
+    known, pool = np.where(np.arange(600) < 24, y, -1), np.arange(24, 600)
+
+    def gathered(models):
+        e = quality.Evidence.none()
+        quality.gather(words.take(pool), np.asarray(meta)[pool], models["t"], e)
+        return {"t": e}
+
+    alone = quality.co_train(words, meta, {"t": known}, gathered, rounds=0)["t"]
+    model = quality.co_train(words, meta, {"t": known}, gathered)["t"]
+    right = lambda m: [((p >= 0.5) == (y == 1))[24:].mean() for p in m.score(words, meta)]
+    assert right(model)[2] >= 0.97 and right(model)[0] >= 0.9 and right(model)[0] >= right(alone)[0]
+
+
+def test_all_documents_are_gathered(spark):
+    """The sums that come back are those over every document outside the sample, as a plain pass gives them."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    models = quality.fit_models(docs, labels, ("quality", "toxic"), rounds=0)
+    rows = docs.select("text", "lang", "source").collect()
+    got = quality.gather_documents(docs, models)
+    words, meta = quality._views(*([r[i] for r in rows] for i in range(3)))
+    for t, m in models.items():
+        want = quality.Evidence.none()
+        quality.gather(words, meta, m, want)
+        assert np.allclose(got[t].flat(), want.flat(), atol=1e-6)
+    assert got["quality"].docs.sum() + got["quality"].pages.sum() > len(rows) / 4
+
+
+def test_scores_against_a_plain_pass(spark):
+    """Scores of all documents are those of the fitted models, computed one document at a time."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    models = quality.fit_models(docs, labels, ("quality", "toxic"), rounds=1)
+    got = {r["doc_id"]: r for r in quality.score_documents(docs, models).collect()}
+    assert len(got) == docs.count()
+    for r in docs.orderBy("doc_id").take(60):
+        words, meta = quality._views([r["text"]], [r["lang"]], [r["source"]])
+        for t, m in models.items():
+            a, b, both = (float(x[0]) for x in m.score(words, meta))
+            assert (got[r["doc_id"]][f"text_{t}"], got[r["doc_id"]][f"meta_{t}"], got[r["doc_id"]][t]) == pytest.approx((a, b, both))
 
 
 def test_quality_edge_cases(spark):
@@ -223,6 +358,8 @@ def test_quality_edge_cases(spark):
     docs = cases.table(spark)
     got = quality.score_documents(docs, quality.fit_models(docs, labels, ("quality", "toxic")))
     assert got.count() == len(cases.rows()) and got.where("quality is null or isnan(quality)").count() == 0
+    odd = spark.createDataFrame([(1, 0, None), (1, 1, 0), (2, None, None), (None, 1, 1), (3, 5, 0), *((10 + i, i % 2, 0) for i in range(30))], "doc_id long, quality int, toxic int")
+    assert quality.score_documents(docs, quality.fit_models(docs, odd, ("quality", "toxic"))).where("toxic is null or isnan(toxic)").count() == 0
     none = quality.fit_models(docs, labels.limit(0), ("quality",))
     assert quality.score_documents(docs, none).where("abs(quality - 0.5) > 1e-9").count() == 0
     assert quality.score_documents(cases.empty(spark), none).count() == 0

@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 import xxhash
 
-from pagemill.llm import media, mixing, pii, sharding, simhash, urlfilter
+from pagemill.llm import common, media, mixing, pii, sharding, simhash, urlfilter
 
 from . import cases
 
@@ -33,23 +33,41 @@ def test_shards_have_near_equal_bytes_and_gapless_slots(spark):
 
 
 @pytest.mark.parametrize("ranges", [2, 7, 64])
-def test_shards_do_not_depend_on_the_sample(spark, ranges):
-    one = sharding.shard_by_splitters(cases.table(spark), 5, ranges=ranges, seed=ranges).toPandas()
-    two = sharding.shard_by_splitters(cases.table(spark), 5).toPandas()
-    key = ["text_crc32", "doc_id", "shard", "slot"]
-    assert one[key].sort_values(key).to_numpy().tolist().__repr__() == two[key].sort_values(key).to_numpy().tolist().__repr__()
+def test_shards_follow_the_key_order(spark, ranges):
+    """Shards and slots are a plain sort by key, cut where the bytes are near equal."""
+    data = [(i, random.Random(i).choice(["x", "yy", f"{i} " * 50]), "en", "a", 1) for i in range(500)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sharding.shard_by_splitters(df, 4, ranges=ranges, seed=ranges).toPandas().sort_values(["shard", "slot"])
+    order = sorted(data, key=lambda r: (int(hashlib.md5(r[1].encode()).hexdigest()[:15], 16), r[0]))
+    assert got.doc_id.tolist() == [r[0] for r in order]
+    total = sum(len(r[1]) + 1 for r in data)
+    assert all(abs(b - total / 4) <= 2 * 201 for b in got.groupby("shard")["size"].sum())
 
 
-def test_shards_match_a_plain_sort(spark):
-    data = [(i, random.Random(i).choice(["x", "yy", "zzz " * 50]), "en", "a", 1) for i in range(500)]
-    got = sharding.shard_by_splitters(spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long"), 4, ranges=16).toPandas().set_index("doc_id")
-    order = sorted(data, key=lambda r: (int(hashlib.md5(r[1].encode()).hexdigest()[:15], 16), r[0]))
-    total, before, slots = sum(len(r[1]) + 1 for r in data), 0, Counter()
-    for r in order:
-        shard = before * 4 // total
-        assert got.loc[r[0], "shard"] == shard and got.loc[r[0], "slot"] == slots[shard]
-        slots[shard] += 1
-        before += len(r[1]) + 1
+def _slim(spark, keys, size=10):
+    return spark.createDataFrame([(k, 0, i, size) for i, k in enumerate(keys)], "key long, tie long, row long, size long")
+
+
+def test_splitters_decide_where_a_shard_ends(spark, monkeypatch):
+    slim = _slim(spark, range(5000))
+    splitters, sums = sharding.split(slim, 4, 50000, 5000, ranges=32, tolerance=0.01)
+    first = [s for s, _, _ in splitters]
+    ends = [first[int(r) - 1] for r in sums.groupby("shard")["range"].min()[1:]]
+    for k, end in enumerate(ends, 1):  # the shard begins at a splitter, near its part of the bytes
+        assert abs(end * 10 - k * 12500) <= 0.01 * 12500 + 10
+    # other splitters, other borders: with coarse ones and no need to subdivide, the borders are those of the ranges
+    monkeypatch.setattr(sharding, "_quantiles", lambda sample, parts: [(1000, 0, 1000), (2600, 0, 2600), (4000, 0, 4000)])
+    _, sums = sharding.split(slim, 4, 50000, 5000, ranges=4, tolerance=10)
+    assert sums.b.tolist() == [10000, 16000, 14000, 10000] and sums.shard.tolist() == [0, 1, 2, 3]
+
+
+def test_identical_rows_are_spread(spark):
+    splitters, sums = sharding.split(_slim(spark, [7] * 6000 + list(range(3000))), 8, 90000, 9000, ranges=64)
+    assert sums.n.max() <= sharding.OVERFULL * 9000 / 64 and len(splitters) >= 64
+    assert all(abs(b - 90000 / 8) <= 20 for b in sums.groupby("shard").b.sum())
+    same = spark.createDataFrame([(1, "same text")] * 3000, "doc_id long, text string")
+    got = sharding.shard_by_splitters(same, 8, ranges=16).toPandas()
+    assert got.groupby("shard").size().tolist() == [375] * 8 and all(sorted(g) == list(range(375)) for _, g in got.groupby("shard").slot)
 
 
 # --- simhash ----------------------------------------------------------------------------------------------------
@@ -97,7 +115,7 @@ def test_simhash_equals_brute_force(spark):
 
 
 def test_simhash_bands_follow_the_count():
-    assert [simhash.agreeing_bands(n, 3) for n in (0, 10**8, 10**10, 10**12, 10**15)] == [1, 1, 2, 3, 4]
+    assert [simhash.agreeing_bands(n, 3) for n in (0, 10**8, 10**10, 10**12, 10**15)] == [1, 1, 2, 3, 5]
 
 
 @pytest.mark.parametrize("agree", [1, 2, 3])
@@ -124,6 +142,36 @@ def test_simhash_links_chains_and_dense_groups(spark, agree):
     assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_parts_of_a_bucket_share_its_work(monkeypatch):
+    """Each part compares its own base rows with all rows; together they link what the whole does."""
+    rng = np.random.default_rng(1)
+    prints = rng.integers(0, 2**14, 4000, dtype=np.uint64)
+    prints = prints[np.argsort(np.bitwise_count(prints), kind="stable")]
+    group, part, seen = np.zeros(4000, np.int64), rng.integers(0, 4, 4000), []
+    count = np.bitwise_count
+    monkeypatch.setattr(simhash, "TILE", 64)
+    monkeypatch.setattr(np, "bitwise_count", lambda x: (seen.append(x.size if x.ndim == 2 else 0), count(x))[1])
+    whole = simhash.forest_of(group, prints, np.ones(4000, bool), 1)
+    work = [sum(seen)]
+    joined = simhash._Forest(4000)
+    for k in range(4):
+        seen.clear()
+        joined.link(*simhash.forest_of(group, prints, part == k, 1))
+        work.append(sum(seen))
+    want = simhash._Forest(4000)
+    want.link(*whole)
+    rows = np.arange(4000)
+    assert (joined.roots(rows) == want.roots(rows)).all()
+    assert max(work[1:]) <= 0.6 * work[0]
+
+
+def test_hot_keys_go_out_as_a_broadcast(spark):
+    rows = spark.createDataFrame([(i, 0 if i % 3 else i) for i in range(6000)], "id long, k long")
+    table = rows.groupBy("k").count().withColumnRenamed("count", "n").withColumn("v", -__import__("pyspark").sql.functions.col("k")).where("k != 9")
+    got = {r["id"]: r["v"] for r in common.attach(rows, table, "k", 6000).collect()}
+    assert got == {i: None if i == 9 else (0 if i % 3 else -i) for i in range(6000)}
+
+
 def test_tiles_skip_nothing_that_links():
     rng = np.random.default_rng(0)
     prints = rng.integers(0, 2**12, 3000, dtype=np.uint64)
@@ -237,6 +285,20 @@ def test_mix_follows_targets_and_apportionment(spark):
     assert Counter(zip(again["size"], again.taken)) == Counter(zip(got["size"], got.taken))
 
 
+def test_mix_numbers_rows_that_are_alike(spark):
+    """Half of all rows without an id and with one text; two texts under one id are told apart, in any order of the rows."""
+    data = [(None, "a b c", "en", "x", 5)] * 400 + [(i, f"w{i} " * (i % 9 + 1), "en", "x" if i % 2 else "y", 1) for i in range(400)] + [(7, "one two", "en", "x", 1), (7, "two one", "en", "x", 1)] * 30
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mixing.mix_sources(df).toPandas()
+    again = mixing.mix_sources(df.orderBy("n_chars", "text").repartition(3)).toPandas()
+    rows = lambda x: Counter(zip(x.doc_id.fillna(-1), x["size"], x.source, x.taken))
+    assert rows(got) == rows(again) and len(got) == len(data)
+    for _, g in got.groupby("source"):
+        assert abs(g.taken.sum() - g.target.iloc[0]) <= 2 * mixing.BLOCK
+    text = lambda out: Counter((r["doc_id"], r["text"]) for r in out.collect())
+    assert text(mixing.stage_mix(spark, df, "")) == text(mixing.stage_mix(spark, df.orderBy("text").repartition(5), ""))
+
+
 def test_quotas_by_shard_add_up(spark):
     targets = {"a": 700.0, "b": 133.0, "c": 90.0, "d": 16.0}
     df = spark.createDataFrame([("s" + k, k, 1000, v) for k, v in targets.items()], "skey string, source string, source_size long, target double")
@@ -275,7 +337,7 @@ def _judge(url):
     if fits:
         rule, verdict = max(fits, key=lambda x: len(x[0]))
         return host, path, rule, verdict
-    own = any(re.search(rf"(?:^|[.-]){re.escape(r.rule)}[.-]", host, re.S) for r in urlfilter.OWN)
+    own = any(re.search(rf"(?:^|[.-]){re.escape(w)}[.-]", host, re.S) for w in urlfilter.OWN)
     return host, path, None, "block" if own else "allow"
 
 
@@ -289,17 +351,28 @@ def test_urls_against_brute_force(spark):
     assert got == {i: _judge(u) for i, u in enumerate(urls)}
 
 
-def test_long_rule_lists_are_applied_in_chunks(spark, monkeypatch):
-    monkeypatch.setattr(urlfilter, "CHUNK", 2)
-    df = spark.createDataFrame([(0, "http://www.example.com/en/1"), (1, "http://a.net/es/1"), (2, "http://spam.org/")], "page_id long, url string")
-    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urlfilter.filter_urls(df).collect()}
-    assert got == {0: ("www.example.com/en/", "allow"), 1: ("net/es/", "block"), 2: (None, "block")}
+def test_thousands_of_rules_against_brute_force(spark):
+    rng = random.Random(6)
+    hosts = [f"{rng.choice('abcdefgh')}{rng.randrange(300)}.{rng.choice(['org', 'net', 'пример.рф', 'é'])}" for _ in range(900)]
+    listed = list({(h, p): (h, p, rng.choice(["allow", "block"])) for h in [*hosts, "пример.рф", "é", "org"] for p in ("/", rng.choice(["/x/", "/x/y", "/é/"]))}.values())
+    rules = [urlfilter.rule_of(*r) for r in listed] + [urlfilter.word_rule(w) for w in ("h1", "g2")] + [("any query", r"(?s)secret", [], "block", True)]
+    urls = [f"http://{rng.choice(['', 'www.', 'h1.'])}{rng.choice(hosts)}{rng.choice(['/', '/x/', '/x/y/z', '/é/', '', '/secret'])}" for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(urls)) + [(-1, urls[0])] * 500, "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urlfilter.filter_urls(df, urlfilter.rule_table(spark, rules)).collect()}
+    for i, u in enumerate(urls):
+        host, path, *_ = _judge(u)
+        fits = [(h + p, v) for h, p, v in listed if (host == h or host.endswith("." + h)) and path.startswith(p)] + [("any query", "block")] * ("secret" in path)
+        want = min(fits, key=lambda x: (-len(x[0]), x[0])) if fits else (None, "block" if re.search(r"(?:^|[.-])(?:h1|g2)[.-]", host) else "allow")
+        assert got[i] == want, u
+    assert got[-1] == got[0]
+    assert urlfilter.filter_urls(df, urlfilter.rule_table(spark, [])).where("rule is null and verdict = 'allow'").count() == df.count()
 
 
 def test_rules_are_filed_under_their_rarest_token(spark):
     df = spark.createDataFrame([("a.example.com/en/",)] * 5 + [("b.example.com/de/",)], "canonical string")
-    filed = dict((r.rule, t) for t, r in urlfilter.rarest_tokens(df, urlfilter.LISTED))
-    assert filed["example.com/en/"] == "en" and filed["com/"] == "com"
+    rules = urlfilter.rule_table(spark, [*(urlfilter.rule_of(*r) for r in urlfilter.LISTED), urlfilter.rule_of("пример.рф", "/", "block")])
+    filed = {r["rule"]: r["token"] for r in urlfilter.filed_rules(df, rules).collect()}
+    assert filed["example.com/en/"] == "en" and filed["com/"] == "com" and filed["net/es/"] == "es" and filed["пример.рф/"] == ""
 
 
 # --- personal data ----------------------------------------------------------------------------------------------
@@ -322,7 +395,7 @@ def _base(text):
 
 def test_base_spans_against_brute_force(spark):
     rng = random.Random(1)
-    texts = [None, "", " ", "a" * 30000, "1" * 30000, "1 " * 15000, "a.b@c.d.e_f@g.h", "1.2.3.4.5.6.7.8", "999.1.1.1", "+1 (564) 555-4526.", "x4111 1111 1111 1111y", "a@b.c@d.e", "00012.1.1.255", "😀 a@b.c"]
+    texts = [None, "", " ", "4111 1111 1111 1111; " * 3000, "a@b.c " * 5000, "a" * 30000, "1" * 30000, "1 " * 15000, "a.b@c.d.e_f@g.h", "1.2.3.4.5.6.7.8", "999.1.1.1", "+1 (564) 555-4526.", "x4111 1111 1111 1111y", "a@b.c@d.e", "00012.1.1.255", "😀 a@b.c"]
     for alphabet in ("0123456789.+-@ ()aZ%_é😀\n", "0123456789.+ @a"):
         texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
     got = pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).toPandas().set_index("doc_id")
@@ -330,13 +403,73 @@ def test_base_spans_against_brute_force(spark):
         want = _base(t)
         assert got.loc[i, "base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest(), t
         assert [got.loc[i, f"n_{k}"] for k in pii.KINDS] == [sum(w.startswith(k) for w in want) for k in pii.KINDS]
-        assert set(want) <= set(got.loc[i, "spans"].split(",")) | {""}
+        spans = got.loc[i, "spans"].split(",") if got.loc[i, "spans"] else []
+        assert set(want) <= set(spans) and got.loc[i, "private"] == bool(spans)
+        assert spans == sorted(spans, key=lambda x: (pii.ALL.index(x.split(":")[0]), int(x.split(":")[1])))
 
 
 def test_patterns_find_unseen_identifiers(spark):
-    rows = [(i, f"some words then write to mail: user{i}@site.org now") for i in range(30)] + [(50, "please write to mail: user51@localhost today"), (51, "there were 12345 sheep")]
+    long = "averyveryverylongwordthatexceedsfortycharacters"
+    rows = [(i, f"some words then write to mail: user{i}@site.org now {long}: 10.0.0.{i} end") for i in range(30)] + [(50, "please write to mail: user51@localhost today"), (51, "there were 12345 sheep")]
     got = {r["doc_id"]: r["spans"] for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[50] == f"email:{rows[30][1].index('user51')}:{rows[30][1].index(' today')}" and got[51] == ""
+    # a short token, and one behind a long word, are instances like any other; secrets are seeds of their own
+    more = [(60, f"{long}: 7x"), (61, "sheep 7x"), *((70 + i, f'token = "{i:032x}a1" x') for i in range(6)), (80, 'token = "shorter9"')]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(spark.createDataFrame(rows + more, "doc_id long, text string")).collect()}
+    assert got[60] == f"ip:{len(long) + 2}:{len(long) + 4}" and got[61] == "" and got[70] == "secret:9:43" and got[80] == "secret:9:17"
+
+
+def test_spans_against_a_plain_bootstrap(spark):
+    """The whole method in plain Python: seeds, patterns, the scored graph, and what it adds."""
+    rng = random.Random(9)
+    values = [lambda: f"u{rng.randrange(99)}@x{rng.randrange(9)}.org", lambda: f"10.{rng.randrange(99)}.0.{rng.randrange(260)}", lambda: f"+1 555 {rng.randrange(10**6, 10**7)}", lambda: str(rng.randrange(10**4)), lambda: f"user{rng.randrange(99)}@host", lambda: "none"]
+    heads = {"mail: ": 0, "server ": 1, "call ": 2, "page ": 3, "id=": 3, "über ": 5}
+    texts = ["; ".join(head + (values[kind] if rng.random() < 0.93 else rng.choice(values))() for head, kind in rng.choices(list(heads.items()), k=rng.randrange(1, 8))) for _ in range(300)]
+    instances = []
+    for i, t in enumerate(texts):
+        base = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in _base(t))]
+        raw = {k: [m.span() for m in re.finditer(p, t)] for k, p in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))}
+        loose = [m.span() for m in re.finditer(r"(?<![A-Za-z0-9@._%+-])(?=[A-Za-z._%+-]*[0-9@])[A-Za-z0-9@._%+-]*[A-Za-z0-9]", t)]
+
+        def pattern(a, spans):
+            gap = t[max([e for _, e in spans if e <= a], default=0) : a]
+            m = re.search(r"(?<![^\W\d_])([^\W\d_]+(?:[^\w]|_){1,4})\Z", gap)
+            return re.sub(r"\s+", " ", m[1]).lower() if m else None
+
+        instances += [(i, a, b, k, t[a:b].lower(), pattern(a, raw[k])) for k, a, b in base]
+        instances += [(i, a, b, None, t[a:b].lower(), pattern(a, loose)) for a, b in loose if not any(x < b and a < y for _, x, y in base)]
+    edges = defaultdict(lambda: [0, None])
+    for _, _, _, k, v, p in instances:
+        if p:
+            edges[p, v][0] += 1
+            edges[p, v][1] = max(filter(None, (edges[p, v][1], k)), default=None)
+    seeds = {(v, k): 1.0 for (_, v), (_, k) in edges.items() if k}
+    belief, before = seeds, None
+    for _ in range(50):
+        weight, whole = Counter(), Counter()
+        for (p, v), (n, _) in edges.items():
+            whole[p] += n
+            for kind in pii.KINDS:
+                weight[p, kind] += n * belief.get((v, kind), 0.0)
+        score = {x: w / (whole[x[0]] + 1) for x, w in weight.items() if w}
+        if before is not None and max(abs(score.get(x, 0) - before.get(x, 0)) for x in {*score, *before}) < 1e-3:
+            break
+        before, belief, known = score, dict(seeds), {v for v, _ in seeds}
+        for (p, v), (_, k) in edges.items():
+            for kind in pii.KINDS:
+                if k is None and v not in known and score.get((p, kind), 0) >= 0.5:
+                    belief[v, kind] = max(belief.get((v, kind), 0), score[p, kind])
+    support = Counter((p, k) for (p, _), (_, k) in edges.items() if k)
+    best = {}
+    for (p, kind), x in score.items():
+        if x >= 0.8 and support[p, kind] >= 5:
+            best[p] = max(best.get(p, (0, "")), (x, kind))
+    want = {i: set() for i in range(len(texts))}
+    for i, a, b, k, _, p in instances:
+        if k or p in best:
+            want[i].add(f"{k or best[p][1]}:{a}:{b}")
+    got = {r["doc_id"]: set(filter(None, r["spans"].split(","))) for r in pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == want and any(len(want[i]) > len(_base(t)) for i, t in enumerate(texts))
 
 
 def test_pii_stage_masks(spark):
@@ -344,6 +477,9 @@ def test_pii_stage_masks(spark):
     df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.stage_pii(spark, df, "").collect()}
     assert got == {1: ("card [CARD] and [EMAIL]", 23), 2: (None, None), 3: ("clean", 5)}
+    long = "é 4111 1111 1111 1111 a@b.c +1 555 123 4567, 10.0.0.1 x, "
+    many = spark.createDataFrame([(1, long * 1000, "en", "a", 1)] * 2, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["text"] for r in pii.stage_pii(spark, many, "").collect()} == {"é [CARD] [EMAIL] [PHONE], [IP] x, " * 1000}
     assert pii.stage_pii(spark, cases.table(spark), "").count() == len(cases.rows())
 
 
@@ -384,6 +520,32 @@ def test_netpbm_and_bmp_decode():
     assert (media.decode(b"P5 1 1 65535 \xff\xff") == 255).all()
     with pytest.raises(ValueError):
         media.decode(b"GIF89a")
+    info8 = (40).to_bytes(4, "little") + (2).to_bytes(4, "little") + (1).to_bytes(4, "little") + (1).to_bytes(2, "little") + (8).to_bytes(2, "little") + bytes(16) + (2).to_bytes(4, "little") + bytes(4)
+    palette = b"\0\0\0\0" + b"\xff\xff\xff\0"
+    head8 = lambda at: b"BM" + bytes(8) + at.to_bytes(4, "little")
+    assert (media.decode(head8(62) + info8 + palette + bytes([1, 0, 0, 0])) == [[255, 0]]).all()
+    broken = [head8(62) + info8 + palette + bytes([9, 0, 0, 0]), head8(62)[:10] + b"\xff" * 4 + info8, b"P2 1 1 255 99999999999999999999999", b"P2 1 1 255 x", b"P2 1 1 255 -3", b"P2 1 1 9 12", b"P1 2 1 1 7"]
+    broken += [b"P5 " + b"9" * 30 + b" 1 255 x", b"P6 99999999 99999999 255 x", b"P3", b"P4 8 1", b"BM", b"BM" + bytes(60), b"P5 1 1 0 x", head8(62) + info8[:4] + (2**31 - 1).to_bytes(4, "little") * 2 + info8[12:] + palette]
+    for bad in broken:
+        with pytest.raises(ValueError):
+            media.decode(bad)
+
+
+def test_tiles_are_written_as_npy(spark):
+    import io
+
+    rows = media.text_media(spark.createDataFrame([(1, "some text " * 99), (2, None)], "doc_id long, text string"), tiles=True).collect()
+    for r in rows:
+        assert r["feature"].endswith(f"npy:{zlib.crc32(bytes(r['npy'])):08x}") and np.load(io.BytesIO(bytes(r["npy"]))).shape == (64, 64)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_no_bytes_break_the_decoder(spark, seed):
+    rng = np.random.default_rng(seed)
+    starts = [b"P1", b"P2", b"P3", b"P4", b"P5", b"P6", b"BM", b"P2 3 2 255 ", b"P5 2 2 255\n", b"BM" + bytes(8) + b"\x36\0\0\0" + b"\x28\0\0\0\x02\0\0\0\x02\0\0\0\x01\0\x08\0"]
+    images = [(i, bytearray(starts[i % len(starts)] + bytes(rng.integers(0, 256 if i % 2 else 60, int(rng.integers(0, 200)), np.uint8)))) for i in range(600)]
+    got = media.media_columns(spark.createDataFrame(images, "k long, img binary"), "k", "img").collect()
+    assert len(got) == 600 and all((r["error"] is None) == (r["npy"] is not None) for r in got)
 
 
 def test_area_resize_keeps_the_mean_and_blocks():
