@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed values of the contracts.
-PROGRESS, RUN, VERSION, CONVENTION = "document_extract/progress", "document_extract/run", "1.0", "normalized_top_left"
+PROGRESS, RUN, VERSION, CONVENTION = "pagemill/progress", "pagemill/run", "1.0", "normalized_top_left"
 EVENTS, STATUSES = ("run", "page", "page_stage"), ("start", "ok", "skip", "fail", "resume")
 PROGRESS_KEYS = (
     ("contract", True, "string"), ("contract_version", True, "string"), ("event", True, "string"), ("status", True, "string"), ("stage", False, "string"), ("page", False, "int"),
@@ -22,18 +22,6 @@ ROOT_ROLES = ("run", "manifest", "blocks")
 EVIDENCE_ROLES = ("manifest", "blocks", "page_markdown", "page_image", "layout_map", "table_candidates", "page_state", "image_summaries")
 
 
-def _get(payload: Column, path: str) -> Column:
-    return F.get_json_object(payload, f"$.{path}")
-
-
-
-def _type_ok(payload: Column, key: str, kind: str) -> Column:
-    """Whether the value has the type, from the type of the variant at the key."""
-    found = F.schema_of_variant(F.variant_get(F.try_parse_json(payload), F.lit(f"$.{key}"), "variant"))
-    fits = {"string": r"^STRING\z", "int": r"^BIGINT\z", "number": r"^(?:BIGINT|DOUBLE|DECIMAL.*)\z", "object": r"^OBJECT.*\z", "array": r"^ARRAY.*\z", "bool": r"^BOOLEAN\z"}[kind]
-    return F.rlike(found, F.lit(f"(?s){fits}"))
-
-
 def _first(*checks: tuple[Column, str]) -> Column:
     """Message of the first condition that holds."""
     out = F.when(checks[0][0], checks[0][1])
@@ -42,26 +30,50 @@ def _first(*checks: tuple[Column, str]) -> Column:
     return out
 
 
+_TYPES = {"string": r"^STRING\z", "int": r"^BIGINT\z", "number": r"^(?:BIGINT|DOUBLE|DECIMAL.*)\z", "object": r"^OBJECT.*\z", "array": r"^ARRAY.*\z", "bool": r"^BOOLEAN\z"}
+
+
+class _Payload:
+    """A payload that was parsed once: its keys, and values at a path."""
+
+    def __init__(self, parsed: Column):
+        self.value, self.keys = parsed["value"], parsed["keys"]
+
+    def get(self, path: str, kind: str = "string") -> Column:
+        return F.try_variant_get(self.value, F.lit(f"$.{path}"), kind)
+
+    def has(self, key: str) -> Column:
+        return F.array_contains(self.keys, key)
+
+    def is_a(self, path: str, kind: str) -> Column:
+        """Whether the value has the type, from the type of the variant at the path."""
+        return F.rlike(F.schema_of_variant(self.get(path, "variant")), F.lit(f"(?s){_TYPES[kind]}"))
+
+
+def _checked(payload: Column, rules) -> Column:
+    """First fault of a payload by `rules`, which take it as parsed: one parse for all of them."""
+    keys = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
+    value = F.when(F.startswith(F.ltrim(payload), F.lit("{")), F.try_parse_json(payload))
+    return F.get(F.transform(F.array(F.struct(value.alias("value"), keys.alias("keys"))), lambda x: _first((x["value"].isNull(), "not an object"), *rules(_Payload(x)))), F.lit(0))
+
+
 def progress_error(payload: Column) -> Column:
     """First fault of a progress event; null for a good one."""
-    keys = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
-    is_object = F.startswith(F.ltrim(payload), F.lit("{")) & F.try_parse_json(payload).isNotNull()
-    required = [k for k, need, _ in PROGRESS_KEYS if need]
-    checks = [
-        (payload.isNull() | ~F.coalesce(is_object, F.lit(False)), "not an object"),
-        (F.size(F.array_except(keys, F.lit([k for k, _, _ in PROGRESS_KEYS]))) > 0, "unknown key"),
-        (F.size(F.array_except(F.lit(required), keys)) > 0, "missing key"),
-    ]
-    for k, need, kind in PROGRESS_KEYS:
-        present = F.array_contains(keys, k) if need else _get(payload, k).isNotNull()
-        checks.append((present & ~F.coalesce(_type_ok(payload, k, kind), F.lit(False)), f"{k}: wrong type"))
-    checks += [
-        (_get(payload, "contract") != PROGRESS, "contract"), (_get(payload, "contract_version") != VERSION, "version"), (~_get(payload, "event").isin(*EVENTS), "event"),
-        (~_get(payload, "status").isin(*STATUSES), "status"), (_get(payload, "event").isin("page", "page_stage") & ~F.array_contains(keys, "page"), "page event without page"),
-        ((_get(payload, "event") == "page_stage") & (F.coalesce(_get(payload, "stage"), F.lit("")) == ""), "stage event without stage"),
-    ]
-    checks += [(F.try_to_number(_get(payload, k), F.lit("S999999999")) < 1, f"{k}: not from 1") for k in ("page", "page_index", "total_pages")]
-    return _first(*checks)
+
+    def rules(p: _Payload) -> list[tuple[Column, str]]:
+        required = [k for k, need, _ in PROGRESS_KEYS if need]
+        event = p.get("event")
+        checks = [(F.size(F.array_except(p.keys, F.lit([k for k, _, _ in PROGRESS_KEYS]))) > 0, "unknown key"), (F.size(F.array_except(F.lit(required), p.keys)) > 0, "missing key")]
+        for k, need, kind in PROGRESS_KEYS:
+            present = p.has(k) if need else p.get(k, "variant").isNotNull() & ~F.coalesce(F.is_variant_null(p.get(k, "variant")), F.lit(False))
+            checks.append((present & ~F.coalesce(p.is_a(k, kind), F.lit(False)), f"{k}: wrong type"))
+        checks += [
+            (p.get("contract") != PROGRESS, "contract"), (p.get("contract_version") != VERSION, "version"), (~event.isin(*EVENTS), "event"), (~p.get("status").isin(*STATUSES), "status"),
+            (event.isin("page", "page_stage") & ~p.has("page"), "page event without page"), ((event == "page_stage") & (F.coalesce(p.get("stage"), F.lit("")) == ""), "stage event without stage"),
+        ]
+        return checks + [(p.get(k, "bigint") < 1, f"{k}: not from 1") for k in ("page", "page_index", "total_pages")]
+
+    return _checked(payload, rules)
 
 
 def progress_lines(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -78,22 +90,23 @@ def path_error(path: Column) -> Column:
 
 def run_error(payload: Column) -> Column:
     """First fault of a run record; null for a good one."""
-    keys = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
-    num = lambda p: F.expr("1") * F.coalesce(_get(payload, p).try_cast("bigint"), F.lit(-1))
-    whole = (num("selection.start_page") == 1) & (num("selection.end_page") == num("source.page_count"))
-    checks = [
-        (payload.isNull() | F.try_parse_json(payload).isNull() | ~F.startswith(F.ltrim(payload), F.lit("{")), "not an object"),
-        (F.size(F.array_except(keys, F.lit(list(RUN_KEYS)))) > 0, "unknown key"), (F.size(F.array_except(F.lit(list(RUN_KEYS)), keys)) > 0, "missing key"),
-        (_get(payload, "contract") != RUN, "contract"), (_get(payload, "contract_version") != VERSION, "version"), (_get(payload, "coordinate_convention") != CONVENTION, "coordinates"),
-        (~F.rlike(F.coalesce(_get(payload, "source.sha256"), F.lit("")), F.lit(r"^[0-9a-f]{64}\z")), "sha256"),
-        ((num("selection.start_page") < 1) | (num("selection.start_page") > num("selection.end_page")), "page range"),
-        (num("selection.page_count") != num("selection.end_page") - num("selection.start_page") + 1, "page count"), (num("selection.end_page") > num("source.page_count"), "end page"),
-        ((_get(payload, "selection.complete_document") == "true") != whole, "complete document"),
-    ]
-    for scope, roles in (("root", ROOT_ROLES), ("page", PAGE_ROLES)):
-        published = F.coalesce(F.json_object_keys(_get(payload, f"artifacts.{scope}")), F.array().cast("array<string>"))
-        checks.append((F.array_sort(published) != F.array_sort(F.lit(list(roles))), f"{scope} roles"))
-        checks += [(path_error(_get(payload, f"artifacts.{scope}.{r}")), f"{scope}.{r}: path") for r in roles]
-    checks.append((F.from_json(_get(payload, "evidence_bearing_roles"), "array<string>") != F.lit(list(EVIDENCE_ROLES)), "evidence roles"))
-    checks.append((num("pages.failed") != 0, "failed pages"))
-    return _first(*checks)
+
+    def rules(p: _Payload) -> list[tuple[Column, str]]:
+        num = lambda path: F.coalesce(p.get(path, "bigint"), F.lit(-1))
+        whole = (num("selection.start_page") == 1) & (num("selection.end_page") == num("source.page_count"))
+        checks = [
+            (F.size(F.array_except(p.keys, F.lit(list(RUN_KEYS)))) > 0, "unknown key"), (F.size(F.array_except(F.lit(list(RUN_KEYS)), p.keys)) > 0, "missing key"),
+            (p.get("contract") != RUN, "contract"), (p.get("contract_version") != VERSION, "version"), (p.get("coordinate_convention") != CONVENTION, "coordinates"),
+            (~F.rlike(F.coalesce(p.get("source.sha256"), F.lit("")), F.lit(r"^[0-9a-f]{64}\z")), "sha256"),
+            ((num("selection.start_page") < 1) | (num("selection.start_page") > num("selection.end_page")), "page range"),
+            (num("selection.page_count") != num("selection.end_page") - num("selection.start_page") + 1, "page count"), (num("selection.end_page") > num("source.page_count"), "end page"),
+            (F.coalesce(p.get("selection.complete_document", "boolean"), F.lit(False)) != whole, "complete document"),
+        ]
+        for scope, roles in (("root", ROOT_ROLES), ("page", PAGE_ROLES)):
+            published = F.coalesce(F.map_keys(p.get(f"artifacts.{scope}", "map<string,variant>")), F.array().cast("array<string>"))
+            checks.append((F.array_sort(published) != F.array_sort(F.lit(list(roles))), f"{scope} roles"))
+            checks += [(path_error(p.get(f"artifacts.{scope}.{r}")), f"{scope}.{r}: path") for r in roles]
+        evidence = F.coalesce(p.get("evidence_bearing_roles", "array<string>"), F.array().cast("array<string>"))
+        return [*checks, (evidence != F.lit(list(EVIDENCE_ROLES)), "evidence roles"), (num("pages.failed") != 0, "failed pages")]
+
+    return _checked(payload, rules)

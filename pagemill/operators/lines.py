@@ -133,11 +133,13 @@ def missing_lines(source: DataFrame, body: DataFrame, *keys: str, threshold: flo
     windows = body_windows(body, *keys).withColumnRenamed("pos", "at")
     same = body.select(*keys, _content(F.col("line")).alias("line")).distinct()
     wanted = wanted.join(same, [*keys, "line"], "left_anti")  # a line that is there as it is needs no windows
-    words = wanted.select(*keys, "pos", "nums", F.size("sig").alias("n"), F.explode("sig").alias("word"))
-    held = windows.select(*keys, "at", "numbers", F.explode("words").alias("word"))
+    # lines and windows that repeat on a page meet once: a page of one line does not meet itself over and over
+    once = wanted.groupBy(*keys, "line").agg(F.first("sig").alias("sig"), F.first("nums").alias("nums"))
+    words = once.select(*keys, "line", "nums", F.size("sig").alias("n"), F.explode("sig").alias("word"))
+    held = windows.select(*keys, F.xxhash64("words", "numbers").alias("at"), "words", "numbers").dropDuplicates([*keys, "at"]).select(*keys, "at", "numbers", F.explode("words").alias("word"))
     met = words.join(held, [*keys, "word"]).where((F.size("nums") == 0) | F.arrays_overlap("nums", "numbers"))
-    covered = met.groupBy(*keys, "pos", "at").agg(F.count("*").alias("hits"), F.first("n").alias("n")).where(F.col("hits") >= F.col("n") * threshold)
-    left = wanted.join(covered.select(*keys, "pos").distinct(), [*keys, "pos"], "left_anti")
+    covered = met.groupBy(*keys, "line", "at").agg(F.count("*").alias("hits"), F.first("n").alias("n")).where(F.col("hits") >= F.col("n") * threshold)
+    left = wanted.join(covered.select(*keys, "line").distinct(), [*keys, "line"], "left_anti")
     whole = from_lines(body, *keys, name="body").withColumn("body", F.lower("body"))
     left = left.join(whole, list(keys), "left")
     return left.where(~F.coalesce(F.contains("body", F.substring(F.lower("line"), 1, 80)), F.lit(False))).select(*keys, "pos", "line")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import artifacts as ar
 from ..operators import contracts as co
 from ..operators import model as mo
+from ..operators.settle import shared_dir
 from ..streaming import progress as pr
 
 
@@ -59,8 +59,7 @@ progress_windows_sql = """SELECT epoch(time_bucket(INTERVAL 1 HOUR, ts))::BIGINT
 
 
 def _shared(spark) -> str:
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{(base or 'file://' + tempfile.mkdtemp(prefix='pagemill-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def progress_stream(spark, d):
@@ -69,7 +68,7 @@ def progress_stream(spark, d):
 
     at = _shared(spark)
     _read(spark, d, "events").repartitionByRange(4, "ts").write.parquet(f"{at}/in")
-    out = pr.drain(pr.page_state(pr.source(spark, f"{at}/in")), "update", f"{at}/checkpoint", f"{at}/out")
+    out = pr.drain(pr.page_state(pr.source(spark, f"{at}/in", files=1)), "update", f"{at}/checkpoint", f"{at}/out")
     last = Window.partitionBy("page").orderBy(F.col("batch").desc())
     return out.withColumn("k", F.row_number().over(last)).where("k = 1").select("page", "seen", "failed")
 
@@ -140,8 +139,9 @@ def rule_boundaries(spark, d):
     return ar.rule_boundaries(rules, tables).select("page", F.round("y", 6).alias("y"))
 
 
-rule_boundaries_sql = """SELECT l_orderkey AS page, round((l_linenumber + 1) / 10, 6) AS y FROM lineitem WHERE l_orderkey % 50 = 0 GROUP BY l_orderkey, l_linenumber
-HAVING max(greatest(0, least(1, 0.6 + l_tax * 4) - greatest(0, l_discount * 2))) >= 0.5 - 1e-9"""
+# the pieces of a rule overlap, so together they cover from the least start to the greatest end
+rule_boundaries_sql = """SELECT l_orderkey AS page, round((l_linenumber + 1) / 10, 6) AS y FROM lineitem WHERE l_linenumber <= 9 GROUP BY l_orderkey, l_linenumber
+HAVING least(1, max(0.6 + l_tax * 4)) - greatest(0, min(l_discount * 2)) >= 0.5 - 1e-9"""
 
 
 def reconcile_grid(spark, d):
@@ -159,7 +159,7 @@ def reconcile_grid(spark, d):
 
 
 def _echo():
-    return lambda prompt: prompt.split("\n")[0][:40].upper()
+    return lambda prompt: prompt.upper()
 
 
 def model_udf(spark, d):

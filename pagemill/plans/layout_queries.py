@@ -50,7 +50,7 @@ def axis_gaps(spark, d):
     return g.select("label", "page", F.round("gap", 6).alias("gap"))
 
 
-axis_gaps_sql = f"""WITH {RECTS}, m AS (SELECT label, page, l, max(r) OVER (PARTITION BY label, page ORDER BY l, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM q WHERE idx % 40 < 3)
+axis_gaps_sql = f"""WITH {RECTS}, m AS (SELECT label, page, l, max(r) OVER (PARTITION BY label, page ORDER BY l, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM q)
 SELECT label, page, round((m + l) / 2, 6) AS gap FROM m WHERE l - m >= 0.01"""
 
 
@@ -87,6 +87,15 @@ def cluster_axis(spark, d):
     return c.select("label", "page", F.size("clusters").alias("n"), F.round(F.element_at("clusters", 1), 6).alias("first"))
 
 
+# a cluster is open while the next value lies within 0.02 of the running mean of its members
+cluster_axis_sql = f"""WITH RECURSIVE {RECTS}, o AS (SELECT label, page, l, row_number() OVER (PARTITION BY label, page ORDER BY l) AS k FROM q),
+c AS (SELECT label, page, k, 1 AS n, 1 AS members, l AS total, l AS first_sum, 1 AS first_n FROM o WHERE k = 1
+ UNION ALL SELECT o.label, o.page, o.k, CASE WHEN abs(o.l - c.total / c.members) <= 0.02 THEN c.n ELSE c.n + 1 END, CASE WHEN abs(o.l - c.total / c.members) <= 0.02 THEN c.members + 1 ELSE 1 END,
+  CASE WHEN abs(o.l - c.total / c.members) <= 0.02 THEN c.total + o.l ELSE o.l END, CASE WHEN c.n = 1 AND abs(o.l - c.total / c.members) <= 0.02 THEN c.first_sum + o.l ELSE c.first_sum END,
+  CASE WHEN c.n = 1 AND abs(o.l - c.total / c.members) <= 0.02 THEN c.first_n + 1 ELSE c.first_n END FROM c JOIN o ON o.label = c.label AND o.page = c.page AND o.k = c.k + 1)
+SELECT label, page, max(n)::BIGINT AS n, round(max_by(first_sum / first_n, k), 6) AS first FROM c GROUP BY label, page"""
+
+
 def _cells(spark, d):
     return _rects(spark, d).withColumn("kind", F.when(F.col("idx") % 5 == 0, "list_item").otherwise("paragraph")).withColumn("is_heading", F.col("idx") % 17 == 0).withColumn("page", F.expr("idx div 40"))
 

@@ -71,4 +71,7 @@ def normalized_rects(spark, d):
     return out.select("idx", *[F.col("n")[i].alias(c) for i, c in enumerate(("left", "top", "right", "bottom"))])
 
 
+normalized_rects_sql = f"""WITH {lq.RECTS} SELECT idx, round(least(1, greatest(0, l * 600 / 600)), 3) AS "left", round(least(1, greatest(0, (800 - (800 - t * 800)) / 800)), 3) AS top, round(least(1, greatest(0, r * 600 / 600)), 3) AS "right",
+round(least(1, greatest(0, (800 - (800 - b * 800)) / 800)), 3) AS bottom FROM q"""
+
 NAMES = ("postprocess", "realign_columns", "visual_place", "visual_assess", "normalized_rects")

@@ -176,9 +176,9 @@ def layout_tables(spark, d):
     return tb.layout_tables(rows, "conv_id")
 
 
-layout_tables_sql = rf"""WITH c AS (SELECT conv_id, role, replace({sql_ws("coalesce(text, '')")}, '|', '\|') AS x FROM conversations WHERE turn < 2), s AS (SELECT conv_id, count(*) AS n,
+layout_tables_sql = rf"""WITH c AS (SELECT conv_id, role, replace({sql_ws("coalesce(text, '')")}, '|', '\|') AS x FROM conversations), s AS (SELECT conv_id, count(*) AS n,
   max(greatest(length(role), length(x))) AS longest, sum(length(role) + length(x)) AS chars, sum((role <> '')::INT + (x <> '')::INT) AS filled FROM c GROUP BY conv_id)
-SELECT conv_id, CASE WHEN longest > 200 OR chars > 120 * filled THEN 'unwrap' ELSE 'table' END AS kind FROM s"""
+SELECT conv_id, CASE WHEN n <= 4 AND (longest > 200 OR chars > 120 * filled) THEN 'unwrap' ELSE 'table' END AS kind FROM s"""
 
 
 def _toc(spark, d):
@@ -197,7 +197,9 @@ def toc_detect(spark, d):
     return ln.toc_pages(_toc(spark, d)[0], "t").select("t", "numbered", "toc")
 
 
-toc_detect_sql = "SELECT p_brand AS t, least(20, count(*))::BIGINT AS numbered, count(*) >= 8 AS toc FROM part GROUP BY p_brand"
+CONTENTS = """at_ AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS k FROM part),
+pg AS (SELECT *, CASE WHEN k < 20 THEN p_brand ELSE p_brand || ' (' || (k // 20 + 1) || ')' END AS t, k % 20 + 1 AS n FROM at_)"""
+toc_detect_sql = f"WITH {CONTENTS} SELECT t, count(*) AS numbered, count(*) >= 8 AS toc FROM pg GROUP BY t"
 
 
 def toc_numbers(spark, d):
@@ -205,7 +207,8 @@ def toc_numbers(spark, d):
     return ln.restore_toc_numbers(own, raw, "t")
 
 
-toc_numbers_sql = """SELECT t, n AS pos, '- 2.' || n || ' ' || p_name || ' ' || p_partkey AS line FROM (SELECT p_brand AS t, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n, p_name, p_partkey FROM part) WHERE n <= 20"""
+# titles of a page that is no contents page keep their numbers in order
+toc_numbers_sql = f"""WITH {CONTENTS} SELECT t, n AS pos, '- 2.' || n || ' ' || p_name || ' ' || p_partkey AS line FROM pg"""
 
 
 def footnotes(spark, d):
@@ -218,7 +221,7 @@ def footnotes(spark, d):
     return out.select("l_orderkey", *[F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c) for c in ("refs", "defs", "duplicates", "undefined", "gaps")])
 
 
-footnotes_sql = """WITH l AS (SELECT l_orderkey, l_linenumber::VARCHAR AS k, l_returnflag = 'R' AS d FROM lineitem WHERE l_orderkey % 10 = 0),
+footnotes_sql = """WITH l AS (SELECT l_orderkey, l_linenumber::VARCHAR AS k, l_returnflag = 'R' AS d FROM lineitem),
 a AS (SELECT l_orderkey, coalesce(list_sort(list(DISTINCT k) FILTER (WHERE NOT d)), []) AS refs, coalesce(list_sort(list(DISTINCT k) FILTER (WHERE d)), []) AS defs FROM l GROUP BY l_orderkey),
 u AS (SELECT l_orderkey, list_sort(list(k)) AS dup FROM (SELECT l_orderkey, k FROM l WHERE d GROUP BY ALL HAVING count(*) > 1) GROUP BY l_orderkey)
 SELECT a.l_orderkey, array_to_string(refs, ',') AS refs, array_to_string(defs, ',') AS defs, coalesce(array_to_string(dup, ','), '') AS duplicates, array_to_string(list_filter(refs, lambda x: NOT list_contains(defs, x)), ',') AS undefined,

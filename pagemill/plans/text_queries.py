@@ -216,7 +216,7 @@ def page_blocks(spark, d):
 
 page_blocks_sql = rf"""WITH {ITEMS}, h AS (SELECT doc, page, pos, text, level FROM items WHERE kind = 'section_header'),
 p AS (SELECT i.*, (SELECT h.text FROM h WHERE h.doc = i.doc AND h.page = i.page AND h.pos <= i.pos ORDER BY h.pos DESC LIMIT 1) AS head FROM items i)
-SELECT doc, page, printf('p%04d-b%04d', page, pos + 1) AS block_id, kind AS type, coalesce(head, '') AS heading_path, substr(text, 1, 500) AS text, length(text) AS n_chars FROM p"""
+SELECT doc, page, printf('p%04d-b%04d', page, pos + 1) AS block_id, kind AS type, coalesce(head, '') AS heading_path, substr(text, 1, 500) AS text, text AS text_full, length(text) AS n_chars FROM p"""
 
 
 def combine_markdown(spark, d):

@@ -24,9 +24,11 @@ def payloads(events: DataFrame) -> DataFrame:
     return events.withColumn("payload", F.to_json(fields)).withColumn("error", progress_error(F.col("payload")))
 
 
-def source(spark: SparkSession, path: str, schema: str = EVENT) -> DataFrame:
-    """Parquet files of a folder as a stream, a file a micro-batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+def source(spark: SparkSession, path: str, schema: str = EVENT, *, files: int | None = None) -> DataFrame:
+    """Parquet files of a folder as a stream.  A backlog comes in one micro-batch: files have no order of event time, and the
+    watermark that some of them set would drop what others hold.  Give `files` a micro-batch where the order of rows does not matter."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(path)
 
 
 def windowed(events: DataFrame) -> DataFrame:
@@ -55,11 +57,18 @@ def page_state(events: DataFrame) -> DataFrame:
 
 def drain(stream: DataFrame, mode: str, checkpoint: str, out: str) -> DataFrame:
     """Run a stream over all that is there and return what its sink holds.  Each micro-batch is written under its number, so
-    a batch that is run again overwrites itself: exactly once."""
+    a batch that is run again overwrites itself: exactly once.  Events that came too late are counted, and an error."""
 
     def sink(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/batch_no={number}")
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
     query.awaitTermination()
+    if lost := dropped(query):
+        raise RuntimeError(f"{lost} groups of events came behind the watermark")
     return stream.sparkSession.read.parquet(out)
+
+
+def dropped(query) -> int:
+    """Rows that the operators with state left out because they came behind the watermark."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p["stateOperators"])
