@@ -6,12 +6,16 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field, fields, is_dataclass
+from pathlib import Path
+
+
+# --- fixed values: names of settings and their defaults -----------------------------------------------------------
 
 
 @dataclass(frozen=True)
 class Runtime:
     output_dir: str = "output"
-    dpi: int = 150
+    dpi: int = 200
     start_page: int = 1
     end_page: int = 0
     skip_vlm: bool = False
@@ -88,17 +92,28 @@ class Config:
     reading_order: ReadingOrder = field(default_factory=ReadingOrder)
 
 
+# --- end of fixed values ----------------------------------------------------------------------------------------------
+
 #: Fractions: keys of these endings lie between 0 and 1.
-_FRACTIONS = ("ratio", "confidence", "coverage", "coverage_min", "overlap_min", "threshold", "span")
+_FRACTIONS = ("ratio", "confidence", "coverage", "coverage_min", "overlap_min", "threshold", "span", "gap", "tolerance", "distance", "gutter", "nudge")
+REFINE_MODES, VISUAL_MODES = ("always", "auto"), ("off", "audit", "enforce")
 PREFIX = "PAGEMILL_"
 
 
+def flag(text: str, name: str = "value") -> bool:
+    """A flag from its text; anything but the usual words is an error."""
+    word = text.strip().lower()
+    if word not in ("1", "true", "yes", "on", "0", "false", "no", "off"):
+        raise ValueError(f"{name} must be true or false")
+    return word in ("1", "true", "yes", "on")
+
+
 def _typed(kind: type, value: object, name: str) -> object:
     if kind is bool:
         if isinstance(value, bool):
             return value
         if isinstance(value, str):
-            return value.strip().lower() in ("1", "true", "yes", "on")
+            return flag(value, name)
     elif kind is float and isinstance(value, int | float | str) and not isinstance(value, bool):
         value = float(value)
         if name.endswith(_FRACTIONS) and not 0 <= value <= 1:
@@ -121,9 +136,21 @@ def build(kind: type, values: Mapping, name: str = "config"):
     for key, value in values.items():
         current = getattr(default, key)
         made[key] = build(type(current), value, f"{name}.{key}") if is_dataclass(current) else _typed(type(current), value, f"{name}.{key}")
+    if kind is Runtime and made.get("refine_mode", "auto") not in REFINE_MODES:
+        raise ValueError(f"{name}.refine_mode must be one of {', '.join(REFINE_MODES)}")
     return kind(**made)
 
 
+def read_yaml(path: str | Path) -> dict:
+    """A settings file as a mapping; an empty one has nothing to say."""
+    import yaml
+
+    values = yaml.safe_load(Path(path).expanduser().read_text(encoding="utf-8")) or {}
+    if not isinstance(values, dict):
+        raise ValueError(f"{path} must be a mapping of sections")
+    return values
+
+
 def merge(base: Mapping, over: Mapping) -> dict:
     out = dict(base)
     for key, value in over.items():
@@ -131,12 +158,12 @@ def merge(base: Mapping, over: Mapping) -> dict:
     return out
 
 
-def load(*mappings: Mapping, environment: Mapping[str, str] | None = None) -> Config:
-    """Defaults, mappings in order, then PAGEMILL_<SECTION>_<KEY> of the environment."""
+def load(*mappings: Mapping | str | Path, environment: Mapping[str, str] | None = None) -> Config:
+    """Defaults, mappings or YAML files in order, then PAGEMILL_<SECTION>_<KEY> of the environment."""
     environment = os.environ if environment is None else environment
     values = asdict(Config())
     for m in mappings:
-        values = merge(values, m)
+        values = merge(values, m if isinstance(m, Mapping) else read_yaml(m))
     for section, keys in asdict(Config()).items():
         for key in keys:
             if (raw := environment.get(f"{PREFIX}{section.upper()}_{key.upper()}")) is not None:

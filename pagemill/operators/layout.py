@@ -1,21 +1,26 @@
-"""Layout operators over cells (keys..., idx, rect, text, kind, is_heading): joins by overlap, gaps, clusters, candidates by
-windows; reading order and region scores, which recurse or cluster, as one pandas group a page."""
+"""Layout operators over cells (keys..., idx, rect, text, kind, is_heading): joins by overlap, gaps, clusters, reading order, regions and
+their scores, table candidates.  Everything is windows, joins and aggregates by page or region; what recurses is a bounded number
+of rounds over all regions at once."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import ReadingOrder, Tables
 from ..functions import geometry as geo
 
-#: Fixed values of the reading order: tolerance at a cut, least distance of cuts, widths of blank bands and gutters, width and
-#: clearance of a banner, a rule's reach to a heading above, spans of rules, depth, margins whose cells stay put.
-EPS, SPACING, BAND_GAP, GUTTER, LIST_GUTTER, BANNER_WIDE, BANNER_GAP, RULE_REACH = 0.006, 0.01, 0.05, 0.035, 0.02, 0.5, 0.028, 0.03
-H_SPAN, V_SPAN, NUDGE, DEPTH, FULL_PAGE = 0.6, 0.35, 0.002, 4, 0.85
+READING, TABLES = ReadingOrder(), Tables()  #: settings where none are given
+#: Fixed values of the reading order beside the settings: width and clearance of a banner, a rule's reach to a heading above, share of a
+#: page that a cell may fill and still be cut around, margins whose cells stay put.
+BANNER_WIDE, BANNER_GAP, RULE_REACH, FULL_PAGE = 0.5, 0.028, 0.03, 0.85
 PIN_TOP, PIN_BOTTOM, PIN_LEFT, PIN_RIGHT = 0.09, 0.93, 0.06, 0.94
+#: Fixed values of table regions beside the settings: cuts of panels, lengths of cells, sizes, and what a pair of regions must reach.
+PANEL_GUTTER, PANEL_BAND = 0.025, 0.06
+LONG_CHARS, LONG_SHARE, SHORT_CHARS, HEADER_CHARS, MAX_YEARS, WIDE_CELL, PAGE_WIDE, PAGE_HIGH = 200, 0.3, 120, 40, 3, 0.7, 0.75, 0.55
+MERGE_GAP, MERGE_OVERLAP, MERGE_ANCHOR = 0.2, 0.5, 0.9
 
 
 def overlap_join(left: DataFrame, right: DataFrame, *keys: str, least: float = 0.5, grid: int = 8) -> DataFrame:
@@ -73,216 +78,365 @@ def merge_segments(segments: DataFrame, *keys: str, slack: float = 0.005, gap: f
     return s.groupBy(*keys, "row", "piece").agg(F.avg("at").alias("at"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("row", "piece")
 
 
-# --- reading order: recursion over one page ----------------------------------------------------------------------
-
-
-class _Cuts:
-    """Where a set of cells can be cut."""
-
-    def __init__(self, rules: pd.DataFrame):
-        self.rules = rules
-
-    @staticmethod
-    def gaps(c: pd.DataFrame, low: str, high: str, least: float) -> list[float]:
-        c = c.sort_values([low, high])
-        reach = c[high].cummax().shift()
-        blank = c[low] - reach >= least
-        return ((reach + c[low]) / 2)[blank].tolist()
-
-    @staticmethod
-    def alone(c: pd.DataFrame, i: int) -> bool:
-        """No other cell shares the strip of cell i."""
-        top, bottom = c.at[i, "t"], c.at[i, "b"]
-        rest = c.drop(i)
-        shared = rest["b"].clip(upper=bottom) - rest["t"].clip(lower=top)
-        limit = (0.3 * (rest["b"] - rest["t"]).clip(upper=bottom - top)).clip(lower=0.002)
-        return not (shared > limit).any()
-
-    def _adopted(self, at: float, c: pd.DataFrame) -> float:
-        """A rule cuts above headings that sit right above it."""
-        for _ in range(2):
-            near = c[c["is_heading"] & (c["b"] <= at + EPS) & (at - c["b"] <= RULE_REACH)]
-            tops = [c.at[i, "t"] for i in near.index if self.alone(c, i)]
-            if not tops:
-                break
-            at = min(tops) - NUDGE
-        return at
-
-    def clean(self, bounds: list[float], c: pd.DataFrame, low: str, high: str) -> list[float]:
-        first, last, out = c[low].min(), c[high].max(), []
-        for b in sorted(bounds):
-            inside = first + EPS < b < last - EPS and (not out or b - out[-1] >= SPACING)
-            if inside and not ((c[low] < b - EPS) & (c[high] > b + EPS)).any():
-                out.append(b)
-        return out
-
-    def across(self, c: pd.DataFrame) -> list[float]:
-        left, right = c["l"].min(), c["r"].max()
-        wide = max(right - left, 0.001)
-        bounds = self.gaps(c, "t", "b", BAND_GAP)
-        for rule in self.rules[self.rules["axis"] == "h"].itertuples():
-            if c["t"].min() + EPS < rule.at < c["b"].max() - EPS and min(rule.hi, right) - max(rule.lo, left) >= H_SPAN * wide:
-                lifted = self._adopted(rule.at, c)
-                if lifted < rule.at - NUDGE / 2:
-                    bounds.append(lifted)
-        for i in c.index[c["is_heading"] & (c["r"] - c["l"] >= BANNER_WIDE * wide)]:
-            above = c["b"][(c.index != i) & (c["b"] <= c.at[i, "t"] + 0.002)]
-            if self.alone(c, i) and (above.empty or c.at[i, "t"] - above.max() >= BANNER_GAP):
-                bounds.append(c.at[i, "t"] - NUDGE)
-        return self.clean(bounds, c, "t", "b")
-
-    def down(self, c: pd.DataFrame) -> list[float]:
-        top, bottom = c["t"].min(), c["b"].max()
-        bounds = self.gaps(c, "l", "r", GUTTER)
-        for rule in self.rules[self.rules["axis"] == "v"].itertuples():
-            if c["l"].min() + EPS < rule.at < c["r"].max() - EPS and min(rule.hi, bottom) - max(rule.lo, top) >= V_SPAN * max(bottom - top, 0.001):
-                bounds.append(rule.at)
-        if not bounds:
-            lists, middle = c["kind"].isin(["list_item", "listitem"]), (c["l"] + c["r"]) / 2
-            bounds = [g for g in self.gaps(c, "l", "r", LIST_GUTTER) if (lists & (middle < g)).sum() >= 2 and (lists & (middle > g)).sum() >= 2]
-        return self.clean(bounds, c, "l", "r")
-
-
-def _ordered(c: pd.DataFrame, cuts: _Cuts, depth: int = 0) -> list[int]:
-    if len(c) <= 1 or depth >= DEPTH or c["blocking"].sum() < 2:
-        return c["idx"].sort_values().tolist()
-    solid = c[c["blocking"]]
-    for bounds, low, high in ((cuts.across(solid), "t", "b"), (cuts.down(solid), "l", "r")):
-        if bounds:
-            part = pd.Series(pd.Index(bounds).searchsorted((c[low] + c[high]) / 2, side="left"), index=c.index)
-            if part.nunique() > 1:
-                return [i for _, g in c.groupby(part) for i in _ordered(g, cuts, depth + 1)]
-    return c["idx"].sort_values().tolist()
-
-
-def order_page(c: pd.DataFrame, rules: pd.DataFrame) -> list[int]:
-    """Indices of a page's cells in reading order; the given order where nothing speaks against it."""
-    c = c.sort_values("idx").reset_index(drop=True)
-    given = c["idx"].tolist()
-    pinned = c["l"].isna() | (c["b"] <= PIN_TOP) | (c["t"] >= PIN_BOTTOM) | (c["r"] <= PIN_LEFT) | (c["l"] >= PIN_RIGHT)
-    leader = c["idx"].where(~pinned).ffill()  # cells in the margins stay behind the cell they followed
-    free = c[~pinned].copy()
-    if len(free) < 4:
-        return given
-    free["blocking"] = (free["r"] - free["l"]) * (free["b"] - free["t"]) < FULL_PAGE
-    order = _ordered(free, _Cuts(rules))
-    if order == free["idx"].tolist():
-        return given
-    behind = {k: g.tolist() for k, g in c["idx"][pinned & leader.notna()].groupby(leader[pinned & leader.notna()])}
-    full = c["idx"][leader.isna()].tolist() + [j for i in order for j in [i, *behind.get(i, [])]]
-    cell = c.set_index("idx")
-    for _ in range(2):  # a caption above its picture is read first
-        for k in range(len(full) - 1):
-            a, b = cell.loc[full[k]], cell.loc[full[k + 1]]
-            if a["kind"] == "picture" and b["kind"] == "caption" and b["t"] + b["b"] < a["t"] + a["b"] and min(a["r"], b["r"]) > max(a["l"], b["l"]):
-                full[k], full[k + 1] = full[k + 1], full[k]
-    return full
-
-
-def reading_order(cells: DataFrame, *keys: str, rules: DataFrame | None = None) -> DataFrame:
-    """(keys, idx, rank).  A page is one group: bounded by what a page holds.  Rules: (keys, axis h or v, at, lo, hi)."""
-    r = F.col("rect")
-    flat = cells.select(*keys, "idx", "kind", "is_heading", *[r[i].alias(c) for i, c in enumerate("ltrb")])
-    kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "idx int", "rank int"])
-    blank = pd.DataFrame({"axis": [], "at": [], "lo": [], "hi": []})
+# --- cutting pages into regions, a round a level --------------------------------------------------------------------
+
+
+def _box(cells: DataFrame) -> DataFrame:
+    """Cells with the sides of their rectangle as columns l, t, r, b."""
+    return cells.withColumns({c: F.col("rect")[i] for i, c in enumerate("ltrb")})
 
-    def ranked(key: tuple, c: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        order = order_page(c, found if len(found) else blank)
-        return pd.DataFrame({**{k: [v] * len(order) for k, v in zip(keys, key, strict=True)}, "idx": order, "rank": range(len(order))})
 
-    if rules is None:
-        return flat.groupBy(*keys).applyInPandas(lambda key, c: ranked(key, c, blank), schema)
-    return flat.groupBy(*keys).cogroup(rules.groupBy(*keys)).applyInPandas(lambda key, c, found: ranked(key, c, found) if len(c) else pd.DataFrame({**{k: [] for k in keys}, "idx": [], "rank": []}), schema)
+def gaps_between(cells: DataFrame, low: str, high: str, least: float, *by: str) -> DataFrame:
+    """(by, at): middles of blank bands of at least that width, from the furthest end before each start."""
+    before = Window.partitionBy(*by).orderBy(low, high).rowsBetween(Window.unboundedPreceding, -1)
+    c = cells.withColumn("reach", F.max(high).over(before)).where(F.col(low) - F.col("reach") >= least)
+    return c.select(*by, ((F.col("reach") + F.col(low)) / 2).alias("at"))
+
+
+def _lists(cuts: DataFrame, name: str, *by: str) -> DataFrame:
+    return cuts.groupBy(*by).agg(F.array_sort(F.collect_list("at")).alias(name))
+
+
+def _part(bounds: Column, middle: Column) -> Column:
+    """How many bounds lie before a middle."""
+    return F.size(F.filter(F.coalesce(bounds, F.array().cast("array<double>")), lambda x: x < middle))
+
+
+def _divided(cells: DataFrame, first: tuple[DataFrame, str, str], second: tuple[DataFrame, str, str], *by: str) -> DataFrame:
+    """Cells with their region after a round: cut by the first set of bounds if that tells any of a region's cells apart, else by the
+    second, else not at all (and no longer open)."""
+    (one, a0, a1), (two, b0, b1) = first, second
+    c = cells.join(_lists(one, "ones", *by), list(by), "left").join(_lists(two, "twos", *by), list(by), "left")
+    c = c.withColumn("p1", _part(F.col("ones"), (F.col(a0) + F.col(a1)) / 2)).withColumn("p2", _part(F.col("twos"), (F.col(b0) + F.col(b1)) / 2))
+    w = Window.partitionBy(*by)
+    c = c.withColumn("cut1", F.max("p1").over(w) > F.min("p1").over(w)).withColumn("cut2", F.max("p2").over(w) > F.min("p2").over(w))
+    part = F.when(F.col("cut1"), F.col("p1")).when(F.col("cut2"), F.col("p2"))
+    region = F.when(part.isNotNull(), F.concat("region", F.lit("/"), F.lpad(part.cast("string"), 4, "0"))).otherwise(F.col("region"))
+    return c.withColumn("region", region).withColumn("open", F.col("open") & (F.col("cut1") | F.col("cut2"))).drop("ones", "twos", "p1", "p2", "cut1", "cut2")
+
+
+def _rounds(cells: DataFrame, step: Callable[[DataFrame, int], DataFrame], depth: int) -> DataFrame:
+    """Cells with the region that `depth` rounds of a step give them.  Each round takes the cells of regions that are still open, and
+    is written before the next."""
+    from .settle import settle
+
+    done, open_ = None, settle(cells.withColumn("region", F.lit("")).withColumn("open", F.lit(True)), "cut")
+    for level in range(depth):
+        if open_.isEmpty():
+            break
+        out = settle(step(open_, level), "cut")
+        closed = out.where("not open")
+        done = closed if done is None else done.unionByName(closed)
+        open_ = out.where("open")
+    return open_ if done is None else done.unionByName(open_)
+
+
+# --- reading order --------------------------------------------------------------------------------------------------
+
+
+def _clean(bounds: DataFrame, solid: DataFrame, low: str, high: str, s: ReadingOrder, *by: str) -> DataFrame:
+    """Bounds that lie inside their region, cross no cell, and keep their distance from the last that was taken."""
+    edges = solid.groupBy(*by).agg(F.min(low).alias("first"), F.max(high).alias("last"))
+    inside = bounds.join(edges, list(by)).where((F.col("at") > F.col("first") + s.edge_eps) & (F.col("at") < F.col("last") - s.edge_eps)).select(*by, "at").distinct()
+    crossed = inside.join(solid.select(*by, F.col(low).alias("lo"), F.col(high).alias("hi")), list(by)).where((F.col("lo") < F.col("at") - s.edge_eps) & (F.col("hi") > F.col("at") + s.edge_eps))
+    sound = inside.join(crossed.select(*by, "at").distinct(), [*by, "at"], "left_anti")
+    none = F.array().cast("array<double>")
+    spaced = F.aggregate(F.array_sort(F.collect_list("at")), none, lambda kept, x: F.when((F.size(kept) == 0) | (x - F.element_at(kept, -1) >= s.boundary_min_spacing), F.concat(kept, F.array(x))).otherwise(kept))
+    return sound.groupBy(*by).agg(spaced.alias("bounds")).select(*by, F.explode("bounds").alias("at"))
+
+
+def _headings(solid: DataFrame, *by: str) -> DataFrame:
+    """Headings of a region with `alone` (no other cell shares their strip) and `above` (the nearest end above them)."""
+    heads = solid.where("is_heading").select(*by, F.col("idx").alias("head"), *[F.col(c).alias(f"h{c}") for c in "ltrb"])
+    met = heads.join(solid.select(*by, "idx", "t", "b"), list(by))
+    shared = F.least("hb", "b") - F.greatest("ht", "t")
+    limit = F.greatest(F.lit(0.002), 0.3 * F.least(F.col("hb") - F.col("ht"), F.col("b") - F.col("t")))
+    other = F.col("idx") != F.col("head")
+    return met.groupBy(*by, "head", "hl", "ht", "hr", "hb").agg(
+        F.coalesce(~F.max(other & (shared > limit)), F.lit(True)).alias("alone"), F.max(F.when(other & (F.col("b") <= F.col("ht") + 0.002), F.col("b"))).alias("above")
+    )
+
+
+def _lifted(rules: DataFrame, heads: DataFrame, s: ReadingOrder, *by: str) -> DataFrame:
+    """Rules (by, rule, at) that a heading sits on, moved above it; twice, as the heading may sit under another."""
+    alone = heads.where("alone").select(*by, "ht", "hb")
+    out = rules.withColumn("now", F.col("at"))
+    for _ in range(2):
+        met = out.join(alone, list(by), "left")
+        sits = (F.col("hb") <= F.col("now") + s.edge_eps) & (F.col("now") - F.col("hb") <= RULE_REACH)
+        out = met.groupBy(*by, "rule", "at", "now").agg(F.min(F.when(sits, F.col("ht"))).alias("top")).select(*by, "rule", "at", F.coalesce(F.col("top") - s.boundary_nudge, F.col("now")).alias("now"))
+    return out.where(F.col("now") < F.col("at") - s.boundary_nudge / 2).select(*by, F.col("now").alias("at"))
+
+
+def _cuts_across(solid: DataFrame, rules: DataFrame | None, s: ReadingOrder, *by: str) -> DataFrame:
+    """Horizontal cuts of regions: blank bands, rules with a heading on them, and wide headings with room above."""
+    edges = solid.groupBy(*by).agg(*[F.min(c).alias(f"e{c}") for c in "lt"], *[F.max(c).alias(f"e{c}") for c in "rb"])
+    heads = _headings(solid, *by)
+    wide = F.greatest(F.col("er") - F.col("el"), F.lit(0.001))
+    room = F.col("above").isNull() | (F.col("ht") - F.col("above") >= BANNER_GAP)
+    banners = heads.join(edges, list(by)).where(F.col("alone") & (F.col("hr") - F.col("hl") >= BANNER_WIDE * wide) & room).select(*by, (F.col("ht") - s.boundary_nudge).alias("at"))
+    cuts = gaps_between(solid, "t", "b", s.band_gap, *by).unionByName(banners)
+    if rules is not None:
+        met = rules.where("axis = 'h'").join(edges, [k for k in by if k in rules.columns])
+        spans = (F.col("at") > F.col("et") + s.edge_eps) & (F.col("at") < F.col("eb") - s.edge_eps) & (F.least("hi", "er") - F.greatest("lo", "el") >= s.h_divider_min_span * wide)
+        cuts = cuts.unionByName(_lifted(met.where(spans).select(*by, "rule", "at"), heads, s, *by))
+    return _clean(cuts, solid, "t", "b", s, *by)
+
+
+def _cuts_down(solid: DataFrame, rules: DataFrame | None, s: ReadingOrder, *by: str) -> DataFrame:
+    """Vertical cuts of regions: gutters and long rules; where there are none, narrower gutters with list items on both sides."""
+    edges = solid.groupBy(*by).agg(*[F.min(c).alias(f"e{c}") for c in "lt"], *[F.max(c).alias(f"e{c}") for c in "rb"])
+    cuts = gaps_between(solid, "l", "r", s.column_gutter, *by)
+    if rules is not None:
+        high = F.greatest(F.col("eb") - F.col("et"), F.lit(0.001))
+        met = rules.where("axis = 'v'").join(edges, [k for k in by if k in rules.columns])
+        spans = (F.col("at") > F.col("el") + s.edge_eps) & (F.col("at") < F.col("er") - s.edge_eps) & (F.least("hi", "eb") - F.greatest("lo", "et") >= s.v_divider_min_span * high)
+        cuts = cuts.unionByName(met.where(spans).select(*by, "at"))
+    lists = solid.where(F.col("kind").isin("list_item", "listitem")).select(*by, ((F.col("l") + F.col("r")) / 2).alias("middle"))
+    narrow = gaps_between(solid, "l", "r", s.structured_column_gutter, *by).join(cuts.select(*by).distinct(), list(by), "left_anti")
+    sides = narrow.join(lists, list(by)).groupBy(*by, "at").agg(F.count_if(F.col("middle") < F.col("at")).alias("left"), F.count_if(F.col("middle") > F.col("at")).alias("right"))
+    return _clean(cuts.unionByName(sides.where("left >= 2 and right >= 2").select(*by, "at")), solid, "l", "r", s, *by)
+
+
+def _captions_first(ranked: DataFrame, *keys: str) -> DataFrame:
+    """A caption that lies above the picture it follows is read before it; twice, past two pictures at most.  Captions right behind a
+    picture move while each of them lies above it and beside no gap, so the picture comes after the last of them."""
+    order = Window.partitionBy(*keys).orderBy("rank")
+    for _ in range(2):
+        block = F.sum(F.when(F.col("kind") == "caption", 0).otherwise(1)).over(order)
+        r = ranked.withColumn("block", block)
+        within = Window.partitionBy(*keys, "block").orderBy("rank")
+        head = {c: F.first(c).over(within) for c in ("kind", *"ltrb")}
+        above = (F.col("t") + F.col("b") < head["t"] + head["b"]) & (F.least(F.col("r"), head["r"]) > F.greatest(F.col("l"), head["l"]))
+        moves = (F.col("kind") == "caption") & (head["kind"] == "picture") & F.coalesce(above, F.lit(False))
+        r = r.withColumn("own", F.when(F.row_number().over(within) == 1, True).otherwise(moves)).withColumn("own", F.min("own").over(within))
+        moved = F.col("own") & (F.row_number().over(within) > 1)
+        r = r.withColumn("moved", moved)
+        past = F.count_if("moved").over(Window.partitionBy(*keys, "block"))
+        rank = F.when(F.col("moved"), F.col("rank") - 1).when((F.row_number().over(within) == 1) & (F.col("kind") == "picture"), F.col("rank") + past).otherwise(F.col("rank"))
+        ranked = r.withColumn("rank", rank).drop("block", "own", "moved")
+    return ranked
+
+
+def reading_order(cells: DataFrame, *keys: str, rules: DataFrame | None = None, s: ReadingOrder = READING) -> DataFrame:
+    """(keys, idx, rank): pages cut across and down in rounds, regions read in order, cells of a region as given.
+
+    Cells in the margins or without a place stay behind the cell that they follow; a page with fewer than four others keeps
+    its order.  Cells that fill the page block no cut.  Rules: (keys, axis h or v, at, lo, hi)."""
+    c = _box(cells.select(*keys, "idx", "kind", "is_heading", "rect"))
+    pinned = F.col("rect").isNull() | (F.col("b") <= PIN_TOP) | (F.col("t") >= PIN_BOTTOM) | (F.col("r") <= PIN_LEFT) | (F.col("l") >= PIN_RIGHT)
+    c = c.withColumn("pinned", pinned).withColumn("leader", F.last(F.when(~F.col("pinned"), F.col("idx")), ignorenulls=True).over(Window.partitionBy(*keys).orderBy("idx")))
+    c = c.withColumn("free", F.count_if(~F.col("pinned")).over(Window.partitionBy(*keys)))
+    free = c.where(~F.col("pinned") & (F.col("free") >= 4)).withColumn("blocking", (F.col("r") - F.col("l")) * (F.col("b") - F.col("t")) < FULL_PAGE)
+    by = (*keys, "region")
+    numbered = None if rules is None else rules.withColumn("rule", F.xxhash64(*rules.columns))
+
+    def step(open_: DataFrame, level: int) -> DataFrame:
+        w = Window.partitionBy(*by)
+        ready = (F.count("*").over(w) > 1) & (F.count_if("blocking").over(w) >= 2)
+        o = open_.withColumn("ready", ready)
+        solid = o.where("ready and blocking")
+        cut = _divided(o.where("ready").drop("ready"), (_cuts_across(solid, numbered, s, *by), "t", "b"), (_cuts_down(solid, numbered, s, *by), "l", "r"), *by)
+        return cut.unionByName(o.where("not ready").drop("ready").withColumn("open", F.lit(False)))
+
+    placed = _rounds(free, step, s.max_depth).select(*keys, "idx", "region")
+    order = c.join(placed, [*keys, "idx"], "left").withColumn("region", F.coalesce("region", F.lit("")))
+    lead = order.select(*keys, F.col("idx").alias("leader"), F.col("region").alias("of"))
+    order = order.join(lead, [*keys, "leader"], "left")
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("leader").isNotNull(), F.coalesce("of", F.lit("")), "leader", "idx")) - 1
+    ranked = order.select(*keys, "idx", "kind", *"ltrb", "free", rank.alias("rank"))
+    moved = ranked.withColumn("given", F.row_number().over(Window.partitionBy(*keys).orderBy("idx")) - 1)
+    moved = moved.withColumn("changed", F.max(F.col("rank") != F.col("given")).over(Window.partitionBy(*keys))).drop("given")
+    same = moved.where("not changed").select(*keys, "idx", "rank")
+    return same.unionByName(_captions_first(moved.where("changed"), *keys).select(*keys, "idx", "rank")).select(*keys, F.col("idx").cast("int").alias("idx"), F.col("rank").cast("int").alias("rank"))
+
+
+def reordered(items: DataFrame, order: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """Items in reading order (pos is the new place), and for each page whether and how many moved."""
+    met = items.join(order.withColumnRenamed("idx", "pos"), [*keys, "pos"])
+    info = met.groupBy(*keys).agg(F.count_if(F.col("pos") != F.col("rank")).alias("moved_items")).withColumn("applied", F.col("moved_items") > 0)
+    return met.withColumn("pos", F.col("rank")).drop("rank"), info
 
 
 # --- table regions ------------------------------------------------------------------------------------------------
 
 
-def means(values: list[float], tolerance: float) -> list[float]:
-    clusters: list[list[float]] = []
-    for v in sorted(values):
-        if clusters and abs(v - sum(clusters[-1]) / len(clusters[-1])) <= tolerance:
-            clusters[-1].append(v)
-        else:
-            clusters.append([v])
-    return [sum(c) / len(c) for c in clusters]
-
-
-def nearest(values: pd.Series, centres: list[float]) -> pd.Series:
-    return values.map(lambda v: min(range(len(centres)), key=lambda i: abs(centres[i] - v)))
-
-
-def score_region(c: pd.DataFrame, is_value: Callable[[str], bool]) -> tuple[float, str | None]:
-    """How much a region looks like a table, 0.3 to 0.95, or 0 and why not.  Columns l, t, r, b, text, is_heading."""
-    grid = c[(c["r"] - c["l"]) <= 0.7 * (c["r"].max() - c["l"].min())] if len(c) else c
-    for many, reason in ((len(c), "too_few_cells"), (len(grid), "too_few_grid_cells")):
-        if many < 6:
-            return 0.0, reason
-    chars = grid["text"].str.len()
-    if chars.sort_values().iloc[len(grid) // 2] > 200 or (chars > 200).mean() > 0.3:
-        return 0.0, "prose_region"
-    if grid["text"].str.strip().str.fullmatch(r"(?:19|20)\d{2}").sum() > 3:
-        return 0.0, "timeline_region"
-    if grid["r"].max() - grid["l"].min() > 0.75 and grid["b"].max() - grid["t"].min() > 0.55:
-        return 0.0, "page_sized_region"
-    grid = grid.assign(col=nearest(grid["l"], means(grid["l"].tolist(), 0.025)), mid=(grid["t"] + grid["b"]) / 2)
-    grid["many"] = grid.groupby("col")["col"].transform("size") >= 3
-    table = grid[grid["many"]]
-    columns = table["col"].nunique()
-    if columns < 2:
-        return 0.0, "not_enough_columns"
-    centres = means(table["mid"].tolist(), 0.02)
-    table = table.assign(row=nearest(table["mid"], centres))
-    wide = table.groupby("row")["col"].nunique() >= 2
-    if wide.sum() < 3:
-        return 0.0, "not_enough_aligned_rows"
-    table = table.assign(aligned=table["row"].map(wide))
-    anchor = table.groupby("col")["aligned"].mean().max()
-    values = (table.assign(v=table["text"].map(is_value)).groupby("col")["v"].mean() >= 0.6).sum()
-    short = (chars <= 120).mean()
-    top = grid["t"].min() + 0.25 * max(grid["b"].max() - grid["t"].min(), 0.001)
-    header = any(wide[r] and centres[r] <= top and (g["text"].str.len() <= 40).all() and not g["is_heading"].any() for r, g in table.groupby("row"))
-    score = 0.3 + (0.2 if anchor >= 0.7 else 0.1 if anchor >= 0.5 else 0) + 0.2 * (values >= 1) + 0.1 * (short >= 0.7) + 0.1 * header + 0.1 * (columns >= 3 and short >= 0.7)
-    return round(min(score, 0.95), 3), None
-
-
-def _has_digit(text: str) -> bool:
-    return len(text) <= 160 and any(x.isdigit() for x in text)
-
-
-def region_scores(cells: DataFrame, *keys: str) -> DataFrame:
-    """(keys, score, reject) of each region; a region is one group."""
-    r = F.col("rect")
-    flat = cells.select(*keys, "text", "is_heading", *[r[i].alias(c) for i, c in enumerate("ltrb")])
-    kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
-
-    def scored(key: tuple, c: pd.DataFrame) -> pd.DataFrame:
-        score, why = score_region(c, _has_digit)
-        return pd.DataFrame({**{k: [v] for k, v in zip(keys, key, strict=True)}, "score": [score], "reject": [why]})
-
-    return flat.groupBy(*keys).applyInPandas(scored, ", ".join([*(f"{k} {kinds[k]}" for k in keys), "score double", "reject string"]))
-
-
-def panels(c: pd.DataFrame, depth: int = 0) -> list[list[int]]:
-    """Cells of a page cut into panels, at gutters first and then at bands, three levels deep."""
-    if depth < 3 and len(c) > 1:
-        for low, high, least in (("l", "r", 0.025), ("t", "b", 0.06)):
-            bounds = _Cuts.gaps(c, low, high, least)
-            if bounds:
-                part = pd.Index(bounds).searchsorted((c[low] + c[high]) / 2, side="left")
-                return [p for _, g in c.groupby(part) for p in panels(g, depth + 1)]
-    return [c["idx"].tolist()]
-
-
-def segment(cells: DataFrame, *keys: str) -> DataFrame:
-    """(keys, idx, panel)."""
-    r = F.col("rect")
-    flat = cells.select(*keys, "idx", *[r[i].alias(c) for i, c in enumerate("ltrb")])
-    kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
-
-    def cut(key: tuple, c: pd.DataFrame) -> pd.DataFrame:
-        rows = [(i, n) for n, p in enumerate(panels(c)) for i in p]
-        return pd.DataFrame({**{k: [v] * len(rows) for k, v in zip(keys, key, strict=True)}, "idx": [i for i, _ in rows], "panel": [n for _, n in rows]})
-
-    return flat.groupBy(*keys).applyInPandas(cut, ", ".join([*(f"{k} {kinds[k]}" for k in keys), "idx int", "panel int"]))
+def nearest_index(value: Column, centres: Column) -> Column:
+    """Place of the centre nearest to a value; the first of several."""
+    far = F.transform(centres, lambda c: F.abs(c - value))
+    return (F.array_position(far, F.array_min(far)) - 1).cast("int")
+
+
+def region_grid(cells: DataFrame, *keys: str) -> DataFrame:
+    """Cells of a region that can be cells of a table: not nearly as wide as the region."""
+    w = Window.partitionBy(*keys)
+    wide = F.greatest(F.max("r").over(w) - F.min("l").over(w), F.lit(0.001))
+    return cells.withColumn("wide", wide).where(F.col("r") - F.col("l") <= WIDE_CELL * F.col("wide")).drop("wide")
+
+
+def region_rows(cells: DataFrame, *keys: str, s: Tables = TABLES) -> DataFrame:
+    """(keys, r, cells): texts of a region by clustered middle, from left to right."""
+    c = cells.withColumn("mid", (F.col("t") + F.col("b")) / 2)
+    centres = c.groupBy(*keys).agg(geo.cluster_means(F.collect_list("mid"), s.row_y_tolerance).alias("centres"))
+    c = c.join(centres, list(keys)).withColumn("at", nearest_index(F.col("mid"), F.col("centres")))
+    rows = c.groupBy(*keys, "at").agg(F.transform(F.array_sort(F.collect_list(F.struct("l", "idx", "text"))), lambda x: x["text"]).alias("cells"))
+    return rows.select(*keys, (F.row_number().over(Window.partitionBy(*keys).orderBy("at")) - 1).alias("r"), "cells")
+
+
+def region_scores(cells: DataFrame, *keys: str, is_value: Callable[[Column], Column] | None = None, page_sized: bool = False, s: Tables = TABLES) -> DataFrame:
+    """(keys, score, reject and what they rest on) of each region: how much it looks like a table, 0.3 to 0.95, or 0 and why not.
+
+    Lengths, years and size first; then columns by clustered left edges, rows by clustered middles, and how well both agree.
+    Every step is an aggregate or a window by region, so regions of all pages go through together."""
+    from .prompt_map import is_value_cell
+
+    is_value = is_value_cell if is_value is None else is_value
+    k = list(keys)
+    c = _box(cells) if "l" not in cells.columns else cells
+    c = c.select(*keys, "idx", "text", "is_heading", *"ltrb")
+    base = c.groupBy(*k).agg(F.count("*").alias("cells"))
+    grid = region_grid(c, *keys).withColumn("chars", F.length("text"))
+    lengths = F.array_sort(F.collect_list("chars"))
+    first = grid.groupBy(*k).agg(
+        F.count("*").alias("grid_cells"), F.get(lengths, F.floor(F.count("*") / 2).cast("int")).alias("median_cell_chars"), (F.count_if(F.col("chars") > LONG_CHARS) / F.count("*")).alias("long_ratio"),
+        F.count_if(F.rlike(F.btrim("text"), F.lit(r"^(?:19|20)\d{2}\z"))).alias("year_cells"), (F.max("r") - F.min("l")).alias("gw"), (F.max("b") - F.min("t")).alias("gh"), F.min("t").alias("gt"),
+        geo.cluster_means(F.collect_list("l"), s.column_x_tolerance).alias("cols"), (F.count_if(F.col("chars") <= SHORT_CHARS) / F.count("*")).alias("short_ratio"),
+    )
+    col = grid.join(first.select(*k, "cols", "gt", "gh"), k).withColumn("col", nearest_index(F.col("l"), F.col("cols"))).withColumn("mid", (F.col("t") + F.col("b")) / 2)
+    major = col.withColumn("members", F.count("*").over(Window.partitionBy(*k, "col"))).where(F.col("members") >= s.min_column_members)
+    centres = major.groupBy(*k).agg(geo.cluster_means(F.collect_list("mid"), s.row_y_tolerance).alias("rows_at"), F.countDistinct("col").alias("columns"))
+    placed = major.join(centres, k).withColumn("row", nearest_index(F.col("mid"), F.col("rows_at")))
+    rows = placed.groupBy(*k, "row").agg(
+        (F.countDistinct("col") >= 2).alias("multi"),
+        ((F.countDistinct("col") >= 2) & F.min((F.get(F.col("rows_at"), F.col("row")) <= F.col("gt") + 0.25 * F.greatest(F.col("gh"), F.lit(0.001))) & (F.col("chars") <= HEADER_CHARS) & ~F.col("is_heading"))).alias("header"),
+    )
+    by_col = placed.join(rows, [*k, "row"]).groupBy(*k, "col").agg(F.avg(F.col("multi").cast("int")).alias("aligned"), F.avg(F.coalesce(is_value(F.col("text")), F.lit(False)).cast("int")).alias("values"))
+    cols = by_col.groupBy(*k).agg(F.max("aligned").alias("anchor"), F.count_if(F.col("values") >= 0.6).alias("value_columns"))
+    lines = rows.groupBy(*k).agg(F.count("*").alias("rows"), F.count_if("multi").alias("aligned_rows"), F.max("header").alias("header_row"))
+    found = base.join(first.drop("cols"), k, "left").join(centres.drop("rows_at"), k, "left").join(cols, k, "left").join(lines, k, "left")
+    zero = lambda x: F.coalesce(x, F.lit(0))
+    big = F.lit(not page_sized) & (F.col("gw") > PAGE_WIDE) & (F.col("gh") > PAGE_HIGH)
+    reject = (
+        F.when(F.col("cells") < s.min_cells, "too_few_cells").when(zero("grid_cells") < s.min_cells, "too_few_grid_cells").when((F.col("median_cell_chars") > LONG_CHARS) | (F.col("long_ratio") > LONG_SHARE), "prose_region")
+        .when(F.col("year_cells") > MAX_YEARS, "timeline_region").when(big, "page_sized_region").when(zero("columns") < s.min_columns, "not_enough_columns").when(zero("aligned_rows") < s.min_aligned_rows, "not_enough_aligned_rows")
+    )
+    points = (
+        F.lit(0.3) + F.when(F.col("anchor") >= 0.7, 0.2).when(F.col("anchor") >= 0.5, 0.1).otherwise(0.0) + F.when(F.col("value_columns") >= 1, 0.2).otherwise(0.0) + F.when(F.col("short_ratio") >= 0.7, 0.1).otherwise(0.0)
+        + F.when(F.col("header_row"), 0.1).otherwise(0.0) + F.when((F.col("columns") >= 3) & (F.col("short_ratio") >= 0.7), 0.1).otherwise(0.0)
+    )
+    found = found.withColumn("reject", reject)
+    return found.select(
+        *keys, F.when(F.col("reject").isNotNull(), F.lit(0.0)).otherwise(F.round(F.least(points, F.lit(0.95)), 3)).alias("score"), "reject", "cells", "grid_cells", "columns", "rows", "aligned_rows",
+        F.round("anchor", 3).alias("anchor_alignment"), "value_columns", F.round("short_ratio", 3).alias("short_cell_ratio"), "header_row",
+    )
+
+
+def segment(cells: DataFrame, *keys: str, s: Tables = TABLES) -> DataFrame:
+    """(keys, idx, region, panel): pages cut at gutters, or else at bands, in three rounds; groups that are small, or have one column
+    only, stay whole, so a label column is not shredded."""
+    by = (*keys, "region")
+
+    def step(open_: DataFrame, level: int) -> DataFrame:
+        shape = open_.groupBy(*by).agg(F.count("*").alias("many"), F.size(geo.cluster_means(F.collect_list("l"), s.column_x_tolerance)).alias("stacks"))
+        o = open_.join(shape, list(by)).withColumn("ready", (F.col("many") >= s.min_cells) & ((F.col("stacks") >= 2) | F.lit(level == 0))).drop("many", "stacks")
+        ready = o.where("ready").drop("ready")
+        cut = _divided(ready, (gaps_between(ready, "l", "r", PANEL_GUTTER, *by), "l", "r"), (gaps_between(ready, "t", "b", PANEL_BAND, *by), "t", "b"), *by)
+        return cut.unionByName(o.where("not ready").drop("ready").withColumn("open", F.lit(False)))
+
+    out = _rounds(_box(cells), step, 3)
+    return out.withColumn("panel", F.dense_rank().over(Window.partitionBy(*keys).orderBy("region")) - 1).drop("open")
+
+
+def is_banner(width: Column, panel_width: Column, text: Column, is_heading: Column) -> Column:
+    """A heading that is wide, or in capitals and not narrow."""
+    capitals = (F.length(text) >= 8) & (F.upper(text) == text) & F.rlike(text, F.lit(r"\p{L}"))
+    return F.coalesce(is_heading & (width >= 0.25 * panel_width) & ((width >= 0.5 * panel_width) | capitals), F.lit(False))
+
+
+def split_at_banners(cells: DataFrame, *by: str, s: Tables = TABLES) -> DataFrame:
+    """Cells (by, idx, l, t, r, b, text, is_heading) without banners, with `band`: how many banners of their panel lie above.  Panels
+    that are small or have one column only keep theirs."""
+    shape = cells.groupBy(*by).agg(F.count("*").alias("many"), F.size(geo.cluster_means(F.collect_list("l"), s.column_x_tolerance)).alias("stacks"), F.greatest(F.max("r") - F.min("l"), F.lit(0.001)).alias("wide"))
+    c = cells.join(shape, list(by)).withColumn("mid", (F.col("t") + F.col("b")) / 2)
+    banner = (F.col("many") >= s.min_cells) & (F.col("stacks") >= 2) & is_banner(F.col("r") - F.col("l"), F.col("wide"), F.col("text"), F.col("is_heading"))
+    c = c.withColumn("banner", banner)
+    marks = c.where("banner").groupBy(*by).agg(F.array_sort(F.collect_list("mid")).alias("marks"))
+    kept = c.where("not banner").join(marks, list(by), "left")
+    return kept.withColumn("band", _part(F.col("marks"), F.col("mid"))).drop("many", "stacks", "wide", "mid", "banner", "marks")
+
+
+def adjacent(a: Column, b: Column) -> Column:
+    """Whether two rectangles stand side by side: a small gap, and half of the lower one's height in common."""
+    left, right = F.when(a[0] <= b[0], a).otherwise(b), F.when(a[0] <= b[0], b).otherwise(a)
+    gap, shared, low = right[0] - left[2], F.least(a[3], b[3]) - F.greatest(a[1], b[1]), F.least(a[3] - a[1], b[3] - b[1])
+    return (gap <= MERGE_GAP) & (gap >= -0.05) & (low > 0) & (shared / low >= MERGE_OVERLAP)
+
+
+def evaluate_regions(cells: DataFrame, *keys: str, s: Tables = TABLES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(accepted, rejected, members): regions of pages (keys, region, rect, score, reason, …) by score, those that are no tables, and
+    (keys, region, idx) of both.
+
+    Panels are split at banners and scored.  Rejected regions that stand side by side are scored together, with a header row and nearly
+    all labels in line as a condition; of pairs that share a region the first by their left edges is taken."""
+    from .settle import settle
+
+    k = list(keys)
+    panels = split_at_banners(segment(cells, *keys, s=s), *keys, "panel", s=s)
+    parts = settle(panels.withColumn("region", F.format_string("r%04d-%04d", "panel", "band")).drop("panel", "band"), "regions")
+    scored = settle(region_scores(parts, *keys, "region", s=s), "region-scores")
+    rects = parts.groupBy(*k, "region").agg(F.array(F.min("l"), F.min("t"), F.max("r"), F.max("b")).alias("rect"))
+    scored = scored.join(rects, [*k, "region"])
+    rejected = scored.where(F.col("score") < s.score_threshold)
+    order = F.row_number().over(Window.partitionBy(*k).orderBy(F.col("rect")[0], "region"))
+    loose = rejected.select(*k, "region", "rect", order.alias("at"))
+    pairs = loose.alias("a").join(loose.select(*k, F.col("region").alias("other"), F.col("rect").alias("orect"), F.col("at").alias("oat")), k).where((F.col("at") < F.col("oat")) & adjacent(F.col("rect"), F.col("orect")))
+    pairs = pairs.select(*k, "region", "other", "at", "oat", F.concat_ws("+", "region", "other").alias("pair"))
+    both = pairs.select(*k, "pair", F.explode(F.array("region", "other")).alias("region")).join(parts, [*k, "region"]).drop("region")
+    good = region_scores(both, *keys, "pair", page_sized=True, s=s).where((F.col("score") >= s.score_threshold) & (F.col("anchor_alignment") >= MERGE_ANCHOR) & F.col("header_row"))
+    found = pairs.join(good, [*k, "pair"])
+    ordered = F.array_sort(F.collect_list(F.struct("at", "oat", "pair", "region", "other")))
+    none = F.array().cast("array<string>")
+    first = F.aggregate(
+        ordered, F.struct(none.alias("used"), none.alias("taken")),
+        lambda a, x: F.when(F.arrays_overlap(a["used"], F.array(x["region"], x["other"])), a).otherwise(F.struct(F.concat(a["used"], F.array(x["region"], x["other"])).alias("used"), F.concat(a["taken"], F.array(x["pair"])).alias("taken"))),
+        lambda a: a["taken"],
+    )
+    taken = found.groupBy(*k).agg(first.alias("taken")).select(*k, F.explode("taken").alias("pair"))
+    merged = good.join(taken, [*k, "pair"]).join(both.groupBy(*k, "pair").agg(F.array(F.min("l"), F.min("t"), F.max("r"), F.max("b")).alias("rect")), [*k, "pair"])
+    accepted = scored.where(F.col("score") >= s.score_threshold).withColumn("reason", F.lit("table_shaped_region")).unionByName(merged.withColumnRenamed("pair", "region").withColumn("reason", F.lit("merged_split_columns")))
+    members = parts.select(*k, "region", "idx").unionByName(both.join(taken, [*k, "pair"], "left_semi").select(*k, F.col("pair").alias("region"), "idx"))
+    rank = F.row_number().over(Window.partitionBy(*k).orderBy(F.col("score").desc(), F.col("reason").desc(), "region"))
+    return accepted.withColumn("rank", rank), rejected, members
+
+
+def table_candidates(tables: DataFrame, regions: DataFrame, pictures: DataFrame, *keys: str, s: Tables = TABLES) -> DataFrame:
+    """(keys, id, kind, rect, confidence, reason, region, picture): tables of the source, then the best regions that do not lie on one,
+    then pictures that may hold one; numbered in that order.  tables: keys, pos, rect; regions as accepted; pictures: keys, picture,
+    rect, reason, confidence."""
+    k = list(keys)
+    one = tables.select(*k, F.lit(0).alias("grp"), F.col("pos").cast("long").alias("at"), F.lit("grid_table").alias("kind"), "rect", F.lit(0.95).alias("confidence"), F.lit("table_item").alias("reason"))
+    best = regions.where(F.col("rank") <= s.regions_max_per_page)
+    on = best.join(tables.select(*k, F.col("rect").alias("other")), k).where(geo.overlap(F.col("rect"), F.col("other")) > 0.6)
+    free = best.join(on.select(*k, "region").distinct(), [*k, "region"], "left_anti")
+    two = free.select(*k, F.lit(1).alias("grp"), F.col("rank").cast("long").alias("at"), F.lit("layout_region").alias("kind"), "rect", F.col("score").alias("confidence"), "reason", "region")
+    three = pictures.select(*k, F.lit(2).alias("grp"), F.col("picture").cast("long").alias("at"), F.lit("picture_table").alias("kind"), "rect", "confidence", "reason", F.col("picture").cast("int").alias("picture"))
+    all_ = one.unionByName(two, allowMissingColumns=True).unionByName(three, allowMissingColumns=True)
+    number = F.row_number().over(Window.partitionBy(*k).orderBy("grp", "at"))
+    return all_.select(*k, F.format_string("tc%03d", number).alias("id"), "kind", "rect", F.round("confidence", 3).alias("confidence"), "reason", "region", "picture")
+
+
+def symbols_in(candidates: DataFrame, pictures: DataFrame, *keys: str) -> DataFrame:
+    """(keys, id, symbols): pictures that half lie in a candidate, in order."""
+    met = candidates.select(*keys, "id", F.col("rect").alias("own")).join(pictures, list(keys)).where(geo.overlap(F.col("rect"), F.col("own")) >= 0.5)
+    return met.groupBy(*keys, "id").agg(F.array_sort(F.collect_set("picture")).alias("symbols"))
+
+
+def nearby_signals(pictures: DataFrame, blocks: DataFrame, *keys: str, distance: float = 0.18) -> DataFrame:
+    """(keys, picture, blocks): blocks near a picture that hold a value or are a heading or caption, up to twelve, in order."""
+    from .prompt_map import has_value_signal
+
+    text = F.btrim(F.coalesce(F.nullif(F.col("text"), F.lit("")), F.col("caption"), F.lit("")))
+    b = blocks.where(F.col("bbox").isNotNull() & (F.col("type") != "picture") & (text != "")).where(has_value_signal(text) | F.col("type").isin("title", "section_header", "caption"))
+    met = pictures.select(*keys, "picture", "rect").join(b.select(*keys, "pos", F.col("id").alias("block"), "bbox"), list(keys)).where(geo.distance(F.col("rect"), F.col("bbox")) <= distance)
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("pos", "block"))), lambda x: x["block"])
+    return met.groupBy(*keys, "picture").agg(ids.alias("blocks"))
