@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .plans import artifact_queries, layout_queries, page_queries, table_queries, text_queries
+from .plans import artifact_queries, layout_queries, page_queries, record_queries, rewrite_queries, table_queries, text_queries
 
 FLAGSHIP = "document_profile"
-_MODULES = (text_queries, table_queries, layout_queries, artifact_queries, page_queries)
+_MODULES = (text_queries, table_queries, layout_queries, artifact_queries, page_queries, rewrite_queries, record_queries)
 
 
 def _widened(query: Callable) -> Callable:
