@@ -60,10 +60,11 @@ def ordered(r: Column) -> Column:
 
 
 def from_points(l: Column, t: Column, r: Column, b: Column, page_w: Column, page_h: Column, bottom_left: Column) -> Column:
-    """Points of a page to a normalised rectangle, rounded to 3 places; null on a page without size."""
+    """Points of a page to a normalised rectangle, rounded to 3 places; null without a place or on a page without size."""
     top, bottom = F.when(bottom_left, page_h - t).otherwise(t), F.when(bottom_left, page_h - b).otherwise(b)
     unit = lambda x, n: F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x / n)), 3)
-    return F.when((page_w > 0) & (page_h > 0), ordered(F.array(unit(l, page_w), unit(top, page_h), unit(r, page_w), unit(bottom, page_h))))
+    there = l.isNotNull() & t.isNotNull() & r.isNotNull() & b.isNotNull()
+    return F.when(there & (page_w > 0) & (page_h > 0), ordered(F.array(unit(l, page_w), unit(top, page_h), unit(r, page_w), unit(bottom, page_h))))
 
 
 def to_pixels(r: Column, image_w: Column, image_h: Column) -> Column:
