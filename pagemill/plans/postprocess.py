@@ -15,6 +15,7 @@ from ..functions import markdown as md
 from ..functions import text as tx
 from ..operators import furniture as fu
 from ..operators import lines as ln
+from ..operators import rewrites as rw
 from ..operators import splice as sp
 from ..operators import tables as tb
 from ..operators.settle import settle
@@ -53,9 +54,13 @@ def _ordered(*columns: str) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct(*columns))), lambda x: x[columns[-1]])
 
 
-def postprocess(pages: DataFrame, furniture: DataFrame | None = None, tables: DataFrame | None = None) -> DataFrame:
+def postprocess(
+    pages: DataFrame, furniture: DataFrame | None = None, tables: DataFrame | None = None, *, grids: DataFrame | None = None, headerless: DataFrame | None = None, levels: DataFrame | None = None
+) -> DataFrame:
     """All steps.  `furniture`: (doc, page, norm) texts safe to strip.  `tables`: verified tables (doc, page, table, kind,
-    markdown, source, titles), see operators.splice.  Lines that a writer set aside or was unsure of, and lines of the raw text
+    markdown, source, titles), see operators.splice.  `grids`: source grids (doc, page, table, rows, num_cols, header_rows) that give
+    collapsed headers back; `headerless`: first rows (doc, page, cells) of tables without a header; `levels`: (doc, page, text,
+    level) of list items.  Lines that a writer set aside or was unsure of, and lines of the raw text
     that the result lacks, end up under one heading; contents tables get their numbers back instead."""
     images = "images" if "images" in pages.columns else None
     first = md.clean(pages.select(*KEYS, "markdown", *([images] if images else [])), "markdown", images)
@@ -65,13 +70,22 @@ def postprocess(pages: DataFrame, furniture: DataFrame | None = None, tables: Da
     toc = settle(ln.toc_pages(raw, *KEYS).where("toc").select(*KEYS), "toc")
 
     lines = settle(tables_step(settle(ln.to_lines(first, *KEYS, text="md"), "lines")), "tables")
+    warnings = []
+    if grids is not None:
+        heads = settle(rw.merged_headers(lines, grids, *KEYS), "heads")
+        warnings.append(_count(heads, "span_headers_realigned"))
+        lines = settle(rw.apply_lines(lines, heads, *KEYS), "headed")
     gone, new, counts = sp.reshaped(lines, *KEYS)
-    warnings = [counts]
+    warnings.append(counts)
     lines = settle(sp.splice(lines, gone, new, *KEYS), "reshaped")
+    if headerless is not None:
+        lines = settle(rw.add_blank_headers(lines, headerless, *KEYS), "headerless")
     if tables is not None:
         gone, new, counts = sp.place_tables(lines, tables, *KEYS)
         warnings.append(counts)
         lines = settle(sp.splice(lines, gone, new, *KEYS), "placed")
+    if levels is not None:
+        lines = settle(rw.apply_list_levels(lines, levels, *KEYS), "levels")
     # the numbers of a contents table come from its raw rows
     in_toc = lambda df: df.join(toc, list(KEYS), "left_semi")
     lines = lines.join(toc, list(KEYS), "left_anti").unionByName(ln.restore_toc_numbers(in_toc(lines), in_toc(raw), *KEYS))
@@ -103,7 +117,11 @@ def postprocess(pages: DataFrame, furniture: DataFrame | None = None, tables: Da
     final_lines = settle(ln.to_lines(body, *KEYS, text="body"), "final")
     seen = final_lines.withColumn("line", tx.strip_tags(F.col("line")))
     missing = sp.without_shared_blocks(ln.missing_lines(source, seen, *KEYS), body, *KEYS)
-    missing = missing.where(tx.furniture_text(F.col("line")) != _ORPHAN)
+    missing = settle(missing.where(tx.furniture_text(F.col("line")) != _ORPHAN), "missing")
+    near = seen.join(missing.select(*KEYS).distinct(), list(KEYS), "left_semi")  # pages that lack nothing have nothing to look up
+    judged = settle(rw.present_parts(missing, near, furniture, *KEYS), "judged")
+    warnings.append(_count(judged.where("reason is not null"), "unplaced_lines_filtered"))
+    missing = judged.where("reason is null").select(*KEYS, "pos", "line")
     lost = missing.groupBy(*KEYS).agg(_ordered("pos", "line").alias("lost"))
     # a page whose text came out empty has no body, but what was set aside or lost still counts
     none = lambda c: F.coalesce(F.col(c), F.array().cast(_TEXTS))

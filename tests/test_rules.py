@@ -437,6 +437,20 @@ def plan(spark, page, raw=None, **other):
     return pp.postprocess(data, **other).first()
 
 
+def test_plan_uses_grids_levels_and_headers(spark):
+    page = "# T\n\n| Name | | Key |\n|---|---|---|\n| a | 1 | 7 |\n| b | 2 | 7 |\n\n- one\n- two\n\n| x1 | y1 |\n| x2 | y2 |\n"
+    rows = [["Name", "Numbers", "Numbers"], ["Name", "Key", "Other"], ["a", "1", "7"], ["b", "2", "7"]]
+    grids = spark.createDataFrame([("d", 1, "tc001", rows, 3, 2)], "doc string, page int, table string, rows array<array<string>>, num_cols int, header_rows int")
+    first = spark.createDataFrame([("d", 1, ["x1", "y1"])], "doc string, page int, cells array<string>")
+    levels = spark.createDataFrame([("d", 1, "two", 1)], "doc string, page int, text string, level int")
+    got = plan(spark, page, grids=grids, headerless=first, levels=levels)
+    assert "| Name | Numbers<br>Key | Numbers<br>Other |" in got["final"] and "- one\n  - two" in got["final"] and "|  |  |\n|---|---|\n| x1 | y1 |" in got["final"]
+    assert got["warnings"]["span_headers_realigned"] == 1
+    # a line whose parts all stand in the page is not missing
+    lost = plan(spark, "# T\n\nThe blue bolt component weighs 12 kilos in total\n", "# T\n\nThe blue bolt component weighs 12 kilos in total\n\nYear ended December  Year ended December\n")
+    assert lost["unplaced"] == [] and lost["warnings"]["unplaced_lines_filtered"] == 1
+
+
 def test_html_tables_become_pipe_tables():
     spans = "<p>a</p><table><tr><th rowspan=2>G</th><th colspan='2'>a|b &amp; c</th></tr><tr><td>1<br/>x</td><td> 2 </td></tr><tr></tr></table> end"
     assert html_tables.flatten(spans) == "<p>a</p>\n| G | a\\|b & c | a\\|b & c |\n| --- | --- | --- |\n| G | 1 x | 2 |\n end"
