@@ -162,7 +162,7 @@ def test_page_map(spark):
     box = lambda l, t: {"page_no": 1, "bbox": {"l": float(l), "t": float(t), "r": float(l) + 50, "b": float(t) + 10, "origin": "TOPLEFT"}}
     grid = [[{"text": "a", "column_header": True}, {"text": "b", "column_header": True}], [{"text": "a", "column_header": True}, {"text": "b", "column_header": False}], [{"text": "1"}, {"text": "b"}]]
     rows = [{"label": "Label.TITLE", "text": "Title", "prov": [box(10, 10)]}, {"label": "Label.TEXT", "text": "word " * 100, "prov": [box(400, 700)]}, {"label": "Label.TABLE", "prov": [box(10, 100)], "grid": grid}, {"label": "Label.LIST_ITEM", "text": "item", "marker": "·", "prov": [box(10, 200)]},
-            {"label": "Label.PICTURE", "caption": "cap", "prov": [box(10, 300)]}, {"label": "Label.TEXT", "text": "lost 12%"}, {"label": "Label.TEXT", "text": "no place"}]
+            {"label": "Label.PICTURE", "caption": "cap", "prov": [box(10, 300)]}, {"label": "Label.TEXT", "text": "lost 12 kg"}, {"label": "Label.TEXT", "text": "no place"}]
     df = spark.createDataFrame([("d", 1, rows)], f"doc string, page int, items array<{it.ITEM}>")
     items = it.items_of(it.assert_items(df).drop("page"), "doc").withColumn("page", F.lit(1))
     entries = pm.entries_of(items, F.lit(600.0), F.lit(800.0))
@@ -172,7 +172,7 @@ def test_page_map(spark):
     by = {b["id"]: b for b in one["blocks"]}
     assert list(by) == ["b0001", "b0002", "b0003", "b0004", "b0005", "b0006"] and one["layout_block_count"] == 6
     assert by["b0001"]["text"] == "Title" and by["b0002"]["text"] is None and by["b0003"]["headerless"] and by["b0003"]["first_row"] == ["a", "b"] and by["b0004"]["marker"] == "·"
-    assert by["b0005"]["role"] == "table_symbol" and by["b0005"]["value"] == "E1" and by["b0006"]["text"] == "lost 12%"
+    assert by["b0005"]["role"] == "table_symbol" and by["b0005"]["value"] == "E1" and by["b0006"]["text"] == "lost 12 kg"
     assert [r["id"] for r in pm.cells_of_map(m, "doc", "page").collect()] == ["b0001", "b0004"]
     text = m.select(pm.map_json(F.lit(600.0), F.lit(800.0)).alias("j")).first()["j"]
     assert json.loads(text)["page_size"] == [600.0, 800.0] and "role" not in json.loads(text)["blocks"][0]
