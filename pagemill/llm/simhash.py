@@ -218,20 +218,30 @@ def bitmap(found: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
-def _prefixes(common: np.ndarray, weight: np.ndarray):
-    """Size and bitmap of each set, and its prefix in the order of weight (0 unless common), then hash: all but as many as similar
-    sets must share, and one."""
+def _marks(common: np.ndarray, weight: np.ndarray):
+    """Of a text's set: a hash that names it, its size, its bitmap, and its prefix in the order of weight (0 unless common), then
+    hash: all but as many as similar sets must share, and one."""
 
-    @F.pandas_udf("size long, bits binary, prefix array<long>")
-    def prefixes(sets: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("node long, size long, bits binary, prefix array<long>")
+    def marks(texts: pd.Series) -> pd.DataFrame:
         out = []
-        for s in sets:
+        for s in map(shingle_set, texts):
             at = np.minimum(np.searchsorted(common, s), len(common) - 1)
             rank = np.where(common[at] == s, weight[at], 0)
-            out.append((len(s), bitmap(s).tobytes(), s[np.lexsort((s, rank))[: len(s) + 1 + -len(s) * SIMILAR[0] // SIMILAR[1]]]))
-        return pd.DataFrame(out, columns=["size", "bits", "prefix"])
+            node = int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64))
+            out.append((node, len(s), bitmap(s).tobytes(), s[np.lexsort((s, rank))[: len(s) + 1 + -len(s) * SIMILAR[0] // SIMILAR[1]]]))
+        return pd.DataFrame(out, columns=["node", "size", "bits", "prefix"])
 
-    return prefixes
+    return marks
+
+
+def often_shared(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that OFTEN or more of a sample of texts hold, sorted, and how many do."""
+    texts = texts.withColumn("h", F.xxhash64("text"))
+    rate = max(1, texts.agg(F.approx_count_distinct("h")).first()[0] // SAMPLE)
+    some = texts.where(F.pmod("h", F.lit(rate)) == 0).dropDuplicates(["h"]).select(F.explode(_shingle_sets("text")).alias("x"))
+    often = some.groupBy("x").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).toPandas().sort_values("x")
+    return tuple(often[c].to_numpy(np.int64) if len(often) else np.zeros(1, np.int64) for c in ("x", "n"))
 
 
 def _forest_by(sizes: np.ndarray, base: np.ndarray, shared) -> tuple[np.ndarray, np.ndarray]:
@@ -325,28 +335,23 @@ def _compare_in(rows: DataFrame, data: DataFrame, column: str, forest) -> DataFr
     return met.mapInArrow(_by_group(column, forest), "u long, v long")
 
 
-def similar_links(slim: DataFrame) -> DataFrame:
-    """Links (u, v) that connect all similar sets; slim is a written table of node and set, of equal sets one node.
+def similar_links(nodes: DataFrame, sets_of) -> DataFrame:
+    """Links (u, v) that connect all similar sets; nodes is a written table of node, size, bits and prefix, one row a set, and
+    sets_of(table of node) gives node, size and set.
 
     Two similar sets share a shingle of their prefixes in any order of shingles, so nothing is lost; the order, rarest
     first by a sample of sets, keeps buckets small.  Of buckets with the same members one is compared, by bitmaps that
     bound what two sets can share; sets that these connect meet once, to be compared exactly."""
-    rate = max(1, slim.agg(F.approx_count_distinct("node")).first()[0] // SAMPLE)
-    some = slim.where(F.pmod(F.xxhash64("node"), F.lit(rate)) == 0).select("node", "set").dropDuplicates(["node"])
-    often = some.select(F.explode("set").alias("x")).groupBy("x").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).toPandas().sort_values("x")
-    common, weight = (often[c].to_numpy(np.int64) if len(often) else np.zeros(1, np.int64) for c in ("x", "n"))
-    nodes = slim.select("node", _prefixes(common, weight)("set").alias("x")).select("node", "x.*").where("size > 0").dropDuplicates(["node"])
-    nodes = materialize(nodes, "prefixes")
     parts = F.ceil(F.col("n") / BASE_SETS).cast("int").alias("parts")
     keys = nodes.select("node", F.explode("prefix").alias("key"))
+    shared = keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")  # few of the keys
+    shared = materialize(shared.select("node", "key", "n"), "shared")
     one, two = (F.bit_xor(F.xxhash64("node", F.lit(k))) for k in (1, 2))
-    sizes = keys.groupBy("key").agg(F.count("*").alias("n"), one.alias("one"), two.alias("two")).where("n > 1")
-    sizes = sizes.groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key", parts)
-    loose = components(_compare_in(keys.join(sizes, "key"), nodes.select("node", "size", "bits"), "bits", perhaps_similar_in))
+    sizes = shared.groupBy("key", "n").agg(one.alias("one"), two.alias("two")).groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key", parts)
+    loose = components(_compare_in(shared.join(sizes, "key"), nodes.select("node", "size", "bits"), "bits", perhaps_similar_in))
     blocks = loose.select("node", F.col("root").alias("key")).unionByName(loose.select(F.col("root").alias("node"), F.col("root").alias("key")).distinct())
-    blocks = blocks.join(blocks.groupBy("key").agg(F.count("*").alias("n")).select("key", parts), "key")
-    sets = slim.select("node", F.size("set").cast("long").alias("size"), "set").join(blocks.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    return _compare_in(blocks, sets, "set", lambda sizes, sets, base: similar_in(sets, base))
+    blocks = materialize(blocks.join(blocks.groupBy("key").agg(F.count("*").alias("n")).select("key", parts), "key"), "blocks")
+    return _compare_in(blocks, sets_of(blocks.select("node")), "set", lambda sizes, sets, base: similar_in(sets, base))
 
 
 def stage_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -362,11 +367,20 @@ def stage_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _one_of_each(docs: DataFrame) -> DataFrame:
+    """Sets are made twice, once for their marks and once where they must be compared: stored, they would be larger than the texts."""
     keyed = docs.withColumn("_pm_key", F.concat_ws(":", F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.xxhash64("text").cast("string"))))
-    slim = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "_pm_key", _shingle_sets(F.col("text").cast("string")).alias("set"))
-    slim = materialize(slim.withColumn("node", F.xxhash64("set")), "shingles")
+    texts = keyed.select("_pm_key", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marks = texts.select("_pm_key", "doc_id", _marks(*often_shared(texts.select("text")))("text").alias("m")).select("_pm_key", "doc_id", "m.*")
+    marks = materialize(marks, "marks")
     best = lambda c: F.min(c).alias("best")
-    nodes = slim.groupBy("node").agg(best(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_pm_key")))
-    roots = components(similar_links(slim))
-    nodes = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(best("best"))
-    return keyed.join(nodes.select("best._pm_key"), "_pm_key", "left_semi").dropDuplicates(["_pm_key"]).select(docs.columns)
+    named = materialize(marks.groupBy("node").agg(best(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_pm_key"))), "named")
+    nodes = materialize(marks.where("size > 0").select("node", "size", "bits", "prefix").dropDuplicates(["node"]), "nodes")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        chosen = materialize(named.join(wanted, "node", "left_semi").select("node", "best._pm_key"), "chosen")
+        sets = texts.join(chosen, "_pm_key").select("node", _shingle_sets("text").alias("set")).dropDuplicates(["node"])
+        return sets.select("node", F.size("set").cast("long").alias("size"), "set")
+
+    roots = components(similar_links(nodes, sets_of))
+    kept = named.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(best("best"))
+    return keyed.join(kept.select("best._pm_key"), "_pm_key", "left_semi").dropDuplicates(["_pm_key"]).select(docs.columns)
