@@ -19,9 +19,9 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,8 @@ from .common import documents
 #: Labelled documents used to fit; hashed words; rounds; weight of the documents a view labels, in that of the labelled; how sure it
 #: must be of them; steps and strength of the logistic fit, strength of the linear one; pseudo-occurrences of a word.
 FIT, WORDS, ROUNDS, GROW, SURE, STEPS, RIDGE, SHRINK, PSEUDO = 6000, 1 << 17, 2, 1.0, 0.95, 80, 3e-4, 1e-3, 10.0
-KNOWN = 1 << 20  #: words whose hash a task remembers
+KNOWN, CHUNK = 1 << 20, 512  #: words whose hash a task remembers, texts that are counted together
+TASK = 8192  #: documents of a task that adds up, at least: its sums grow with its words, so tasks of few documents send more than they read
 SLOTS = 64  #: hashed sources and languages
 
 
@@ -41,25 +42,33 @@ _MARKS = ".,;:!?\"'()[]{}<>*#$%&|=+-_/\\~^`@"
 LENGTH = 0.25  #: power of a text's total weight that its words are divided by: long texts count less a word, not nothing
 
 
-_slots: dict[str, int] = {}
+class _Slots(dict):
+    """Hash of a lower-case word stripped of punctuation, remembered; it empties when it holds KNOWN words."""
 
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KNOWN:
+            self.clear()
+        found = self[word] = zlib.crc32(word.lower().strip(_MARKS).encode("utf-8", "replace")) % WORDS
+        return found
 
-def _slot(word: str) -> int:
-    """Hash of a lower-case word stripped of punctuation, remembered."""
-    if (found := _slots.get(word)) is None:
-        if len(_slots) >= KNOWN:
-            _slots.clear()
-        found = _slots[word] = zlib.crc32(word.lower().strip(_MARKS).encode("utf-8", "replace")) % WORDS
-    return found
 
+_slots = _Slots()
 
-def text_view(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed lower-case words stripped of punctuation, and their weights (square-root counts, scaled by length)."""
-    counts = Counter(text.split())
-    ids, place = np.unique(np.fromiter(map(_slot, counts), np.int64, len(counts)), return_inverse=True)
-    times = np.bincount(place, np.fromiter(counts.values(), np.float64, len(counts)), len(ids))
-    weights = np.minimum(np.sqrt(times), 3)
-    return ids, weights / max(1.0, (weights**2).sum()) ** LENGTH
+
+def words_view(texts: list[str]) -> Sparse:
+    """Hashed lower-case words stripped of punctuation, and their weights (square-root counts, scaled by length).  Words of
+    CHUNK texts are hashed, sorted and counted together."""
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for at in range(0, len(texts), CHUNK):
+        split = [t.split() for t in texts[at : at + CHUNK]]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        slots = np.fromiter(map(_slots.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        keys, times = np.unique(np.repeat(np.arange(len(split)) * WORDS, sizes) + slots, return_counts=True)
+        doc, weights = keys // WORDS, np.minimum(np.sqrt(times), 3)
+        length = np.maximum(1.0, np.bincount(doc, weights**2, len(split))) ** LENGTH
+        parts.append((keys % WORDS, weights / length[doc], np.bincount(doc, minlength=len(split))))
+    ids, weights, many = (np.concatenate(x) if parts else np.empty(0) for x in zip(*parts, strict=True)) if parts else (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
+    return Sparse(ids.astype(np.int64), weights, np.r_[0, np.cumsum(many)].astype(np.int64))
 
 
 def meta_view(text: str, lang: str | None, source: str | None) -> np.ndarray:
@@ -271,7 +280,7 @@ def co_train(words: Sparse, meta: Dense, labels: dict[str, np.ndarray], gathered
 def _views(texts, langs, sources) -> tuple[Sparse, Dense]:
     plain = [t or "" for t in texts]
     meta = np.array([meta_view(t, a, b) for t, a, b in zip(plain, langs, sources, strict=True)]).reshape(-1, META)
-    return Sparse.of([text_view(t) for t in plain]), meta.view(Dense)
+    return words_view(plain), meta.view(Dense)
 
 
 def _bounded(df: DataFrame, wanted: int, rows: int) -> DataFrame:
@@ -315,6 +324,7 @@ def fit_models(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...], *,
     y = {t: fitted[t].fillna(-1).to_numpy().astype(int) for t in targets}
     y = {t: np.where((x == 0) | (x == 1), x, -1) for t, x in y.items()}
     others = docs.join(F.broadcast(drawn.select("doc_id")), "doc_id", "left_anti")
+    others = others.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(docs.count() / TASK)))
     return co_train(words, meta, y, lambda models: gather_documents(others, models), rounds=rounds if len(fitted) else 0)
 
 
