@@ -18,6 +18,9 @@ from ..operators import tagged as tg
 from . import layout_queries as lq
 
 
+GRID_ROWS = 40  #: suppliers of a page in `grid_reconciled`
+
+
 def _read(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
@@ -392,17 +395,20 @@ SELECT page, k % 2 AS block, string_agg(l_partkey::VARCHAR, ' ' ORDER BY k) AS t
 
 
 def grid_reconciled(spark, d):
-    """Suppliers of a nation as a grid whose last row was torn in two: the page's rules put it together again, where there are rules."""
+    """Suppliers of a nation as grids whose last rows were torn in two: the page's rules put them together again, where there are rules.
+    A nation has as many pages as it needs for GRID_ROWS suppliers on each: thinner rows would have rules nearer than those of one line."""
     s = _read(spark, d, "supplier")
     n = F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey"))
-    s = s.select(F.col("s_nationkey").alias("page"), (n - 1).alias("k"), F.count("*").over(Window.partitionBy("s_nationkey")).alias("n"), F.concat(F.lit("supplier "), _s("s_suppkey")).alias("name"), _s("s_suppkey").alias("key"))
+    s = s.select(F.col("s_nationkey").alias("nation"), (n - 1).alias("k"), F.concat(F.lit("supplier "), _s("s_suppkey")).alias("name"), _s("s_suppkey").alias("key"))
+    s = s.withColumn("sheet", F.floor(F.col("k") / GRID_ROWS).cast("int")).withColumn("k", F.col("k") % GRID_ROWS)
+    s = s.withColumn("n", F.count("*").over(Window.partitionBy("nation", "sheet"))).withColumn("page", F.struct("nation", "sheet"))
     h = F.lit(0.8) / F.col("n")
     top = F.lit(0.2) + F.col("k") * h
     tables = s.select("page").distinct().withColumn("table", F.lit("t")).withColumn("rect", F.array(*[F.lit(v) for v in (0.0, 0.0, 1.0, 1.0)]))
     rect = lambda x0, x1, y0, y1: F.array(F.lit(x0), y0, F.lit(x1), y1)
     cell = lambda c, text, x0, x1, r, y0, y1, head=False: F.struct(r.alias("r"), F.lit(c).alias("c"), text.alias("text"), rect(x0, x1, y0, y1).alias("rect"), F.lit(head).alias("header"))
     mid = top + h * 0.3
-    last = (F.col("k") == F.col("n") - 1) & (F.col("page") % 2 == 0)
+    last = (F.col("k") == F.col("n") - 1) & (F.col("nation") % 2 == 0)
     whole = F.array(cell(0, F.col("name"), 0.0, 0.4, F.col("k") + 1, top, top + h * 0.6), cell(1, F.col("key"), 0.5, 0.9, F.col("k") + 1, top, top + h * 0.6))
     torn = F.array(cell(0, F.lit("supplier"), 0.0, 0.4, F.col("k") + 1, top, mid), cell(1, F.lit(""), 0.5, 0.9, F.col("k") + 1, top, mid), cell(0, F.col("key"), 0.0, 0.4, F.col("k") + 2, mid, top + h * 0.6), cell(1, F.col("key"), 0.5, 0.9, F.col("k") + 2, mid, top + h * 0.6))
     body = s.select("page", F.explode(F.when(last, torn).otherwise(whole)).alias("x")).select("page", "x.*")
@@ -412,11 +418,12 @@ def grid_reconciled(spark, d):
     lines = s.select("page", (F.col("k") * 2).cast("int").alias("block"), F.lit(0).alias("line"), F.col("name").alias("text"), rect(0.02, 0.38, top + h * 0.1, top + h * 0.5).alias("rect")).unionByName(
         s.select("page", (F.col("k") * 2 + 1).cast("int").alias("block"), F.lit(0).alias("line"), F.col("key").alias("text"), rect(0.52, 0.88, top + h * 0.1, top + h * 0.5).alias("rect"))
     )
-    ruled = s.where("page % 3 != 0")
+    ruled = s.where("nation % 3 != 0")
     rules = ruled.select("page", F.explode(F.array(top, top + h)).alias("y"), F.lit(0.0).alias("x0"), F.lit(1.0).alias("x1")).distinct()
     verdicts, grids = rc.reconcile(tables, cells, rules, lines)
-    rows = grids.groupBy("page").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "cells"))), lambda x: F.array_join(x["cells"], "|")), "/").alias("body"))
-    return verdicts.join(rows, "page", "left").select("page", "status", F.coalesce("reason", F.lit("")).alias("reason"), F.coalesce("body", F.lit("")).alias("body"))
+    rows = grids.groupBy(F.col("page.nation").alias("page")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page.sheet", "r", "cells"))), lambda x: F.array_join(x["cells"], "|")), "/").alias("body"))
+    verdicts = verdicts.select(F.col("page.nation").alias("page"), "status", F.coalesce("reason", F.lit("")).alias("reason")).distinct()
+    return verdicts.join(rows, "page", "left").select("page", "status", "reason", F.coalesce("body", F.lit("")).alias("body"))
 
 
 grid_reconciled_sql = """WITH s AS (SELECT s_nationkey::BIGINT AS page, string_agg('supplier ' || s_suppkey || '|' || s_suppkey, '/' ORDER BY s_suppkey) AS body FROM supplier GROUP BY 1)

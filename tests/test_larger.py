@@ -23,3 +23,8 @@ def suppliers(spark, folder, keys):
 def test_table_gates_of_many_suppliers(spark, tmp_path):
     suppliers(spark, tmp_path, {0: range(1, 61), 1: [123456, 123457, 123458], 2: [100, 101]})  # of 61 numbers one may be missing
     same(spark, tmp_path, "table_gates")
+
+
+def test_grids_of_many_suppliers(spark, tmp_path):
+    suppliers(spark, tmp_path, {0: range(300), 1: range(300, 600), 2: range(600, 921), 3: range(1000, 1003), 4: range(2000, 2002), 8: range(3000, 3240)})
+    same(spark, tmp_path, "grid_reconciled")
