@@ -28,3 +28,8 @@ def test_table_gates_of_many_suppliers(spark, tmp_path):
 def test_grids_of_many_suppliers(spark, tmp_path):
     suppliers(spark, tmp_path, {0: range(300), 1: range(300, 600), 2: range(600, 921), 3: range(1000, 1003), 4: range(2000, 2002), 8: range(3000, 3240)})
     same(spark, tmp_path, "grid_reconciled")
+
+
+def test_lost_lines_sends_no_table_to_the_driver(spark):
+    plan = registry.queries()["lost_lines"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
