@@ -370,7 +370,7 @@ def region_search(spark, d):
     pictures = k.where("page % 2 = 0").select("page", F.lit(4).alias("picture"), box((0.1, 0.7, 0.5, 0.9)).alias("rect"), F.lit("semantic_label").alias("reason"), F.lit(0.7).alias("confidence"))
     c = lo.table_candidates(tables, found, pictures, "page")
     sym = lo.symbols_in(c, pictures, "page")
-    return c.join(sym, ["page", "id"], "left").select("page", "id", "kind", "confidence", "reason", F.coalesce(F.size("symbols"), F.lit(0)).alias("symbols"))
+    return c.join(sym.hint("merge"), ["page", "id"], "left").select("page", "id", "kind", "confidence", "reason", F.coalesce(F.size("symbols"), F.lit(0)).alias("symbols"))
 
 
 region_search_sql = """WITH o AS (SELECT o_orderkey AS page FROM orders), c AS (SELECT page, 0 AS g, 'grid_table' AS kind, 0.95 AS confidence, 'table_item' AS reason, 0 AS symbols FROM o WHERE page % 3 = 0

@@ -33,3 +33,8 @@ def test_grids_of_many_suppliers(spark, tmp_path):
 def test_lost_lines_sends_no_table_to_the_driver(spark):
     plan = registry.queries()["lost_lines"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_region_search_sends_no_table_to_the_driver(spark):
+    plan = registry.queries()["region_search"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
