@@ -12,7 +12,7 @@ split by its base rows over tasks, and a task reports a spanning forest of its l
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,9 +27,9 @@ from .common import attach, documents, materialize
 #: Rows of a tile, base rows of a task in a large bucket, and rows compared at once in a partition.
 TILE, BASE, BUFFER = 1024, 8192, 65536
 
-#: The stage of the pipeline: words of a shingle, least similarity (as a fraction), sets sampled for the order of shingles, how many of
-#: them make a shingle common, base rows of a task, rows of a batch.
-SHINGLE, SIMILAR, SAMPLE, OFTEN, BASE_SETS, SET_BATCH = 5, (4, 5), 4096, 8, 256, 500
+#: The stage of the pipeline: words of a shingle, least similarity (as a fraction), differing bits of fingerprints that make a candidate
+#: at once, sets sampled for the order of shingles, how many of them make a shingle common, base rows of a task, rows of a batch.
+SHINGLE, SIMILAR, RADIUS, SAMPLE, OFTEN, BASE_SETS, SET_BATCH = 5, (4, 5), 3, 4096, 8, 256, 500
 
 
 def fingerprint(text: str | None, *, shingle: int = 3, seed: int = 42) -> int:
@@ -43,12 +43,17 @@ def fingerprint(text: str | None, *, shingle: int = 3, seed: int = 42) -> int:
     lengths = np.fromiter(map(len, words), np.int64, n)
     starts = np.cumsum(lengths + 1) - lengths - 1
     ends = (starts + lengths)[shingle - 1 :].tolist()
-    digest, counts, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64), n - shingle + 1
+    digest, total = xxhash.xxh64_intdigest, n - shingle + 1
     starts = starts[:total].tolist()
-    for at in range(0, total, TILE * 16):
-        block = slice(at, at + TILE * 16)
-        hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[block], ends[block], strict=True)], dtype="<u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    spans = (slice(at, at + TILE * 16) for at in range(0, total, TILE * 16))
+    return majority((np.array([digest(joined[a:b], seed) for a, b in zip(starts[x], ends[x], strict=True)], dtype="<u8") for x in spans), total)
+
+
+def majority(hashes: Iterable[np.ndarray], total: int) -> int:
+    """SimHash of `total` hashes that come in blocks: bits set in more than half of them."""
+    counts = np.zeros(64, np.int64)
+    for block in hashes:
+        counts += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > total, bitorder="little").view("<u8")[0])
 
 
@@ -185,13 +190,18 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     often as they came; other columns are ignored; an empty table gives an empty table.
     """
     slim = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), _fingerprints(F.col(text_col).cast("string")).alias("fp")), "simhash")
+    return _linked(slim, radius).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _linked(slim: DataFrame, radius: int) -> DataFrame:
+    """A written table of doc_id and fp with component_id: the smallest doc_id reachable over links of fingerprints."""
     nodes = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "prints")
     kinds, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     roots = components(simhash_links(nodes.select("fp"), radius, agreeing_bands(kinds, radius)))  # how many bands agree only shifts work
     nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = nodes.select("fp", "root", "n").join(named, "root").select("fp", "component_id", "n")
-    return attach(slim, named, "fp", total).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return attach(slim, named, "fp", total)
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
@@ -219,18 +229,19 @@ def bitmap(found: np.ndarray) -> np.ndarray:
 
 
 def _marks(common: np.ndarray, weight: np.ndarray):
-    """Of a text's set: a hash that names it, its size, its bitmap, and its prefix in the order of weight (0 unless common), then
-    hash: all but as many as similar sets must share, and one."""
+    """Of a text's set: a hash that names it, its size, its SimHash, its bitmap, and its prefix in the order of weight (0 unless common),
+    then hash: all but as many as similar sets must share, and one."""
 
-    @F.pandas_udf("node long, size long, bits binary, prefix array<long>")
+    @F.pandas_udf("node long, size long, fp long, bits binary, prefix array<long>")
     def marks(texts: pd.Series) -> pd.DataFrame:
         out = []
         for s in map(shingle_set, texts):
             at = np.minimum(np.searchsorted(common, s), len(common) - 1)
             rank = np.where(common[at] == s, weight[at], 0)
             node = int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64))
-            out.append((node, len(s), bitmap(s).tobytes(), s[np.lexsort((s, rank))[: len(s) + 1 + -len(s) * SIMILAR[0] // SIMILAR[1]]]))
-        return pd.DataFrame(out, columns=["node", "size", "bits", "prefix"])
+            fp = majority((s[i : i + TILE * 16] for i in range(0, len(s), TILE * 16)), len(s))
+            out.append((node, len(s), int(np.uint64(fp).astype(np.int64)), bitmap(s).tobytes(), s[np.lexsort((s, rank))[: len(s) + 1 + -len(s) * SIMILAR[0] // SIMILAR[1]]]))
+        return pd.DataFrame(out, columns=["node", "size", "fp", "bits", "prefix"])
 
     return marks
 
@@ -336,19 +347,25 @@ def _compare_in(rows: DataFrame, data: DataFrame, column: str, forest) -> DataFr
 
 
 def similar_links(nodes: DataFrame, sets_of) -> DataFrame:
-    """Links (u, v) that connect all similar sets; nodes is a written table of node, size, bits and prefix, one row a set, and
+    """Links (u, v) that connect all similar sets; nodes is a written table of node, size, fp, bits and prefix, one row a set, and
     sets_of(table of node) gives node, size and set.
 
-    Two similar sets share a shingle of their prefixes in any order of shingles, so nothing is lost; the order, rarest
-    first by a sample of sets, keeps buckets small.  Of buckets with the same members one is compared, by bitmaps that
-    bound what two sets can share; sets that these connect meet once, to be compared exactly."""
+    Sets whose fingerprints lie within RADIUS bits are candidates by the tiles of SimHash.  Similar sets can have fingerprints
+    further apart, so what that leaves apart meets exactly: two similar sets share a shingle of their prefixes in any order of
+    shingles, and the order, rarest first by a sample of sets, keeps buckets small.  A bucket that SimHash has put together as a
+    whole is done; of others with the same members one is compared, by bitmaps that bound what two sets can share.  Sets that
+    either way connects meet once, to be compared exactly."""
     parts = F.ceil(F.col("n") / BASE_SETS).cast("int").alias("parts")
+    near = _linked(nodes.select(F.col("node").alias("doc_id"), "fp"), RADIUS).select(F.col("doc_id").alias("node"), F.col("component_id").alias("head"))
+    near = materialize(near, "near")
     keys = nodes.select("node", F.explode("prefix").alias("key"))
     shared = keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")  # few of the keys
-    shared = materialize(shared.select("node", "key", "n"), "shared")
+    shared = materialize(shared.join(near, "node").select("node", "key", "n", "head"), "shared")
     one, two = (F.bit_xor(F.xxhash64("node", F.lit(k))) for k in (1, 2))
-    sizes = shared.groupBy("key", "n").agg(one.alias("one"), two.alias("two")).groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key", parts)
-    loose = components(_compare_in(shared.join(sizes, "key"), nodes.select("node", "size", "bits"), "bits", perhaps_similar_in))
+    sizes = shared.groupBy("key", "n").agg(one.alias("one"), two.alias("two"), F.min("head").alias("low"), F.max("head").alias("high")).where("low < high")
+    sizes = sizes.groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key", parts)
+    perhaps = _compare_in(shared.drop("head").join(sizes, "key"), nodes.select("node", "size", "bits"), "bits", perhaps_similar_in)
+    loose = components(perhaps.unionByName(near.where("node != head").select(F.col("node").alias("u"), F.col("head").alias("v"))))
     blocks = loose.select("node", F.col("root").alias("key")).unionByName(loose.select(F.col("root").alias("node"), F.col("root").alias("key")).distinct())
     blocks = materialize(blocks.join(blocks.groupBy("key").agg(F.count("*").alias("n")).select("key", parts), "key"), "blocks")
     return _compare_in(blocks, sets_of(blocks.select("node")), "set", lambda sizes, sets, base: similar_in(sets, base))
@@ -374,7 +391,7 @@ def _one_of_each(docs: DataFrame) -> DataFrame:
     marks = materialize(marks, "marks")
     best = lambda c: F.min(c).alias("best")
     named = materialize(marks.groupBy("node").agg(best(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_pm_key"))), "named")
-    nodes = materialize(marks.where("size > 0").select("node", "size", "bits", "prefix").dropDuplicates(["node"]), "nodes")
+    nodes = materialize(marks.where("size > 0").select("node", "size", "fp", "bits", "prefix").dropDuplicates(["node"]), "nodes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         chosen = materialize(named.join(wanted, "node", "left_semi").select("node", "best._pm_key"), "chosen")
