@@ -40,6 +40,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete what materialize() wrote for a table that nothing reads any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def attach(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
     """Rows with the columns of a table that has one row for each key, and in `n` how many of the `total` rows hold it.  Keys of
     more than a thousandth of all rows, a thousand at most, go out as a broadcast; all others meet by a shuffle."""

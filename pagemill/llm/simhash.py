@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach, documents, materialize
+from .common import attach, discard, documents, materialize
 
 #: Rows of a tile, base rows of a task in a large bucket, and rows compared at once in a partition.
 TILE, BASE, BUFFER = 1024, 8192, 65536
@@ -392,6 +392,7 @@ def _one_of_each(docs: DataFrame) -> DataFrame:
     best = lambda c: F.min(c).alias("best")
     named = materialize(marks.groupBy("node").agg(best(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_pm_key"))), "named")
     nodes = materialize(marks.where("size > 0").select("node", "size", "fp", "bits", "prefix").dropDuplicates(["node"]), "nodes")
+    discard(marks)  # as large as a part of the texts
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         chosen = materialize(named.join(wanted, "node", "left_semi").select("node", "best._pm_key"), "chosen")
@@ -399,5 +400,6 @@ def _one_of_each(docs: DataFrame) -> DataFrame:
         return sets.select("node", F.size("set").cast("long").alias("size"), "set")
 
     roots = components(similar_links(nodes, sets_of))
+    discard(nodes)
     kept = named.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(best("best"))
     return keyed.join(kept.select("best._pm_key"), "_pm_key", "left_semi").dropDuplicates(["_pm_key"]).select(docs.columns)
