@@ -76,7 +76,7 @@ def numeric_tokens(text: Column) -> Column:
 
 def significant_words(text: Column) -> Column:
     """Lower-case tokens of 4 characters or more, or with a digit, without stop words; repeats stay.  ASCII letters only."""
-    words = F.transform(_all(F.lower(text), SIGNIFICANT), lambda w: F.regexp_replace(w, r"^[.,]+|[.,]+\z", ""))
+    words = F.transform(_all(F.lower(text), SIGNIFICANT), lambda w: F.btrim(w, F.lit(".,")))
     return F.filter(words, lambda w: ((F.length(w) >= 4) | F.rlike(w, F.lit("[0-9]"))) & ~w.isin(*STOPWORDS))
 
 

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.bind import bind
+
+PICTURE = r"^!\[[^\]]*\]\([^)]*\)\z"
 
 
 def to_lines(df: DataFrame, *keys: str, text: str = "text") -> DataFrame:
@@ -110,39 +113,68 @@ def body_windows(lines: DataFrame, *keys: str, window: int = 3) -> DataFrame:
 
 
 def _content(line: Column) -> Column:
-    """A line without marks of lists, headings, quotes and tables."""
-    t = F.regexp_replace(tx.strip(line), r"^[#>\-*|\s]+", "")
-    return tx.strip(F.regexp_replace(tx.strip(F.replace(t, F.lit("|"), F.lit(" "))), r"^-{2,}\z", ""))
+    """A stripped line without marks of lists, headings, quotes and tables."""
+    t = F.regexp_replace(line, r"^[#>\-*|\s]+", "")
+    return F.regexp_replace(tx.strip(F.replace(t, F.lit("|"), F.lit(" "))), r"^-{2,}\z", "")
 
 
 def content_lines(lines: DataFrame, *keys: str) -> DataFrame:
     """Lines with content: three significant words or more, or a standalone value."""
-    t = _content(F.col("line"))
-    kept = lines.where(~F.rlike(tx.strip(F.col("line")), F.lit(r"^!\[[^\]]*\]\([^)]*\)\z"))).withColumn("line", t).where("line != ''")
+    t = _content(tx.strip(F.col("line")))
+    kept = lines.where(~F.rlike(tx.strip(F.col("line")), F.lit(PICTURE))).withColumn("line", t).where("line != ''")
     return kept.where((F.size(tx.significant_words(F.col("line"))) >= 3) | tx.is_short_value(F.col("line")))
 
 
+def _wanted(lines: Column) -> Column:
+    """The content lines of a page that have significant words: pos, line, sig and nums.  Each step is an array of its own, so that no
+    pattern runs twice over a line."""
+    bare = F.transform(lines, lambda x: F.struct(x["pos"].alias("pos"), tx.strip(x["line"]).alias("line")))
+    named = F.filter(F.transform(F.filter(bare, lambda x: ~F.rlike(x["line"], F.lit(PICTURE))), lambda x: F.struct(x["pos"].alias("pos"), _content(x["line"]).alias("line"))), lambda x: x["line"] != "")
+    worded = F.transform(named, lambda x: F.struct(x["pos"].alias("pos"), x["line"].alias("line"), tx.significant_words(x["line"]).alias("words")))
+    kept = F.filter(worded, lambda x: (F.size(x["words"]) >= 3) | ((F.size(x["words"]) > 0) & tx.is_short_value(x["line"])))
+    return F.transform(kept, lambda x: F.struct(x["pos"].alias("pos"), x["line"].alias("line"), F.array_distinct(x["words"]).alias("sig"), tx.numeric_tokens(x["line"]).alias("nums")))
+
+
+def _held(lines: Column) -> Column:
+    """Significant words and numeric tokens of the lines of a page that are not blank."""
+    full = F.filter(F.transform(lines, lambda x: tx.strip(x["line"])), lambda t: t != "")
+    return F.transform(full, lambda t: F.struct(tx.significant_words(t).alias("words"), tx.numeric_tokens(t).alias("numbers")))
+
+
+def _windows(held: Column, window: int = 3) -> Column:
+    union = lambda i, name: F.array_distinct(F.flatten(F.transform(F.slice(held, i + 1, window), lambda x: x[name])))
+    return F.transform(held, lambda _, i: F.struct(union(i, "words").alias("words"), union(i, "numbers").alias("numbers")))
+
+
 def missing_lines(source: DataFrame, body: DataFrame, *keys: str, threshold: float = 0.6) -> DataFrame:
     """Content lines of `source` that `body` (line tables of the same pages) lacks.
 
     A line is there if one window of three body lines holds the threshold of its words and, if it has numbers, one of
-    them, or if its first 80 characters occur in the body.  Lines meet windows over their words (an equi-join within a page),
-    not by pairing every line with every window."""
-    wanted = content_lines(source, *keys).withColumn("sig", F.array_distinct(tx.significant_words(F.col("line")))).withColumn("nums", tx.numeric_tokens(F.col("line")))
-    wanted = wanted.where(F.size("sig") > 0)
-    windows = body_windows(body, *keys).withColumnRenamed("pos", "at")
-    same = body.select(*keys, _content(F.col("line")).alias("line")).distinct()
-    wanted = wanted.join(same, [*keys, "line"], "left_anti")  # a line that is there as it is needs no windows
-    # lines and windows that repeat on a page meet once: a page of one line does not meet itself over and over
-    once = wanted.groupBy(*keys, "line").agg(F.first("sig").alias("sig"), F.first("nums").alias("nums"))
-    words = once.select(*keys, "line", "nums", F.size("sig").alias("n"), F.explode("sig").alias("word"))
-    held = windows.select(*keys, F.xxhash64("words", "numbers").alias("at"), "words", "numbers").dropDuplicates([*keys, "at"]).select(*keys, "at", "numbers", F.explode("words").alias("word"))
-    met = words.join(held, [*keys, "word"]).where((F.size("nums") == 0) | F.arrays_overlap("nums", "numbers"))
-    covered = met.groupBy(*keys, "line", "at").agg(F.count("*").alias("hits"), F.first("n").alias("n")).where(F.col("hits") >= F.col("n") * threshold)
-    left = wanted.join(covered.select(*keys, "line").distinct(), [*keys, "line"], "left_anti")
-    whole = from_lines(body, *keys, name="body").withColumn("body", F.lower("body"))
-    left = left.join(whole, list(keys), "left")
-    return left.where(~F.coalesce(F.contains("body", F.substring(F.lower("line"), 1, 80)), F.lit(False))).select(*keys, "pos", "line")
+    them, or if its first 80 characters occur in the body.  Lines travel once, as they are, to their page; words are made and compared
+    there, as a row for each word and window is many times the text.  A line that is not there literally looks into the windows only
+    if the whole page holds enough of its words."""
+    both = source.select(*keys, F.struct("pos", "line").alias("of"), F.lit(True).alias("wanted"))
+    known = body.dropna(subset=list(keys))  # a page without a key has no body
+    both = both.unionByName(known.select(*keys, F.struct("pos", "line").alias("of"), F.lit(False).alias("wanted")))
+    side = lambda mine: F.sort_array(F.collect_list(F.when(mine, F.col("of"))))
+    pages = both.groupBy(*keys).agg(side(F.col("wanted")).alias("source"), side(~F.col("wanted")).alias("body"))
+    enough = lambda x, words: F.size(F.array_intersect(words, x["sig"])) >= F.size(x["sig"]) * threshold
+    numbered = lambda x, w: (F.size(x["nums"]) == 0) | F.arrays_overlap(x["nums"], w["numbers"])
+
+    def reworded(left: Column, held: Column) -> Column:
+        shared = F.array_intersect(F.flatten(F.transform(held, lambda w: w["words"])), F.flatten(F.transform(left, lambda x: x["sig"])))
+        near = bind(shared, lambda words: F.transform(left, lambda x: enough(x, words)))
+        seek = lambda at, windows: F.filter(left, lambda x, i: ~(F.get(at, i) & F.exists(windows, lambda w: numbered(x, w) & enough(x, w["words"]))))
+        return bind(near, lambda at: F.when(F.exists(at, lambda a: a), bind(_windows(held), lambda windows: seek(at, windows))).otherwise(left))
+
+    def lost(wanted: Column) -> Column:
+        whole = F.lower(F.array_join(F.transform("body", lambda x: x["line"]), "\n"))
+        literal = lambda x, text: F.contains(text, F.substring(F.lower(x["line"]), 1, 80))
+        left = bind(whole, lambda text: F.filter(wanted, lambda x: ~literal(x, text)))
+        return bind(left, lambda some: F.when(F.size(some) > 0, bind(_held(F.col("body")), lambda held: reworded(some, held))))
+
+    found = pages.select(*keys, F.explode_outer(bind(_wanted(F.col("source")), lost)).alias("x"))  # outer: a filter for empty lists would do all the work twice
+    return found.where("x is not null").select(*keys, "x.pos", "x.line")
 
 
 def heading_levels(lines: DataFrame, *keys: str) -> DataFrame:
