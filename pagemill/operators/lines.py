@@ -6,6 +6,9 @@ explicit column, so order survives shuffles, and windows are partitioned by page
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -141,9 +144,18 @@ def _held(lines: Column) -> Column:
     return F.transform(full, lambda t: F.struct(tx.significant_words(t).alias("words"), tx.numeric_tokens(t).alias("numbers")))
 
 
+def _bits(words: Column) -> Column:
+    """256 bits as four longs; each word sets one."""
+    one = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at.cast("int"))
+    part = lambda ats, q: F.aggregate(F.filter(ats, lambda at: F.floor(at / 64) == q), F.lit(0).cast("long"), lambda bits, at: bits.bitwiseOR(one(at % 64)))
+    return bind(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(256))), lambda ats: F.array(*[part(ats, q) for q in range(4)]))
+
+
 def _windows(held: Column, window: int = 3) -> Column:
+    """Distinct words and numbers of each line and the next ones, and bits of the words."""
     union = lambda i, name: F.array_distinct(F.flatten(F.transform(F.slice(held, i + 1, window), lambda x: x[name])))
-    return F.transform(held, lambda _, i: F.struct(union(i, "words").alias("words"), union(i, "numbers").alias("numbers")))
+    each = F.transform(held, lambda _, i: F.struct(union(i, "words").alias("words"), union(i, "numbers").alias("numbers")))
+    return F.transform(each, lambda w: F.struct(w["words"].alias("words"), w["numbers"].alias("numbers"), _bits(w["words"]).alias("bits")))
 
 
 def missing_lines(source: DataFrame, body: DataFrame, *keys: str, threshold: float = 0.6) -> DataFrame:
@@ -152,7 +164,7 @@ def missing_lines(source: DataFrame, body: DataFrame, *keys: str, threshold: flo
     A line is there if one window of three body lines holds the threshold of its words and, if it has numbers, one of
     them, or if its first 80 characters occur in the body.  Lines travel once, as they are, to their page; words are made and compared
     there, as a row for each word and window is many times the text.  A line that is not there literally looks into the windows only
-    if the whole page holds enough of its words."""
+    if the whole page holds enough of its words, and compares words only where bits allow it: a window without a bit lacks a word."""
     both = source.select(*keys, F.struct("pos", "line").alias("of"), F.lit(True).alias("wanted"))
     known = body.dropna(subset=list(keys))  # a page without a key has no body
     both = both.unionByName(known.select(*keys, F.struct("pos", "line").alias("of"), F.lit(False).alias("wanted")))
@@ -164,7 +176,11 @@ def missing_lines(source: DataFrame, body: DataFrame, *keys: str, threshold: flo
     def reworded(left: Column, held: Column) -> Column:
         shared = F.array_intersect(F.flatten(F.transform(held, lambda w: w["words"])), F.flatten(F.transform(left, lambda x: x["sig"])))
         near = bind(shared, lambda words: F.transform(left, lambda x: enough(x, words)))
-        seek = lambda at, windows: F.filter(left, lambda x, i: ~(F.get(at, i) & F.exists(windows, lambda w: numbered(x, w) & enough(x, w["words"]))))
+        lacks = lambda bits, w: reduce(add, [F.bit_count(bits[q].bitwiseAND(F.bitwise_not(w["bits"][q]))) for q in range(4)])
+        spare = lambda x: F.size(x["sig"]) - F.size(x["sig"]) * threshold
+        held_by = lambda x, bits, most: lambda w: (lacks(bits, w) <= most) & numbered(x, w) & enough(x, w["words"])
+        seen = lambda x, windows: bind(_bits(x["sig"]), lambda bits: bind(spare(x), lambda most: F.exists(windows, held_by(x, bits, most))))
+        seek = lambda at, windows: F.filter(left, lambda x, i: ~(F.get(at, i) & seen(x, windows)))
         return bind(near, lambda at: F.when(F.exists(at, lambda a: a), bind(_windows(held), lambda windows: seek(at, windows))).otherwise(left))
 
     def lost(wanted: Column) -> Column:
