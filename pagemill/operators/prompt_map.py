@@ -20,6 +20,7 @@ VALUE_SIGNAL = (
 VALUE_ONLY = r"(?i)^\s*(?:[<>~]?\s*)?(?:\+|-)?(?:\d[\d,.\s]*)(?:%|pts?|bn|m|k|yo|yo\.|€|\$|£|cumulated)?\s*\z"
 YEAR, NEAR, SHORT_TEXT, SMALL_AREA, TEXT_CHARS, TABLE_CHARS, LINE_PROBE, REGION_CHARS, TIMELINE = r"^(?:19|20)\d{2}\z", 0.12, 240, 0.03, 240, 500, 120, 300, 0.08
 _U = "(?U)"
+DIGIT = _U + r"\d"
 
 
 def has_value_signal(text: Column) -> Column:
@@ -32,9 +33,9 @@ def is_timeline_text(text: Column) -> Column:
 
 
 def is_value_cell(text: Column) -> Column:
-    """A value alone, or a short text with one."""
-    t = tx.strip(text)
-    return F.rlike(t, F.lit(_U + VALUE_ONLY)) | ((F.length(t) <= 160) & has_value_signal(t))
+    """A value alone, or a short text with one; white space at the ends counts for the length only."""
+    short = (F.length(text) <= 160) | (F.length(tx.strip(text)) <= 160)
+    return F.rlike(text, F.lit(_U + VALUE_ONLY)) | (short & has_value_signal(text))
 
 
 def is_table_like(kind: Column) -> Column:

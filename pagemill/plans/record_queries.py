@@ -361,16 +361,16 @@ def region_search(spark, d):
     """Tables of the source, regions found on the page, and pictures, as numbered candidates: two panels side by side, of which the left
     one is a table."""
     k = _read(spark, d, "orders").select(F.col("o_orderkey").alias("page"))
-    spots = F.explode(F.array(*[F.struct(F.lit(10 * r + c).alias("idx"), F.array(*[F.lit(v) for v in (0.1 + 0.1 * c, 0.1 + 0.06 * r, 0.19 + 0.1 * c, 0.12 + 0.06 * r)]).alias("rect"), F.lit(("Label text here", "12%", "€ 3")[c]).alias("text"), F.lit(False).alias("is_heading")) for r in range(4) for c in range(3)]))
-    prose = F.explode(F.array(*[F.struct(F.lit(100 + i).alias("idx"), F.array(*[F.lit(v) for v in (0.6, 0.1 + 0.08 * i, 0.9, 0.17 + 0.08 * i)]).alias("rect"), F.lit("long prose " * 25).alias("text"), F.lit(False).alias("is_heading")) for i in range(7)]))
-    cells = k.select("page", spots.alias("c")).select("page", "c.*").unionByName(k.select("page", prose.alias("c")).select("page", "c.*"))
-    found, _, _ = lo.evaluate_regions(cells, "page")
+    k = k.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "page")  # pages of few files, evaluated by many tasks
+    cell = lambda i, rect, text: F.struct(F.lit(i).alias("idx"), F.array(*[F.lit(v) for v in rect]).alias("rect"), F.lit(text).alias("text"), F.lit(False).alias("is_heading"))
+    spots = [cell(10 * r + c, (0.1 + 0.1 * c, 0.1 + 0.06 * r, 0.19 + 0.1 * c, 0.12 + 0.06 * r), ("Label text here", "12%", "€ 3")[c]) for r in range(4) for c in range(3)]
+    prose = [cell(100 + i, (0.6, 0.1 + 0.08 * i, 0.9, 0.17 + 0.08 * i), "long prose " * 25) for i in range(7)]
+    found, _, _ = lo.evaluate_pages(k.select("page", F.array(*spots, *prose).alias("cells")), "page")
     box = lambda a: F.array(*[F.lit(v) for v in a])
     tables = k.where("page % 3 = 0").select("page", F.lit(0).alias("pos"), box((0.1, 0.1, 0.4, 0.35)).alias("rect"))
     pictures = k.where("page % 2 = 0").select("page", F.lit(4).alias("picture"), box((0.1, 0.7, 0.5, 0.9)).alias("rect"), F.lit("semantic_label").alias("reason"), F.lit(0.7).alias("confidence"))
     c = lo.table_candidates(tables, found, pictures, "page")
-    sym = lo.symbols_in(c, pictures, "page")
-    return c.join(sym.hint("merge"), ["page", "id"], "left").select("page", "id", "kind", "confidence", "reason", F.coalesce(F.size("symbols"), F.lit(0)).alias("symbols"))
+    return lo.symbols_in(c, pictures, "page").select("page", "id", "kind", "confidence", "reason", F.coalesce(F.size("symbols"), F.lit(0)).alias("symbols"))
 
 
 region_search_sql = """WITH o AS (SELECT o_orderkey AS page FROM orders), c AS (SELECT page, 0 AS g, 'grid_table' AS kind, 0.95 AS confidence, 'table_item' AS reason, 0 AS symbols FROM o WHERE page % 3 = 0
